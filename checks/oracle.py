@@ -506,11 +506,11 @@ for _suffix in ("", "_whatif"):
     }
 
 
-def _needed(name: str) -> list[str]:
+def _needed(name: str, given: tuple[str, ...]) -> list[str]:
     seen: set[str] = set()
 
     def visit(block: str) -> None:
-        if block in seen:
+        if block in seen or block in given:
             return
         seen.add(block)
         for word in set(re.findall(r"[a-z_0-9]+", BLOCKS[block])):
@@ -521,11 +521,14 @@ def _needed(name: str) -> list[str]:
     return [b for b in BLOCKS if b in seen]
 
 
-def statement(name: str) -> str:
-    """The whole statement for one query; doubles are compared at six digits."""
+def statement(name: str, given: tuple[str, ...] = ()) -> str:
+    """The whole statement for one query; doubles are compared at six digits.
+
+    Blocks in ``given`` are taken to exist as tables.
+    """
     parts = ",\n".join(
-        f"{b} AS ({BLOCKS[b]})" if b == "steps" else f"{b} AS MATERIALIZED ({BLOCKS[b]})" for b in _needed(name)
+        f"{b} AS ({BLOCKS[b]})" if b == "steps" else f"{b} AS MATERIALIZED ({BLOCKS[b]})" for b in _needed(name, given)
     )
-    rounded = ", ".join(f"round({c}, 6) + 0.0::DOUBLE AS {c}" for c in DOUBLES.get(name, []))
+    rounded = ", ".join(f"CASE WHEN abs({c}) < 5e-7 THEN 0 ELSE round({c}, 6) END AS {c}" for c in DOUBLES.get(name, []))
     columns = f"* REPLACE ({rounded})" if rounded else "*"
     return f"WITH RECURSIVE {parts}\nSELECT {columns} FROM {name}"

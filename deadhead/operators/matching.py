@@ -17,6 +17,8 @@ from deadhead.config import DEFAULT, Params
 from deadhead.storage import materialize
 
 SLOTS = "abcd"
+# rounds planned on top of each other before the remaining tours and lanes are written again
+ROUNDS_PER_WRITE = 3
 
 
 # ---------------------------------------------------------------- model inputs
@@ -208,7 +210,7 @@ def greedy_rounds(scored: DataFrame, lanes: DataFrame, p: Params = DEFAULT) -> D
     alive = materialize(wide, "tours-alive")
     left = materialize(lanes.filter(F.col("demand") > 0).select("lane", F.col("demand").alias("left")), "lanes-left")
     picked: list[DataFrame] = []
-    for round_nbr in range(p.max_rounds):
+    for round_nbr in range(1, p.max_rounds + 1):
         named = (
             alive.select("urgent", "gain", "order", "n", F.explode(F.array_compact(F.array(*slots))).alias("lane"))
             .groupBy("lane")
@@ -229,12 +231,12 @@ def greedy_rounds(scored: DataFrame, lanes: DataFrame, p: Params = DEFAULT) -> D
         after = left.join(used, "lane", "left").select(
             "lane", (F.col("left") - F.coalesce("loads", F.lit(0))).alias("left")
         )
-        after = materialize(after, "lanes-left")
         spent = after.filter(F.col("left") == 0).select("lane")
         for slot in slots:
             alive = alive.join(spent.select(F.col("lane").alias(slot)), slot, "left_anti")
-        alive = materialize(alive, "tours-alive")
         left = after.filter(F.col("left") > 0)
+        if round_nbr % ROUNDS_PER_WRITE == 0:
+            alive, left = materialize(alive, "tours-alive"), materialize(left, "lanes-left")
     else:
         raise RuntimeError(f"no end after {p.max_rounds} rounds")
     if not picked:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deadhead.functions.geo import road_miles
-from deadhead.sources.tables import Sources
+from deadhead.schemas import SOURCES, conform
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 RETIRED_DC, NEW_DC, UNMAPPED_DC = 51, 76, 74
@@ -58,11 +58,11 @@ def _priority(priority: Column) -> Column:
 
 
 class _Tables:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    """The Parquet files of one folder; each footer is read once."""
 
-    def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+    def __init__(self, spark: SparkSession, root: str):
+        for name in ("nation", "customer", "supplier", "orders", "lineitem"):
+            setattr(self, name, spark.read.parquet(f"{root}/{name}.parquet"))
 
 
 def _invoice_lines(t: _Tables) -> DataFrame:
@@ -235,21 +235,43 @@ def _dedicated_costs(t: _Tables) -> DataFrame:
     )
 
 
-def sources_from_testdata(spark: SparkSession, root: str) -> Sources:
-    t = _Tables(spark, root)
-    return Sources(
-        invoice_lines=_invoice_lines(t),
-        invoices=_invoices(t),
-        calendar=_calendar(t),
-        dc_transitions=t.nation.filter(F.col("n_nationkey") + 50 == RETIRED_DC).select(
-            _name("DC", F.lit(RETIRED_DC)).alias("old_bdc_nbr"), _name("DC", F.lit(NEW_DC)).alias("new_bdc_nbr")
-        ),
-        campus_map=_campus_map(t),
-        locations=_locations(t),
-        partner_lanes=_partner_lanes(t),
-        distance_table=_distance_table(t),
-        postal_codes=_postal_codes(t),
-        manual_distances=_manual_distances(t),
-        partner_rates=_partner_rates(t),
-        dedicated_costs=_dedicated_costs(t),
-    ).conformed()
+def _transitions(t: _Tables) -> DataFrame:
+    return t.nation.filter(F.col("n_nationkey") + 50 == RETIRED_DC).select(
+        _name("DC", F.lit(RETIRED_DC)).alias("old_bdc_nbr"), _name("DC", F.lit(NEW_DC)).alias("new_bdc_nbr")
+    )
+
+
+_BUILDERS = {
+    "invoice_lines": _invoice_lines,
+    "invoices": _invoices,
+    "calendar": _calendar,
+    "dc_transitions": _transitions,
+    "campus_map": _campus_map,
+    "locations": _locations,
+    "partner_lanes": _partner_lanes,
+    "distance_table": _distance_table,
+    "postal_codes": _postal_codes,
+    "manual_distances": _manual_distances,
+    "partner_rates": _partner_rates,
+    "dedicated_costs": _dedicated_costs,
+}
+
+
+class TestdataSources:
+    """The tables of ``Sources``, each derived on first use."""
+
+    __test__ = False
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._tables = _Tables(spark, root)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in _BUILDERS:
+            raise AttributeError(name)
+        table = conform(_BUILDERS[name](self._tables), SOURCES[name])
+        setattr(self, name, table)
+        return table
+
+
+def sources_from_testdata(spark: SparkSession, root: str) -> TestdataSources:
+    return TestdataSources(spark, root)
