@@ -55,7 +55,9 @@ def lane_totals(src: Sources, p: Params = DEFAULT) -> DataFrame:
         .cast("int")
         .alias("null_key"),
     )
-    headers = src.invoices.select("invoice_id", "dc_nbr", F.lit(0).alias("null_key"))
+    # not a literal: Catalyst would turn the equality into a filter and drop it from the join key
+    no_id = F.when(F.col("invoice_id").isNull(), F.lit(1)).otherwise(F.lit(0))
+    headers = src.invoices.select("invoice_id", "dc_nbr", no_id.alias("null_key"))
     joined = lines.join(headers, ["invoice_id", "null_key"], "left")
     return joined.groupBy("dc_nbr", "o_id", "o_type", "o_zip", "d_id", "d_type", "d_zip").agg(
         F.sum("w").alias("loads"),

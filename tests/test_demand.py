@@ -138,25 +138,32 @@ def test_invoices_are_scanned_once_and_filters_reach_the_scan(spark, tmp_path):
     assert "Python" not in plan
 
 
-def test_a_hot_invoice_is_split(spark):
+@pytest.mark.parametrize("hot", ["i1", None])
+def test_a_hot_invoice_is_spread(spark, tmp_path, hot):
     settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        # the calendar stays below the threshold, the invoices do not
+        "spark.sql.autoBroadcastJoinThreshold": "1500",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5000",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "3000",
     }
     before = {k: spark.conf.get(k) for k in settings}
-    lines = line(3000) + [row for i in range(300) for row in line(1, invoice=f"j{i}")]
     rng = random.Random(2)
+    lines = line(3000, invoice=hot) + [row for i in range(300) for row in line(1, invoice=f"j{i}")]
     lines = [(*r[:7], rng.random() * 100, *r[8:]) for r in lines]
     src = make_sources(spark, invoice_lines=lines, calendar=DAYS, invoices=[("i1", "D1")] + [(f"j{i}", "D1") for i in range(300)])
-    src.invoice_lines = src.invoice_lines.repartition(16)
+    for name, parts in (("invoice_lines", 16), ("calendar", 1), ("invoices", 1)):
+        getattr(src, name).repartition(parts).write.parquet(str(tmp_path / name))
+        setattr(src, name, spark.read.parquet(str(tmp_path / name)))
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
         df = lane_totals(src, P)
-        assert df.collect()[0].loads == 3300
-        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.dc_nbr or "", r.loads) for r in df.collect()) == ([("D1", 3300)] if hot else [("", 3000), ("D1", 300)])
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        print(plan)
+        assert "hashpartitioning(invoice_id" in plan and "null_key" in plan.split("hashpartitioning(invoice_id")[1][:40]
+        assert hot is None or "skew=true" in plan
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
