@@ -33,9 +33,9 @@ def _query(name: str) -> Callable[[Build], Build]:
 # legs
 
 _query("empty_demand")(lambda j: demand.empty_demand(j.src, j.p))
-_query("partner_legs_store")(lambda j: legs.store_partner_legs(j.empty_demand, j.src.partner_lanes, j.p))
-_query("partner_legs_dc")(lambda j: legs.dc_partner_legs(j.empty_demand, j.src.partner_lanes, j.p))
-_query("partner_legs_return")(lambda j: legs.partner_dc_legs(j.empty_demand, j.src.partner_lanes, j.p))
+_query("partner_legs_store")(lambda j: legs.store_partner_legs(j.empty_demand, j.partner_lanes, j.p))
+_query("partner_legs_dc")(lambda j: legs.dc_partner_legs(j.empty_demand, j.partner_lanes, j.p))
+_query("partner_legs_return")(lambda j: legs.partner_dc_legs(j.empty_demand, j.partner_lanes, j.p))
 _query("input_legs")(lambda j: j.input_legs)
 _query("leg_labels")(lambda j: j.labelled_legs)
 _query("distance_lookup")(lambda j: distance.fill_forward(j.labelled_legs, j.src.distance_table))

@@ -37,7 +37,7 @@ class Tuning:
     """How expanding joins are cut into tasks; no effect on results."""
 
     # output rows one task of an expanding join should produce
-    pairs_per_task: int = 2_000_000
+    pairs_per_task: int = 500_000
     # rows of one key kept together on a side before the key is split into blocks
     rows_per_block: int = 20_000
     # upper bound on explicitly requested partitions

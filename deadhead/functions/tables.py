@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deadhead.config import TUNING, Tuning
@@ -45,6 +45,31 @@ def dense_id(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     )
 
 
+def _tasks_for(spark: SparkSession, rows: float, tuning: Tuning) -> int:
+    """Tasks for an output of ``rows``; 1 leaves the partitioning to the engine."""
+    tasks = min(tuning.max_tasks, math.ceil(rows / tuning.pairs_per_task))
+    return max(tasks, spark.sparkContext.defaultParallelism) if tasks > 1 else 1
+
+
+def all_pairs(left: DataFrame, right: DataFrame, tuning: Tuning = TUNING) -> DataFrame:
+    """Every row of one list with every row of another, cut into tasks by the size of the result.
+
+    A large product is an equi-join on a block number: each row of the longer list is in one block, the
+    shorter list is repeated for all blocks.
+    """
+    n_left, n_right = left.count(), right.count()
+    tasks = _tasks_for(left.sparkSession, float(n_left) * n_right, tuning)
+    if tasks == 1:
+        return left.crossJoin(right)
+    # block numbers are hashed to tasks: several per task even out the sizes
+    blocks = 8 * tasks
+    columns = [*left.columns, *right.columns]
+    longer, shorter = (left, right) if n_left >= n_right else (right, left)
+    longer = longer.withColumn("_block", F.pmod(F.xxhash64(*longer.columns), F.lit(blocks)).cast("int"))
+    shorter = shorter.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return longer.repartition(tasks, "_block").join(shorter, "_block").select(*columns)
+
+
 def expanding_join(
     left: DataFrame,
     right: DataFrame,
@@ -69,14 +94,14 @@ def expanding_join(
     total, biggest = counts.agg(
         F.coalesce(F.sum(pairs), F.lit(0.0)), F.coalesce(F.max(F.greatest("_ln", "_rn")), F.lit(0))
     ).first()
-    tasks = max(1, min(tuning.max_tasks, math.ceil(total / tuning.pairs_per_task)))
+    tasks = _tasks_for(spark, total, tuning)
 
     condition = F.lit(True) if residual is None else residual
     if biggest <= tuning.rows_per_block:
         for a, b in on:
             condition = (F.col(a) == F.col(b)) & condition
         if tasks > 1:
-            left = left.repartition(max(tasks, spark.sparkContext.defaultParallelism), *lk)
+            left = left.repartition(tasks, *lk)
         return left.join(right, condition, "inner")
 
     blocks = counts.select(

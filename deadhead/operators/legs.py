@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deadhead import labels
 from deadhead.config import DEFAULT, Params
+from deadhead.functions.tables import all_pairs
 from deadhead.schemas import EMPTY_DEMAND, INPUT_LEGS, conform
 
 OWNER = ["region", "campus_nbr_nm", "dc_nbr", "scac"]
@@ -61,7 +62,7 @@ def _every_pair(own: DataFrame, partner: DataFrame, leg: str, p: Params) -> Data
     Both sides are distinct before they meet, so the product has no duplicates and no row of invoices or of
     lanes takes part in it.
     """
-    pairs = own.crossJoin(partner)
+    pairs = all_pairs(own, partner)
     for name in ("region", "campus_nbr_nm", "dc_nbr", "dist"):
         if name not in pairs.columns:
             pairs = pairs.withColumn(name, F.lit(None))

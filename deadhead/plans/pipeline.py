@@ -28,9 +28,13 @@ class Pipeline:
     def empty_demand(self) -> DataFrame:
         return materialize(demand.empty_demand(self.src, self.p), "empty-demand")
 
+    @cached_property
+    def partner_lanes(self) -> DataFrame:
+        return materialize(legs.valid_partner_lanes(self.src.partner_lanes, self.p), "partner-lanes")
+
     @cached_property
     def input_legs(self) -> DataFrame:
-        return legs.input_legs(self.empty_demand, self.src.partner_lanes, self.p)
+        return legs.input_legs(self.empty_demand, self.partner_lanes, self.p)
 
     @cached_property
     def labelled_legs(self) -> DataFrame:

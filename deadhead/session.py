@@ -29,6 +29,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("deadhead")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(parallelism))
     )

@@ -2,6 +2,9 @@
 
 Facilities are numbered: stores 0-24 and DCs 50-74 by nation (76 replaces DC 51), partner origins 101-105 by
 market segment, partner destinations 121-125 by order priority. Places follow from the number.
+
+The fine grain has a DC per supplier, a partner origin per nation and segment, and a partner destination per
+priority and order status, so that the graph grows with the tables.
 """
 
 from __future__ import annotations
@@ -60,17 +63,32 @@ def _priority(priority: Column) -> Column:
 class _Tables:
     """The Parquet files of one folder; each footer is read once."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, fine: bool):
+        self.fine = fine
         for name in ("nation", "customer", "supplier", "orders", "lineitem"):
             setattr(self, name, spark.read.parquet(f"{root}/{name}.parquet"))
 
 
+    # facility numbers, on supplier, customer and order columns
+
+    def dc(self) -> Column:
+        return (100000 + F.col("s_suppkey") if self.fine else 50 + F.col("s_nationkey")).cast("int")
+
+    def partner_origin(self) -> Column:
+        segment = _segment(F.col("c_mktsegment"))
+        return (200000 + F.col("c_nationkey") * 5 + segment if self.fine else segment).cast("int")
+
+    def partner_dest(self) -> Column:
+        priority = _priority(F.col("o_orderpriority"))
+        status = F.array_position(F.array(*[F.lit(c) for c in "FOP"]), F.col("o_orderstatus"))
+        return (300000 + priority * 3 + status if self.fine else priority).cast("int")
+
+
 def _invoice_lines(t: _Tables) -> DataFrame:
     customers = t.customer.select("c_custkey", F.col("c_nationkey").alias("store"))
     orders = t.orders.select("o_orderkey", "o_custkey")
-    suppliers = t.supplier.select("s_suppkey", "s_nationkey")
-    store, nation = F.col("store"), F.col("s_nationkey")
-    dc = nation + 50
+    suppliers = t.supplier.select("s_suppkey", "s_nationkey", t.dc().alias("dc"))
+    store, nation, dc = F.col("store"), F.col("s_nationkey"), F.col("dc")
     return (
         t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -96,7 +114,7 @@ def _invoice_lines(t: _Tables) -> DataFrame:
 
 
 def _invoices(t: _Tables) -> DataFrame:
-    suppliers = t.supplier.select("s_suppkey", _name("DC", F.col("s_nationkey") + 50).alias("dc_nbr"))
+    suppliers = t.supplier.select("s_suppkey", _name("DC", t.dc()).alias("dc_nbr"))
     return (
         t.lineitem.select("l_orderkey", "l_suppkey")
         .distinct()
@@ -112,14 +130,16 @@ def _calendar(t: _Tables) -> DataFrame:
 
 
 def _segments(t: _Tables) -> DataFrame:
-    return t.customer.select(_segment(F.col("c_mktsegment")).alias("k")).distinct()
+    return t.customer.select(t.partner_origin().alias("k")).distinct()
 
 
 def _priorities(t: _Tables) -> DataFrame:
-    return t.orders.select(_priority(F.col("o_orderpriority")).alias("k")).distinct()
+    return t.orders.select(t.partner_dest().alias("k")).distinct()
 
 
 def _dc_numbers(t: _Tables) -> DataFrame:
+    if t.fine:
+        return t.supplier.select(t.dc().alias("k"))
     numbers = F.when(F.col("n_nationkey") == 0, F.array(F.lit(50), F.lit(NEW_DC))).otherwise(
         F.array(F.col("n_nationkey") + 50)
     )
@@ -156,8 +176,8 @@ def _locations(t: _Tables) -> DataFrame:
 
 def _partner_lanes(t: _Tables) -> DataFrame:
     lanes = (
-        t.orders.select("o_custkey", _priority(F.col("o_orderpriority")).alias("kd"))
-        .join(t.customer.select("c_custkey", _segment(F.col("c_mktsegment")).alias("ko")), F.col("o_custkey") == F.col("c_custkey"))
+        t.orders.select("o_custkey", t.partner_dest().alias("kd"))
+        .join(t.customer.select("c_custkey", t.partner_origin().alias("ko")), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("ko", "kd")
         .agg(F.count(F.lit(1)).alias("volume"))
     )
@@ -181,9 +201,10 @@ def _partner_lanes(t: _Tables) -> DataFrame:
 
 def _distance_table(t: _Tables) -> DataFrame:
     near = t.nation.select(F.col("n_nationkey").alias("a")).unionByName(_dc_numbers(t).select(F.col("k").alias("a")))
-    pairs = near.filter(F.col("a") % 2 == 0).select("a", F.explode(F.sequence(F.lit(101), F.lit(105))).alias("b"))
+    origins = _segments(t).select(F.col("k").alias("b"))
+    pairs = near.filter(F.col("a") % 2 == 0).crossJoin(origins)
     a, b = F.col("a"), F.col("b")
-    return pairs.select(_zip(a), _zip(b), (1.05 * _miles(a, b)), (a < 50).alias("ahead")).toDF("x", "y", "dist", "ahead").select(
+    return pairs.select(_zip(a), _zip(b), (1.05 * _miles(a, b)), (a < 25).alias("ahead")).toDF("x", "y", "dist", "ahead").select(
         F.when(F.col("ahead"), F.col("x")).otherwise(F.col("y")).alias("o_zip"),
         F.when(F.col("ahead"), F.col("y")).otherwise(F.col("x")).alias("d_zip"),
         "dist",
@@ -228,7 +249,7 @@ def _dedicated_costs(t: _Tables) -> DataFrame:
             _name("DC", k).alias("dc_nbr"),
             F.explode(F.array(F.lit(-0.1), F.lit(0.1))).alias("off"),
             (1.0 + 0.1 * (k % 5)).alias("base"),
-            (50.0 + k).alias("stop_charge"),
+            (50.0 + k % 100).alias("stop_charge"),
             (40.0 + k % 7).alias("fixed_cost_per_hour"),
         )
         .select("dc_nbr", (F.col("base") + F.col("off")).alias("variable_cpm"), "stop_charge", "fixed_cost_per_hour")
@@ -262,8 +283,8 @@ class TestdataSources:
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, root: str):
-        self._tables = _Tables(spark, root)
+    def __init__(self, spark: SparkSession, root: str, fine: bool = False):
+        self._tables = _Tables(spark, root, fine)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in _BUILDERS:
@@ -273,5 +294,5 @@ class TestdataSources:
         return table
 
 
-def sources_from_testdata(spark: SparkSession, root: str) -> TestdataSources:
-    return TestdataSources(spark, root)
+def sources_from_testdata(spark: SparkSession, root: str, fine: bool = False) -> TestdataSources:
+    return TestdataSources(spark, root, fine)
