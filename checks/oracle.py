@@ -381,6 +381,40 @@ BLOCKS["audit_totals"] = """
          (SELECT sum(loads * net) FROM assignment JOIN net_cost USING (route_nbr)) AS objective,
          (SELECT count(*) FROM assignment WHERE loads < 0) AS bad_loads
   FROM assignment_audit"""
+BLOCKS["tour_sides"] = """
+  SELECT r.route_nbr, r.gain, max(m.lane) FILTER (m.must_cover) AS store, max(m.lane) FILTER (NOT m.must_cover) AS other
+  FROM (SELECT route_nbr, gain, unnest(on_lanes) AS lane FROM ranked) r JOIN lane_model m ON m.lane = r.lane
+  GROUP BY r.route_nbr, r.gain"""
+
+
+def _price(wanted: str, given: str, prices: str | None) -> str:
+    paid = f"LEFT JOIN {prices} q ON q.lane = t.{given}" if prices else ""
+    rest = "t.gain - coalesce(q.price, 0)" if prices else "t.gain"
+    return (
+        f"SELECT t.{wanted} AS lane, greatest(max({rest}), 0) AS price FROM tour_sides t {paid}"
+        f" WHERE t.{wanted} IS NOT NULL GROUP BY t.{wanted}"
+    )
+
+
+BLOCKS["other_first"] = _price("other", "store", None)
+BLOCKS["store_second"] = _price("store", "other", "other_first")
+BLOCKS["store_first"] = _price("store", "other", None)
+BLOCKS["other_second"] = _price("other", "store", "store_first")
+BLOCKS["taken"] = """
+  SELECT t.store AS lane, greatest(min(t.gain), 0) AS price
+  FROM tour_sides t JOIN greedy g ON g.route_nbr = t.route_nbr JOIN lane_model m ON m.lane = t.store
+  GROUP BY t.store, m.demand HAVING sum(g.loads) = m.demand"""
+BLOCKS["other_taken"] = _price("other", "store", "taken")
+BLOCKS["store_taken"] = _price("store", "other", "other_taken")
+BLOCKS["worths"] = " UNION ALL ".join(
+    f"SELECT coalesce(sum(price * demand), 0) AS worth FROM"
+    f" (SELECT * FROM {a} UNION ALL SELECT * FROM {b}) JOIN lane_model USING (lane)"
+    for a, b in (("other_first", "store_second"), ("store_first", "other_second"), ("other_taken", "store_taken"))
+)
+BLOCKS["matching_gap"] = """
+  SELECT objective, bound, (objective - bound) / abs(objective) AS gap, (objective - bound) / abs(objective) <= 0.01 AS within_target
+  FROM (SELECT (SELECT sum(loads * net) FROM assignment JOIN net_cost USING (route_nbr)) AS objective,
+               (SELECT sum(value * demand) FROM lane_value JOIN lane_model USING (lane)) - (SELECT min(worth) FROM worths) AS bound)"""
 BLOCKS["oneway_remainder"] = """
   SELECT CAST(lane AS VARCHAR) AS pair_number, demand - dedicated AS loads, 'backhaul matching' AS description
   FROM lane_use WHERE demand <> dedicated"""
@@ -491,6 +525,7 @@ DOUBLES: dict[str, list[str]] = {
     "lane_model": ["ow_cpl"],
     "net_cost": ["cost", "net"],
     "audit_totals": ["objective"],
+    "matching_gap": ["objective", "bound", "gap"],
     "cost_summary": ["dedicated_cost", "ow_cost", "total_cost"],
     "chosen_tours": ["cost", "dist"],
 }

@@ -99,6 +99,7 @@ _query("lane_issues")(lambda j: matching.lane_issues(j.routes, j.lane_demand))
 _query("assignment")(lambda j: j.runs)
 _query("assignment_audit")(lambda j: matching.lane_audit(j.routes, j.lane_model, j.runs))
 _query("audit_totals")(lambda j: matching.run_audit(j.routes, j.lane_model, j.runs))
+_query("matching_gap")(lambda j: matching.optimality_gap(j.routes, j.lane_model, j.runs, j.p))
 _query("oneway_remainder")(lambda j: matching.one_way_loads(j.routes, j.lane_model, j.runs, j.p))
 _query("cost_summary")(lambda j: matching.cost_summary(j.routes, j.lane_model, j.runs, j.p))
 _query("run_counts")(lambda j: matching.run_counts(j.routes, j.lane_model, j.runs))

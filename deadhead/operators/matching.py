@@ -273,6 +273,70 @@ def fallback_runs(cands: DataFrame, values: DataFrame, runs: DataFrame, lanes: D
     return rest.filter(F.col("loads") > 0).select("route_nbr", "loads")
 
 
+# ---------------------------------------------------------------- distance to the optimum
+
+
+def _reprice(pairs: DataFrame, prices: DataFrame | None, given: str, wanted: str) -> DataFrame:
+    """Least prices of the ``wanted`` lanes that pay for every tour, the ``given`` lanes' prices being fixed."""
+    rest = F.col("gain")
+    pairs = pairs.filter(F.col(wanted).isNotNull())
+    if prices is not None:
+        pairs = pairs.join(prices.withColumnsRenamed({"lane": given, "price": "paid"}), given, "left")
+        rest = rest - F.coalesce("paid", F.lit(0.0))
+    return pairs.groupBy(F.col(wanted).alias("lane")).agg(F.greatest(F.max(rest), F.lit(0.0)).alias("price"))
+
+
+def optimality_gap(routes: DataFrame, lanes: DataFrame, runs: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """One row: the objective, a lower bound on it for any plan, and the relative gap.
+
+    By duality, prices per load of each lane that pay for the gain of every tour bound the total gain by the
+    prices times the loads. A tour is charged to one store lane and one other lane. Three sets of prices are
+    tried, the other lanes first, the store lanes first, and the least gain taken on each used-up store lane,
+    and the best bound is kept. Store lanes that no tour covers are not part of the comparison.
+    """
+    cands = materialize(candidates(routes, lanes), "candidates")
+    values = materialize(lane_values(cands), "lane-values")
+    scored = gains(cands, values)
+    side = scored.select((-F.col("order")).alias("route_nbr"), "gain", F.explode("on").alias("lane")).join(
+        lanes.select("lane", "must_cover"), "lane"
+    )
+    pairs = side.groupBy("route_nbr", "gain").agg(
+        F.max(F.when(F.col("must_cover"), F.col("lane"))).alias("store"),
+        F.max(F.when(~F.col("must_cover"), F.col("lane"))).alias("other"),
+    )
+    pairs = materialize(pairs, "tour-lanes")
+    used_up = (
+        pairs.join(runs, "route_nbr")
+        .groupBy(F.col("store").alias("lane"))
+        .agg(F.sum("loads").alias("loads"), F.min("gain").alias("price"))
+        .join(lanes, "lane")
+        .filter(F.col("loads") == F.col("demand"))
+        .select("lane", F.greatest("price", F.lit(0.0)).alias("price"))
+    )
+
+    def priced(first: DataFrame, given: str, wanted: str) -> DataFrame:
+        return first.unionByName(_reprice(pairs, first, given, wanted))
+
+    tries = [
+        priced(_reprice(pairs, None, "store", "other"), "other", "store"),
+        priced(_reprice(pairs, None, "other", "store"), "store", "other"),
+        priced(_reprice(pairs, used_up, "store", "other"), "other", "store"),
+    ]
+    room = lanes.select("lane", "demand")
+    best = F.lit(None).cast("double")
+    row = run_audit(routes, lanes, runs).select("objective")
+    row = row.crossJoin(
+        values.join(room, "lane").agg(F.coalesce(F.sum(F.col("value") * F.col("demand")), F.lit(0.0)).alias("plain"))
+    )
+    for i, prices in enumerate(tries):
+        worth = F.coalesce(F.sum(F.col("price") * F.col("demand")), F.lit(0.0)).alias(f"worth{i}")
+        row = row.crossJoin(prices.join(room, "lane").agg(worth))
+        best = F.least(best, F.col(f"worth{i}"))
+    row = row.select("objective", (F.col("plain") - best).alias("bound"))
+    gap = F.try_divide(F.col("objective") - F.col("bound"), F.abs("objective"))
+    return row.withColumn("gap", gap).withColumn("within_target", F.col("gap") <= p.target_gap)
+
+
 # ---------------------------------------------------------------- checks and results
 
 

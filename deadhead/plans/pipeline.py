@@ -133,6 +133,7 @@ def run(src: Sources, out: str, stamp: datetime, p: Params = DEFAULT, tuning: Tu
     save("uncovered_lanes", matching.uncovered(job.routes, job.lane_model))
     save("lane_issues", matching.lane_issues(job.routes, job.lane_demand))
     save("run_audit", matching.run_audit(job.routes, job.lane_model, job.runs))
+    save("matching_gap", matching.optimality_gap(job.routes, job.lane_model, job.runs, p))
     plan = save("matching_ded", job.plan(stamp))
     save("matching_ow", matching.one_way_loads(job.routes, job.lane_model, job.runs, p))
     save("cost_summary", matching.cost_summary(job.routes, job.lane_model, job.runs, p))

@@ -110,6 +110,9 @@ def test_half_of_the_best_gain_at_least(spark, seed):
     assert (row.lanes_over, row.lanes_short, row.bad_loads) == (0, 0, 0)
     assert best <= row.objective + 1e-9
     assert plain - row.objective >= (plain - best) / 2 - 1e-9
+    gap = matching.optimality_gap(routes, lane_df, runs, P).first()
+    assert gap.objective == pytest.approx(row.objective)
+    assert gap.bound <= best + 1e-6
 
 
 def test_shared_store_lane_uncovered_lane_and_empty_lane_number(spark):

@@ -12,7 +12,7 @@ from deadhead.sources.testdata import sources_from_testdata
 TABLES = {
     "str_dc_empty_demand", "missing_distances", "input_legs", "rf_locations", "rf_pair_number_lanes", "demand_data",
     "rf_routes_final", "matching_ded", "matching_ow", "routes_lanes", "routes_savings", "pair_to_route_lookup",
-    "route_to_pair_lookup_base", "lanes_on_routes", "uncovered_lanes", "lane_issues", "run_audit", "cost_summary", "run_counts",
+    "route_to_pair_lookup_base", "lanes_on_routes", "uncovered_lanes", "lane_issues", "run_audit", "matching_gap", "cost_summary", "run_counts",
 }
 
 
