@@ -51,7 +51,7 @@ _query("distance_geo")(lambda j: j.located_legs)
 _query("missing_distance")(lambda j: j.missing_distances)
 _query("distance_manual")(lambda j: j.measured_legs)
 _query("quality_gate")(lambda j: quality.missing_count(j.measured_legs))
-_query("rate_overwrite")(lambda j: quality.overwrite_rates(j.measured_legs, j.src.partner_rates))
+_query("rate_overwrite")(lambda j: j.rated_legs)
 _query("purge_legs")(lambda j: j.legs)
 _query("edges")(lambda j: j.edges)
 _query("lane_numbers")(lambda j: j.lane_numbers)

@@ -29,7 +29,6 @@ class Params:
     # matching
     description: str = "backhaul matching"
     target_gap: float = 0.01
-    max_rounds: int = 500
 
 
 @dataclass(frozen=True)
@@ -38,8 +37,6 @@ class Tuning:
 
     # output rows one task of an expanding join should produce
     pairs_per_task: int = 500_000
-    # rows of one key kept together on a side before the key is split into blocks
-    rows_per_block: int = 20_000
     # upper bound on explicitly requested partitions
     max_tasks: int = 100_000
 

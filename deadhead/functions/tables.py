@@ -81,8 +81,8 @@ def expanding_join(
 
     The engine sizes tasks by input bytes and would run such a join in one task. Here the pairs per key are
     counted first (a map-side combined count on each side; only two totals reach the driver). They set the
-    number of tasks, and any key with more rows than a block is cut into a grid of blocks: each row goes to
-    one block row of its own side and is repeated along the other. All pairs still meet exactly once.
+    number of tasks, and a key with more pairs than a task should make is cut into a grid of blocks: each row
+    goes to one block of its own side and is repeated for the blocks of the other. All pairs still meet once.
     """
     lk, rk = [a for a, _ in on], [b for _, b in on]
     spark = left.sparkSession
@@ -91,24 +91,23 @@ def expanding_join(
     right_n = right.groupBy(*[F.col(c).alias(k) for c, k in zip(rk, keys)]).agg(F.count(F.lit(1)).alias("_rn"))
     counts = left_n.join(right_n, keys)
     pairs = F.col("_ln").cast("double") * F.col("_rn")
-    total, biggest = counts.agg(
-        F.coalesce(F.sum(pairs), F.lit(0.0)), F.coalesce(F.max(F.greatest("_ln", "_rn")), F.lit(0))
-    ).first()
+    total, biggest = counts.agg(F.coalesce(F.sum(pairs), F.lit(0.0)), F.coalesce(F.max(pairs), F.lit(0.0))).first()
     tasks = _tasks_for(spark, total, tuning)
 
     condition = F.lit(True) if residual is None else residual
-    if biggest <= tuning.rows_per_block:
+    if biggest <= tuning.pairs_per_task:
         for a, b in on:
             condition = (F.col(a) == F.col(b)) & condition
         if tasks > 1:
             left = left.repartition(tasks, *lk)
         return left.join(right, condition, "inner")
 
-    blocks = counts.select(
-        *keys,
-        F.ceil(F.col("_ln") / tuning.rows_per_block).cast("int").alias("_lb"),
-        F.ceil(F.col("_rn") / tuning.rows_per_block).cast("int").alias("_rb"),
-    )
+    side_rows = max(1, math.isqrt(tuning.pairs_per_task))
+
+    def cut(rows: str) -> Column:
+        return F.when(pairs > tuning.pairs_per_task, F.ceil(F.col(rows) / side_rows)).otherwise(F.lit(1)).cast("int")
+
+    blocks = counts.select(*keys, cut("_ln").alias("_lb"), cut("_rn").alias("_rb"))
     blocks = materialize(blocks, "blocks")
 
     def spread(side: DataFrame, names: list[str], own: str, own_n: str, other: str, other_n: str) -> DataFrame:

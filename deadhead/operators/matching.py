@@ -7,7 +7,9 @@ here by rounds over DataFrames. Lanes and tours stay distributed: the driver see
 
 from __future__ import annotations
 
+import itertools
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ from deadhead.storage import materialize
 SLOTS = "abcd"
 # rounds planned on top of each other before the remaining tours and lanes are written again
 ROUNDS_PER_WRITE = 3
+# tables of chosen tours kept apart before they are written as one
+PICKS_PER_WRITE = 30
 
 
 # ---------------------------------------------------------------- model inputs
@@ -194,7 +198,7 @@ def gains(cands: DataFrame, values: DataFrame) -> DataFrame:
     return scored.groupBy("on").agg(best.alias("best")).select("on", "best.*")
 
 
-def greedy_rounds(scored: DataFrame, lanes: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def greedy_rounds(scored: DataFrame, lanes: DataFrame) -> DataFrame:
     """Loads of tours chosen in locally dominant order, ``route_nbr, loads, gain``.
 
     In each round every lane names its best remaining tour, and a tour named by all its lanes runs with the
@@ -203,14 +207,18 @@ def greedy_rounds(scored: DataFrame, lanes: DataFrame, p: Params = DEFAULT) -> D
     only the best tour per lane is ever grouped, by a map-side combined maximum.
     """
     spark = scored.sparkSession
+    scored = materialize(scored, "scored")
+    most_lanes = scored.agg(F.max(F.size("on"))).first()[0] or 0
+    slots = [f"l{i + 1}" for i in range(most_lanes)]
     wide = scored.select(
-        "urgent", "gain", "order", F.size("on").alias("n"), *[F.get("on", F.lit(i)).alias(f"l{i + 1}") for i in range(4)]
+        "urgent", "gain", "order", F.size("on").alias("n"), *[F.get("on", F.lit(i)).alias(s) for i, s in enumerate(slots)]
     )
-    slots = [f"l{i}" for i in range(1, 5)]
-    alive = materialize(wide, "tours-alive")
+    if not slots:
+        return spark.createDataFrame([], "route_nbr long, loads long, gain double")
+    alive = wide
     left = materialize(lanes.filter(F.col("demand") > 0).select("lane", F.col("demand").alias("left")), "lanes-left")
     picked: list[DataFrame] = []
-    for round_nbr in range(1, p.max_rounds + 1):
+    for round_nbr in itertools.count(1):  # ends: each round with a choice uses up a lane
         named = (
             alive.select("urgent", "gain", "order", "n", F.explode(F.array_compact(F.array(*slots))).alias("lane"))
             .groupBy("lane")
@@ -224,9 +232,9 @@ def greedy_rounds(scored: DataFrame, lanes: DataFrame, p: Params = DEFAULT) -> D
             .select((-F.col("best.order")).alias("route_nbr"), "loads", F.col("best.gain").alias("gain"), "on")
         )
         chosen = materialize(chosen, "chosen")
+        picked.append(chosen.drop("on"))
         if chosen.isEmpty():
             break
-        picked.append(chosen.drop("on"))
         used = chosen.select(F.explode("on").alias("lane"), "loads")
         after = left.join(used, "lane", "left").select(
             "lane", (F.col("left") - F.coalesce("loads", F.lit(0))).alias("left")
@@ -237,21 +245,20 @@ def greedy_rounds(scored: DataFrame, lanes: DataFrame, p: Params = DEFAULT) -> D
         left = after.filter(F.col("left") > 0)
         if round_nbr % ROUNDS_PER_WRITE == 0:
             alive, left = materialize(alive, "tours-alive"), materialize(left, "lanes-left")
-    else:
-        raise RuntimeError(f"no end after {p.max_rounds} rounds")
-    if not picked:
-        return spark.createDataFrame([], "route_nbr long, loads long, gain double")
-    result = picked[0]
-    for more in picked[1:]:
-        result = result.unionByName(more)
-    return result
+        if len(picked) == PICKS_PER_WRITE:
+            picked = [materialize(_union(picked), "picked")]
+    return _union(picked)
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
 
 
-def assign_loads(routes: DataFrame, lanes: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def assign_loads(routes: DataFrame, lanes: DataFrame) -> DataFrame:
     """Whole loads per tour, ``route_nbr, loads``: greedy rounds, then fallback tours for what is left to cover."""
     cands = materialize(candidates(routes, lanes), "candidates")
     values = materialize(lane_values(cands), "lane-values")
-    runs = greedy_rounds(gains(cands, values), lanes, p).select("route_nbr", "loads")
+    runs = greedy_rounds(gains(cands, values), lanes).select("route_nbr", "loads")
     runs = materialize(runs, "greedy-runs")
     return runs.unionByName(fallback_runs(cands, values, runs, lanes))
 

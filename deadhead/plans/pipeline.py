@@ -52,14 +52,18 @@ class Pipeline:
 
     @cached_property
     def measured_legs(self) -> DataFrame:
-        return materialize(distance.fill_manual(self.located_legs, self.src.manual_distances), "measured-legs")
+        return distance.fill_manual(self.located_legs, self.src.manual_distances)
+
+    @cached_property
+    def rated_legs(self) -> DataFrame:
+        """Legs with all corrections, the one copy of them that is written."""
+        return materialize(quality.overwrite_rates(self.measured_legs, self.src.partner_rates), "rated-legs")
 
     @cached_property
     def legs(self) -> DataFrame:
-        """Legs that passed the gate, re-rated and purged."""
-        quality.require_distances(self.measured_legs)
-        rated = quality.overwrite_rates(self.measured_legs, self.src.partner_rates)
-        return materialize(quality.purge_legs(rated), "legs")
+        """Legs that passed the gate, without the bad ones."""
+        quality.require_distances(self.rated_legs)
+        return quality.purge_legs(self.rated_legs)
 
     @cached_property
     def edges(self) -> DataFrame:
@@ -101,7 +105,7 @@ class Pipeline:
 
     @cached_property
     def runs(self) -> DataFrame:
-        return materialize(matching.assign_loads(self.routes, self.lane_model, self.p), "runs")
+        return materialize(matching.assign_loads(self.routes, self.lane_model), "runs")
 
     def plan(self, stamp: datetime) -> DataFrame:
         return matching.dedicated_plan(self.routes, self.runs, stamp, self.p)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from deadhead.config import Tuning
 from deadhead.functions.cost import leg_cost, leg_hours
 from deadhead.functions.geo import road_miles
-from deadhead.functions.tables import dense_id, expanding_join, fill_from
+from deadhead.functions.tables import all_pairs, dense_id, expanding_join, fill_from
 
 
 @pytest.mark.parametrize(
@@ -51,16 +51,30 @@ def test_dense_id_of_nothing(spark):
     assert dense_id(spark.createDataFrame([], "a long"), ["a"], "n").count() == 0
 
 
-@pytest.mark.parametrize("rows_per_block", [1, 3, 10_000])
-def test_expanding_join_equals_plain_join_with_a_hot_key(spark, rows_per_block):
+@pytest.mark.parametrize("pairs_per_task", [1, 9, 100, 10_000])
+def test_expanding_join_equals_plain_join_with_a_hot_key(spark, pairs_per_task):
     rng = random.Random(1)
     left = [(0 if rng.random() < 0.4 else rng.randrange(5), i) for i in range(60)] + [(None, 99)]
     right = [(0 if rng.random() < 0.4 else rng.randrange(5), i) for i in range(40)] + [(None, 99)]
     ldf = spark.createDataFrame(left, "x long, i long")
     rdf = spark.createDataFrame(right, "y long, j long")
-    tuning = Tuning(pairs_per_task=100, rows_per_block=rows_per_block)
+    tuning = Tuning(pairs_per_task=pairs_per_task)
     got = expanding_join(ldf, rdf, [("x", "y")], F.col("i") != F.col("j"), tuning)
     assert got.columns == ["x", "i", "y", "j"]
     want = sorted((a, i, b, j) for a, i in left for b, j in right if a is not None and a == b and i != j)
     assert sorted(tuple(r) for r in got.collect()) == want
-    assert got.rdd.getNumPartitions() >= 8
+    # an explicit number of partitions, which adaptive execution does not merge
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("REPARTITION_BY_NUM" in plan) == (pairs_per_task <= 100)
+
+
+@pytest.mark.parametrize("pairs_per_task", [7, 10_000])
+def test_all_pairs(spark, pairs_per_task):
+    left = spark.range(30).withColumnRenamed("id", "a")
+    right = spark.range(7).withColumnRenamed("id", "b")
+    tuning = Tuning(pairs_per_task=pairs_per_task)
+    for x, y in ((left, right), (right, left)):
+        got = all_pairs(x, y, tuning)
+        assert sorted(tuple(r) for r in got.collect()) == sorted((p, q) for p in range(x.count()) for q in range(y.count()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("NestedLoop" in plan or "Cartesian" in plan) == (pairs_per_task == 10_000)

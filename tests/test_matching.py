@@ -74,9 +74,9 @@ def random_case(rng, stores=3, partners=2, tours=8, load=2):
 def test_rounds_equal_taking_tours_one_by_one(spark, seed):
     tours, lanes = random_case(random.Random(seed), stores=8, partners=4, tours=40, load=6)
     routes, lane_df = make(spark, tours, lanes)
-    got = {r.route_nbr: r.loads for r in matching.assign_loads(routes, lane_df, P).collect()}
+    got = {r.route_nbr: r.loads for r in matching.assign_loads(routes, lane_df).collect()}
     assert got == one_by_one(tours, lanes)
-    audit = matching.lane_audit(routes, lane_df, matching.assign_loads(routes, lane_df, P)).collect()
+    audit = matching.lane_audit(routes, lane_df, matching.assign_loads(routes, lane_df)).collect()
     assert not any(r.over for r in audit)
     assert all(r.dedicated + r.one_way == r.demand for r in audit)
 
@@ -103,7 +103,7 @@ def test_half_of_the_best_gain_at_least(spark, seed):
     for i in range(1, 4):  # every store lane has a fallback
         tours.setdefault(i, (120, (i,)))
     routes, lane_df = make(spark, tours, lanes)
-    runs = matching.assign_loads(routes, lane_df, P)
+    runs = matching.assign_loads(routes, lane_df)
     row = matching.run_audit(routes, lane_df, runs).first()
     best = best_objective(tours, lanes)
     plain = sum(lanes[i][0] * min(net(tours, lanes, r) for r in tours if tours[r][1] == (i,)) for i in range(1, 4))
@@ -119,7 +119,7 @@ def test_shared_store_lane_uncovered_lane_and_empty_lane_number(spark):
     tours = {1: (100, (1,)), 2: (120, (1, 11)), 3: (130, (1, 12)), 4: (10, ())}
     lanes = {1: (1, 0, "store"), 2: (3, 0, "store"), 11: (5, 60, "partner"), 12: (5, 90, "partner")}
     routes, lane_df = make(spark, tours, lanes)
-    runs = matching.assign_loads(routes, lane_df, P)
+    runs = matching.assign_loads(routes, lane_df)
     assert [(r.route_nbr, r.loads) for r in runs.collect()] == [(3, 1)]
     assert [tuple(r) for r in matching.uncovered(routes, lane_df).collect()] == [(2, 3)]
     assert matching.run_audit(routes, lane_df, runs).first().asDict() == {
@@ -153,4 +153,4 @@ def test_lane_model_takes_the_cheapest_row(spark):
 
 def test_nothing_to_run(spark):
     routes, lanes = make(spark, {1: (5, (1,))}, {1: (0, 1, "store")})
-    assert matching.assign_loads(routes, lanes, P).count() == 0
+    assert matching.assign_loads(routes, lanes).count() == 0
