@@ -67,7 +67,8 @@ def all_pairs(left: DataFrame, right: DataFrame, tuning: Tuning = TUNING) -> Dat
     longer, shorter = (left, right) if n_left >= n_right else (right, left)
     longer = longer.withColumn("_block", F.pmod(F.xxhash64(*longer.columns), F.lit(blocks)).cast("int"))
     shorter = shorter.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return longer.repartition(tasks, "_block").join(shorter, "_block").select(*columns)
+    # both sides: if one is broadcast, the other still has this many tasks
+    return longer.repartition(tasks, "_block").join(shorter.repartition(tasks, "_block"), "_block").select(*columns)
 
 
 def expanding_join(
@@ -81,7 +82,7 @@ def expanding_join(
 
     The engine sizes tasks by input bytes and would run such a join in one task. Here the pairs per key are
     counted first (a map-side combined count on each side; only two totals reach the driver). They set the
-    number of tasks, and a key with more pairs than a task should make is cut into a grid of blocks: each row
+    number of tasks, and a key with more pairs than a part of a task is cut into a grid of blocks: each row
     goes to one block of its own side and is repeated for the blocks of the other. All pairs still meet once.
     """
     lk, rk = [a for a, _ in on], [b for _, b in on]
@@ -95,17 +96,20 @@ def expanding_join(
     tasks = _tasks_for(spark, total, tuning)
 
     condition = F.lit(True) if residual is None else residual
-    if biggest <= tuning.pairs_per_task:
+    # blocks are hashed to tasks: several per task even out the sizes
+    block_pairs = max(1, tuning.pairs_per_task // 8)
+    if biggest <= block_pairs:
         for a, b in on:
             condition = (F.col(a) == F.col(b)) & condition
         if tasks > 1:
-            left = left.repartition(tasks, *lk)
+            # both sides: if one is broadcast, the other still has this many tasks
+            left, right = left.repartition(tasks, *lk), right.repartition(tasks, *rk)
         return left.join(right, condition, "inner")
 
-    side_rows = max(1, math.isqrt(tuning.pairs_per_task))
+    side_rows = max(1, math.isqrt(block_pairs))
 
     def cut(rows: str) -> Column:
-        return F.when(pairs > tuning.pairs_per_task, F.ceil(F.col(rows) / side_rows)).otherwise(F.lit(1)).cast("int")
+        return F.when(pairs > block_pairs, F.ceil(F.col(rows) / side_rows)).otherwise(F.lit(1)).cast("int")
 
     blocks = counts.select(*keys, cut("_ln").alias("_lb"), cut("_rn").alias("_rb"))
     blocks = materialize(blocks, "blocks")
@@ -120,7 +124,7 @@ def expanding_join(
         )
 
     l2 = spread(left, lk, "_li", "_lb", "_lj", "_rb").repartition(tasks, *lk, "_li", "_lj")
-    r2 = spread(right, rk, "_rj", "_rb", "_ri", "_lb")
+    r2 = spread(right, rk, "_rj", "_rb", "_ri", "_lb").repartition(tasks, *rk, "_ri", "_rj")
     condition = (F.col("_li") == F.col("_ri")) & (F.col("_lj") == F.col("_rj")) & condition
     for a, b in on:
         condition = (F.col(a) == F.col(b)) & condition

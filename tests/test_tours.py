@@ -73,7 +73,7 @@ def test_tours_equal_the_plain_chains(spark, seed, clean):
     edges = random_edges(seed, clean)
     homes = ["D0", "D1", "D2"] if clean else ["D0", "D1", "S1", "P1"]
     edge_df, home_df = frames(spark, edges, homes)
-    tuning = Tuning(pairs_per_task=9) if seed == 3 else Tuning()
+    tuning = Tuning(pairs_per_task=72) if seed == 3 else Tuning()
     got = tours.build_tours(edge_df, home_df, P, tuning)
     want = plain(edges, homes, "tours_all")
     assert spark_rows(got) == want
