@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deadhead.llm import bpe, decontaminate
+from deadhead.llm import bpe, decontaminate, token_files
 from deadhead.llm.common import table
 
 
@@ -20,6 +20,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"), sf_dir)
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_files.Vocabulary(public_tokenizers.path("word_bpe_49k.json"), end=1)
+    manifest = token_files.write(table(spark, sf_dir, "documents"), vocabulary)
+    return token_files.digest(token_files.read(spark, manifest))
+
+
 # stages of the corpus pipeline
 
 
@@ -35,5 +41,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op7_byte_bpe)
+    for f in (op1_decontaminate, op7_byte_bpe, op8_token_files)
 }
