@@ -119,39 +119,31 @@ def scan(
     item: str = "item_id",
     item_text: str = "text",
     broadcast_bytes: int = 8 << 20,
+    out: str = "scan",
 ) -> DataFrame:
-    """All columns of ``docs`` and a struct ``scan``: n_words, n_hit, items with occurring windows, hit word spans."""
+    """All columns of ``docs`` and a struct ``out``: n_words, n_hit, items with occurring windows, hit word spans."""
     items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).na.drop()
     measured = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     if measured > broadcast_bytes:
-        return _scan_by_join(docs, items, n, text)
+        return _scan_by_join(docs, items, n, text, out)
     windows = Windows([(r.item, r.text.encode()) for r in items.toLocalIterator()], n)
     shared = docs.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                out = _scan_batch(shared.value, texts(batch.column(text)))
-                yield _with_struct(batch, out)
+                made = _scan_batch(shared.value, texts(batch.column(text)))
+                struct = pa.StructArray.from_arrays(list(made.values()), names=list(made))
+                yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, out])
 
-    return docs.mapInArrow(run, _schema(docs))
+    given = docs.drop(out)
+    return given.mapInArrow(run, T.StructType([*given.schema.fields, T.StructField(out, T.StructType.fromDDL(SCAN))]))
 
 
-def _schema(docs: DataFrame) -> T.StructType:
-    kept = [f for f in docs.schema if f.name != "scan"]
-    return T.StructType([*kept, T.StructField("scan", T.StructType.fromDDL(SCAN))])
-
-
-def _with_struct(batch: pa.RecordBatch, out: dict[str, pa.Array]) -> pa.RecordBatch:
-    kept = [n for n in batch.schema.names if n != "scan"]
-    struct = pa.StructArray.from_arrays(list(out.values()), names=list(out))
-    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), struct], names=[*kept, "scan"])
-
-
-def _scan_by_join(docs: DataFrame, items: DataFrame, n: int, text: str) -> DataFrame:
+def _scan_by_join(docs: DataFrame, items: DataFrame, n: int, text: str, out: str) -> DataFrame:
     """The same result with the benchmark's windows in a shuffle join, for benchmarks too large to send to each task."""
     row = free_name(docs, "_row")
-    numbered = materialize(docs.drop("scan").withColumn(row, F.monotonically_increasing_id()), "decontaminate")
+    numbered = materialize(docs.drop(out).withColumn(row, F.monotonically_increasing_id()), "decontaminate")
     rows = numbered.select(F.col(row).alias("_row"), F.col(text).alias("_text"))
 
     def words(column: str) -> F.Column:
@@ -198,25 +190,27 @@ def _scan_by_join(docs: DataFrame, items: DataFrame, n: int, text: str) -> DataF
             F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1), F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce("items", empty_items).alias("items"),
             F.coalesce("spans", empty_spans).alias("spans"),
-        ).alias("scan"),
+        ).alias(out),
     )
     return numbered.join(result.withColumnRenamed("_row", row), row).drop(row)
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the contaminated ones; columns as they came."""
-    return scan(docs, benchmark, **options).filter("scan.n_hit = 0").select(*docs.columns)
+    out = free_name(docs, "scan")
+    return scan(docs, benchmark, out=out, **options).filter(F.col(out)["n_hit"] == 0).select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with hit spans cut from ``text``: each run of hit words goes, with what stands between its words."""
-    scanned, names = scan(docs, benchmark, text=text, **options), docs.columns
+    out, names = free_name(docs, "scan"), docs.columns
+    scanned = scan(docs, benchmark, text=text, out=out, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [
                 _cut(t, s["spans"]) if s["spans"] else t
-                for t, s in zip(batch.column(text).to_pylist(), batch.column("scan").to_pylist(), strict=True)
+                for t, s in zip(batch.column(text).to_pylist(), batch.column(out).to_pylist(), strict=True)
             ]
             columns = [pa.array(kept, pa.string()) if n == text else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)

@@ -37,5 +37,23 @@ WITH d AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+""",
+    "op2_substrings": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED_WORDS}') AS w FROM documents
+), windows AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), repeated AS (
+  SELECT g FROM windows GROUP BY g HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM windows JOIN repeated USING (g))
+), words AS (
+  SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM words ANTI JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
 """,
 }

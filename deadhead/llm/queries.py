@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deadhead.llm import bpe, decontaminate, token_files
+from deadhead.llm import bpe, decontaminate, substrings, token_files
 from deadhead.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.digest(substrings.deduplicate(docs, width=35))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"), sf_dir)
 
@@ -29,6 +34,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # stages of the corpus pipeline
 
 
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.remove(docs, width=35)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.remove_spans(docs, table(spark, sf_dir, "benchmark"))
 
@@ -41,5 +50,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op7_byte_bpe, op8_token_files)
+    for f in (op1_decontaminate, op2_substrings, op7_byte_bpe, op8_token_files)
 }

@@ -49,7 +49,7 @@ def test_scan_equals_brute_force(spark, limit):
 
 def test_removal_keeps_columns_and_clean_texts(spark):
     docs = spark.createDataFrame(
-        [(1, "Keep this. The secret answer here! And this.", "s"), (2, "nothing to see", "s"), (3, None, None)], "doc_id long, text string, source string"
+        [(1, "Keep this. The secret answer here! And this.", "s"), (2, "nothing to see", "s"), (3, None, None)], "doc_id long, text string, scan string"
     )
     items = spark.createDataFrame([(9, "the SECRET answer here")], "item_id long, text string")
     spans = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, items, n=4).collect()}
