@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from deadhead.llm import bpe, decontaminate, substrings, token_files
-from deadhead.llm.common import table
+from deadhead.llm import bpe, decontaminate, quality, substrings, token_files, toxicity
+from deadhead.llm.common import crc_mod, free_name, table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,28 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.deduplicate(docs, width=35))
 
 
+def _graded(scored: DataFrame, held_out: Column, score: Column) -> DataFrame:
+    """A classifier's row per document: label 1 is predicted from a score of 0.3."""
+    rows = scored.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_mod("id", 4) != 2)
+    return _graded(toxicity.score(docs, model), crc_mod("doc_id", 4) == 2, F.col("toxicity.score"))
+
+
+def _quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    return quality.fit(docs, table(spark, sf_dir, "labels"), crc_mod("id", 5) != 0)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, _quality_model(spark, docs, sf_dir))
+    return _graded(scored, crc_mod("doc_id", 5) == 0, F.col("score"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"), sf_dir)
 
@@ -34,6 +57,12 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # stages of the corpus pipeline
 
 
+def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    score = free_name(docs, "score")
+    scored = quality.score(docs, _quality_model(spark, docs, sf_dir), out=score)
+    return scored.filter(F.col(score) >= 0.3).select(*docs.columns)
+
+
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return substrings.remove(docs, width=35)
 
@@ -50,5 +79,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_substrings, op7_byte_bpe, op8_token_files)
+    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op5_quality, op7_byte_bpe, op8_token_files)
 }
