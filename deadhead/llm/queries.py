@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deadhead.llm import bpe, decontaminate, quality, substrings, token_files, toxicity
+from deadhead.llm import bpe, decontaminate, quality, substrings, token_files, toxicity, urls
 from deadhead.llm.common import crc_mod, free_name, table
 
 
@@ -54,6 +54,19 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read(spark, manifest))
 
 
+URL_RULES = (
+    urls.Rule("net/", "block"),
+    urls.Rule("example.net/en/", "allow"),
+    urls.Rule("example.com/de/", "block"),
+    urls.Rule("org/fr/", "allow"),
+)
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, urls.unigrams(pages), URL_RULES)
+
+
 # stages of the corpus pipeline
 
 
@@ -79,5 +92,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op5_quality, op7_byte_bpe, op8_token_files)
+    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op5_quality, op7_byte_bpe, op8_token_files, op10_urls)
 }
