@@ -102,8 +102,9 @@ class Block:
         flat = [w for ws in words for w in ws]
         values = hashes.of(flat)
         # the text of words i to j is buffer[at[i] : at[j] - 1], whatever stood between them
-        self.at = lengths_to_starts(np.fromiter(map(len, flat), np.int64, len(flat)) + 1)
         self.buffer = b" ".join(flat)
+        spaces = np.flatnonzero(np.frombuffer(self.buffer, np.uint8) == 32)
+        self.at = np.concatenate(([0], spaces + 1, [len(self.buffer) + 1])) if flat else np.zeros(1, np.int64)
         n = len(flat) - width + 1
         if n <= 0:
             self.starts = self.sizes = np.empty(0, np.int64)
@@ -162,15 +163,18 @@ class Block:
             yield int(target[a]), list(places), windows, list(places.values())
 
 
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = len(self)
+        return found
+
+
 def repeated_windows(strings: list[bytes], counts: list[int], width: int) -> list[np.ndarray]:
     """Per super-k-mer of a bucket, a flag for each window: whether it occurs more than once."""
-    numbers: dict[bytes, int] = {}
-    ids, sizes = [], np.empty(len(strings), np.int64)
-    for k, string in enumerate(strings):
-        own = [numbers.setdefault(w, len(numbers)) for w in string.split(b" ")]
-        sizes[k] = len(own)
-        ids.append(np.array(own, np.int32))
-    flat = np.concatenate(ids)
+    sizes = np.array([string.count(b" ") for string in strings], np.int64) + 1
+    flat = np.fromiter(map(_Numbers().__getitem__, b" ".join(strings).split(b" ")), np.int32, int(sizes.sum()))
     windows = sizes - width + 1
     first = lengths_to_starts(sizes)[:-1]
     begins = lengths_to_starts(windows)
