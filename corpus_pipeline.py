@@ -12,6 +12,9 @@ from deadhead.llm.common import materialize, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", queries.accepted),
+    ("n-gram Jaccard join", queries.one_of_each_group),
+    ("substring dedup", queries.without_repeats),
     ("benchmark decontamination", queries.decontaminated),
     ("byte-level BPE", queries.encoded),
 ]

@@ -55,5 +55,25 @@ WITH d AS (
 )
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
+""",
+    "op9_jaccard": f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_lowered("text")}, '{_SPACED_WORDS}') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), sizes AS (
+  SELECT r, count(*) AS n FROM shingles GROUP BY r
+), links AS (
+  SELECT a.r AS x, b.r AS y
+  FROM shingles a JOIN shingles b USING (s) JOIN sizes m ON m.r = a.r JOIN sizes n ON n.r = b.r
+  WHERE a.r <> b.r
+  GROUP BY a.r, b.r, m.n, n.n HAVING 100 * count(*) >= 90 * (m.n + n.n - count(*))
+), reach(r, x) AS (
+  SELECT r, r FROM d UNION SELECT reach.r, links.y FROM reach JOIN links ON links.x = reach.x
+)
+SELECT any_value(d.doc_id) AS doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(other.doc_id) AS component_id
+FROM d LEFT JOIN sizes USING (r) JOIN reach USING (r) JOIN d other ON other.r = reach.x
+GROUP BY d.r
 """,
 }

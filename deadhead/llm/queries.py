@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deadhead.llm import bpe, decontaminate, quality, substrings, token_files, toxicity, urls
+from deadhead.llm import bpe, decontaminate, jaccard, quality, substrings, token_files, toxicity, urls
 from deadhead.llm.common import crc_mod, free_name, table
 
 
@@ -54,6 +54,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read(spark, manifest))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.digest(jaccard.components(docs, size=3, percent=90))
+
+
 URL_RULES = (
     urls.Rule("net/", "block"),
     urls.Rule("example.net/en/", "allow"),
@@ -69,6 +74,9 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # stages of the corpus pipeline
 
+#: Near-duplicate stages take shingles of five words and a similarity of 0.8.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     score = free_name(docs, "score")
@@ -76,6 +84,10 @@ def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col(score) >= 0.3).select(*docs.columns)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.representatives(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
+
+
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return substrings.remove(docs, width=35)
 
@@ -92,5 +104,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op5_quality, op7_byte_bpe, op8_token_files, op10_urls)
+    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op5_quality, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls)
 }
