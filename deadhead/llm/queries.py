@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deadhead.llm import bpe, decontaminate, jaccard, quality, substrings, token_files, toxicity, urls
+from deadhead.llm import bpe, decontaminate, jaccard, ngram_lm, quality, substrings, token_files, toxicity, urls
 from deadhead.llm.common import crc_mod, free_name, table
 
 
@@ -44,6 +44,21 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(scored, crc_mod("doc_id", 5) == 0, F.col("score"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngram_lm.fit(docs, training=crc_mod("doc_id", 5) != 1)
+    scored = ngram_lm.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (crc_mod("doc_id", 5) == 1).alias("held_out"),
+        F.col("lm.n_tokens").alias("n_tokens"),
+        F.col("lm.n_known").alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.col("lm.base_score").alias("base_score"),
+        F.col("lm.score").alias("score"),
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"), sf_dir)
 
@@ -104,5 +119,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op5_quality, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls)
+    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op5_quality, op6_language_model, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls)
 }
