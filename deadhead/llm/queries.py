@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deadhead.llm import bpe, decontaminate, jaccard, ngram_lm, quality, substrings, token_files, toxicity, urls
+from deadhead.llm import bpe, decontaminate, jaccard, neighbours, ngram_lm, quality, substrings, token_files, toxicity, urls
 from deadhead.llm.common import crc_mod, free_name, table
 
 
@@ -34,6 +34,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(toxicity.score(docs, model), crc_mod("doc_id", 4) == 2, F.col("toxicity.score"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def _quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
     return quality.fit(docs, table(spark, sf_dir, "labels"), crc_mod("id", 5) != 0)
 
@@ -119,5 +123,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op5_quality, op6_language_model, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls)
+    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_neighbours, op5_quality, op6_language_model, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls)
 }
