@@ -377,6 +377,7 @@ BLOCKS["assignment_audit"] = """
          must_cover AND dedicated < demand AS short FROM lane_use"""
 BLOCKS["audit_totals"] = """
   SELECT count(*) FILTER (over) AS lanes_over, count(*) FILTER (short) AS lanes_short,
+         count(*) FILTER (short AND lane IN (SELECT lane FROM incidence)) AS coverable_short,
          CAST(coalesce(sum(one_way) FILTER (short), 0) AS BIGINT) AS loads_short,
          (SELECT sum(loads * net) FROM assignment JOIN net_cost USING (route_nbr)) AS objective,
          (SELECT count(*) FROM assignment WHERE loads < 0) AS bad_loads
@@ -412,8 +413,9 @@ BLOCKS["worths"] = " UNION ALL ".join(
     for a, b in (("other_first", "store_second"), ("store_first", "other_second"), ("other_taken", "store_taken"))
 )
 BLOCKS["matching_gap"] = """
-  SELECT objective, bound, (objective - bound) / abs(objective) AS gap, (objective - bound) / abs(objective) <= 0.01 AS within_target
-  FROM (SELECT (SELECT sum(loads * net) FROM assignment JOIN net_cost USING (route_nbr)) AS objective,
+  SELECT objective, bound, (objective - bound) / abs(objective) AS gap, coverable_short,
+         coverable_short = 0 AND objective - bound <= 0.01 * abs(objective) AS within_target
+  FROM (SELECT (SELECT coverable_short FROM audit_totals) AS coverable_short, (SELECT sum(loads * net) FROM assignment JOIN net_cost USING (route_nbr)) AS objective,
                (SELECT sum(value * demand) FROM lane_value JOIN lane_model USING (lane)) - (SELECT min(worth) FROM worths) AS bound)"""
 BLOCKS["oneway_remainder"] = """
   SELECT CAST(lane AS VARCHAR) AS pair_number, demand - dedicated AS loads, 'backhaul matching' AS description

@@ -34,12 +34,13 @@ def dense_id(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     placed = placed.withColumn("_part", F.shiftrightunsigned("_place", 33)).withColumn(
         "_row", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     )
-    # one row per shuffle partition: bounded by the partition count, whatever the data size
+    # one row per shuffle partition, bounded by the partition count whatever the data size: sent to the rows,
+    # so that these are not shuffled a second time
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     return (
-        placed.join(starts, "_part")
+        placed.join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + F.col("_row") + 1)
         .drop("_place", "_part", "_row", "_start")
     )
@@ -51,24 +52,41 @@ def _tasks_for(spark: SparkSession, rows: float, tuning: Tuning) -> int:
     return max(tasks, spark.sparkContext.defaultParallelism) if tasks > 1 else 1
 
 
+def grid(n_left: int, n_right: int, tasks: int) -> tuple[int, int]:
+    """Blocks of the two sides of a product whose cells are about square, several cells for each task."""
+    side = math.sqrt(float(n_left) * n_right / (8 * tasks)) if tasks > 1 else float("inf")
+    return max(1, math.ceil(n_left / max(side, 1.0))), max(1, math.ceil(n_right / max(side, 1.0)))
+
+
 def all_pairs(left: DataFrame, right: DataFrame, tuning: Tuning = TUNING) -> DataFrame:
     """Every row of one list with every row of another, cut into tasks by the size of the result.
 
-    A large product is an equi-join on a block number: each row of the longer list is in one block, the
-    shorter list is repeated for all blocks.
+    The product is an equi-join on the cells of a grid: each row of a list is in one block of its own side and is
+    repeated for the blocks of the other. Both sides are cut so that a cell is about square, so the rows repeated
+    grow with the square root of the result's size for each task, not with the result.
     """
     n_left, n_right = left.count(), right.count()
     tasks = _tasks_for(left.sparkSession, float(n_left) * n_right, tuning)
-    if tasks == 1:
-        return left.crossJoin(right)
-    # block numbers are hashed to tasks: several per task even out the sizes
-    blocks = 8 * tasks
     columns = [*left.columns, *right.columns]
-    longer, shorter = (left, right) if n_left >= n_right else (right, left)
-    longer = longer.withColumn("_block", F.pmod(F.xxhash64(*longer.columns), F.lit(blocks)).cast("int"))
-    shorter = shorter.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    # both sides: if one is broadcast, the other still has this many tasks
-    return longer.repartition(tasks, "_block").join(shorter.repartition(tasks, "_block"), "_block").select(*columns)
+    cuts = grid(n_left, n_right, tasks)
+
+    def placed(df: DataFrame, own: str, own_cuts: int, other: str, other_cuts: int) -> DataFrame:
+        cell = F.pmod(F.xxhash64(*df.columns), F.lit(own_cuts)).cast("int")
+        df = df.withColumn(own, cell).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_cuts - 1))))
+        # both sides: if one is broadcast, the other still has this many tasks
+        return df.repartition(tasks, "_i", "_j") if tasks > 1 else df
+
+    one = placed(left, "_i", cuts[0], "_j", cuts[1])
+    two = placed(right, "_j", cuts[1], "_i", cuts[0])
+    return one.join(two, ["_i", "_j"]).select(*columns)
+
+
+def spread_null(key: Column, by: Column) -> Column:
+    """``key`` for a left join on positive numbers: NULL becomes one of many negative numbers, which match nothing.
+
+    Rows without a key then do not all meet in one task.
+    """
+    return F.coalesce(key, -1 - F.pmod(F.xxhash64(by), F.lit(1 << 20)))
 
 
 def expanding_join(

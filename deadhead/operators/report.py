@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deadhead import labels
+from deadhead.functions.tables import spread_null
 
 SLOTS = "abcd"
 LANE_METRICS = [
@@ -31,15 +32,17 @@ def route_lanes(plan: DataFrame, tours: DataFrame, demand: DataFrame) -> DataFra
     details = tours.withColumn("loaded_pct", F.try_divide(_sum(loaded), F.col("total_dist"))).drop("mode", "home_dc")
     out = plan.join(details, "route_nbr", "left")
     for i, s in enumerate(SLOTS, start=1):
-        lane = demand.select(
-            F.col("pair_number").alias(f"pair_nbr{i}"),
+        lane = demand.filter(F.col("pair_number").isNotNull()).select(
+            F.col("pair_number").alias("_lane"),
             F.col("o_city").alias(f"{s}_ocity"),
             F.col("d_city").alias(f"{s}_dcity"),
             F.col("o_state").alias(f"{s}_ostate"),
             F.col("d_state").alias(f"{s}_dstate"),
             F.col("ow_cost_per_load").alias(f"leg{i}_ow_cost"),
         )
-        out = out.join(lane, f"pair_nbr{i}", "left")
+        # tours of two legs have no lane in the later slots
+        key = spread_null(F.col(f"pair_nbr{i}"), F.col("route_nbr"))
+        out = out.withColumn("_key", key).join(lane, F.col("_key") == F.col("_lane"), "left").drop("_key", "_lane")
     return out
 
 
@@ -128,8 +131,9 @@ def lane_to_route(savings: DataFrame) -> DataFrame:
 def lane_rollup(lookup: DataFrame) -> DataFrame:
     """Per lane: its tours, loads, and plain or load-weighted averages.
 
-    Route numbers are listed in ascending order. A lane's list is bounded by its weekly loads, as every chosen
-    tour carries at least one of them.
+    Route numbers are listed in ascending order. The list is a text for the report, as long as the lane has tours:
+    its weekly loads at most for a plan, all tours of the lane (times the carriers of its campus) otherwise.
+    ``lane_to_route`` is the same as a table. The numbers are summed apart from the list, combined before they move.
     """
     loads = F.sum("ded_loads")
 
@@ -137,8 +141,8 @@ def lane_rollup(lookup: DataFrame) -> DataFrame:
         return F.try_divide(F.sum(F.col(column) * F.col("ded_loads")), loads)
 
     numbers = F.transform(F.sort_array(F.collect_list("route_nbr")), lambda n: n.cast("string"))
-    return lookup.groupBy("pair_nbr1").agg(
-        F.array_join(numbers, ", ").alias("route_nbrs"),
+    listed = lookup.groupBy("pair_nbr1").agg(F.array_join(numbers, ", ").alias("route_nbrs"))
+    measured = lookup.groupBy("pair_nbr1").agg(
         loads.alias("model_ded_loads"),
         weighted("oor_dist").alias("avg_oor_miles"),
         F.avg("effective_rt_cost").alias("avg_effective_rt_cost"),
@@ -146,6 +150,7 @@ def lane_rollup(lookup: DataFrame) -> DataFrame:
         F.avg("loaded_pct").alias("avg_loaded_pct"),
         weighted("savings_pct").alias("avg_savings_pct"),
     )
+    return listed.join(measured, "pair_nbr1")
 
 
 def lanes_on_routes(demand: DataFrame, rollup: DataFrame) -> DataFrame:

@@ -172,7 +172,8 @@ def build_tours(
     the home. That key is finer than either facility, and no three-leg chain is ever stored.
     """
     extra = ("pair_number",) if lanes is not None else ()
-    legs = tour_legs(edges)
+    # no leg is negative, so a longer one is on no tour
+    legs = tour_legs(edges).filter(F.col("dist") <= p.max_miles)
     if lanes is not None:
         numbers = lanes.select(F.col("o_id").alias("origin"), F.col("d_id").alias("dest"), "pair_number")
         legs = legs.join(numbers, ["origin", "dest"], "left")

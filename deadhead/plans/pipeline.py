@@ -42,9 +42,9 @@ class Pipeline:
 
     @cached_property
     def located_legs(self) -> DataFrame:
-        """Legs after the distance table and the coordinates."""
+        """Legs after the distance table and the coordinates; written, as the report and the corrections both read them."""
         tabled = distance.fill_from_table(self.labelled_legs, self.src.distance_table)
-        return distance.fill_geodesic(tabled, self.src.postal_codes, self.p)
+        return materialize(distance.fill_geodesic(tabled, self.src.postal_codes, self.p), "located-legs")
 
     @cached_property
     def missing_distances(self) -> DataFrame:

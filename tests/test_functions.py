@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from deadhead.config import Tuning
 from deadhead.functions.cost import leg_cost, leg_hours
 from deadhead.functions.geo import road_miles
-from deadhead.functions.tables import all_pairs, dense_id, expanding_join, fill_from
+from deadhead.functions.tables import all_pairs, dense_id, expanding_join, fill_from, grid
 
 
 @pytest.mark.parametrize(
@@ -78,3 +78,10 @@ def test_all_pairs(spark, pairs_per_task):
         assert sorted(tuple(r) for r in got.collect()) == sorted((p, q) for p in range(x.count()) for q in range(y.count()))
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert ("NestedLoop" in plan or "Cartesian" in plan) == (pairs_per_task == 10_000)
+
+
+@pytest.mark.parametrize(("n_left", "n_right", "tasks"), [(2_000, 2_000, 8), (1_000_000, 100_000, 100_000), (500_000, 300, 300)])
+def test_grid_repeats_few_rows(n_left, n_right, tasks):
+    own, other = grid(n_left, n_right, tasks)
+    assert n_left * other + n_right * own <= 0.05 * n_left * n_right
+    assert own * other >= tasks

@@ -70,11 +70,51 @@ def random_case(rng, stores=3, partners=2, tours=8, load=2):
     return routes, lanes
 
 
+def test_an_exchange_covers_a_short_store_lane(spark):
+    tours = {20: (100, (1, 11)), 21: (150, (1, 12)), 22: (100, (2, 11))}
+    lanes = {1: (1, 0, "store"), 2: (1, 0, "store"), 11: (1, 10, "partner"), 12: (1, 10, "partner")}
+    routes, lane_df = make(spark, tours, lanes)
+    runs = matching.assign_loads(routes, lane_df)
+    assert sorted(tuple(r) for r in runs.collect()) == [(21, 1), (22, 1)]
+    gap = matching.optimality_gap(routes, lane_df, runs, P).first()
+    assert gap.coverable_short == 0 and gap.bound <= gap.objective == 230
+
+
+def test_no_verdict_for_a_plan_that_leaves_a_coverable_lane_short(spark):
+    routes, lane_df = make(spark, {20: (100, (1, 11))}, {1: (2, 0, "store"), 11: (1, 10, "partner")})
+    runs = matching.assign_loads(routes, lane_df)
+    assert [tuple(r) for r in runs.collect()] == [(20, 1)]
+    gap = matching.optimality_gap(routes, lane_df, runs, P).first()
+    assert (gap.coverable_short, gap.within_target) == (1, False)
+
+
+def test_verdict_of_an_empty_plan(spark):
+    routes, lane_df = make(spark, {1: (5, (1,))}, {1: (0, 1, "store")})
+    gap = matching.optimality_gap(routes, lane_df, matching.assign_loads(routes, lane_df), P).first()
+    assert (gap.objective, gap.coverable_short, gap.within_target) == (0.0, 0, True)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_feasible_without_fallbacks_whenever_any_plan_is(spark, seed):
+    rng = random.Random(50 + seed)
+    stores, partners = 3, 3
+    tours = {r: (rng.randrange(50, 300), (rng.randrange(1, stores + 1), 11 + rng.randrange(partners))) for r in range(20, 26)}
+    lanes = {i: (rng.randrange(3), 0, "store") for i in range(1, stores + 1)} | {10 + i: (rng.randrange(1, 3), 90, "partner") for i in range(1, partners + 1)}
+    routes, lane_df = make(spark, tours, lanes)
+    runs = matching.assign_loads(routes, lane_df)
+    audit = matching.run_audit(routes, lane_df, runs).first()
+    assert (audit.lanes_over, audit.bad_loads) == (0, 0)
+    assert (audit.lanes_short == 0) == (best_objective(tours, lanes) is not None)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_rounds_equal_taking_tours_one_by_one(spark, seed):
     tours, lanes = random_case(random.Random(seed), stores=8, partners=4, tours=40, load=6)
     routes, lane_df = make(spark, tours, lanes)
-    got = {r.route_nbr: r.loads for r in matching.assign_loads(routes, lane_df).collect()}
+    cands = matching.candidates(routes, lane_df)
+    values = matching.lane_values(cands)
+    greedy = matching.greedy_rounds(matching.gains(cands, values), lane_df).select("route_nbr", "loads")
+    got = {r.route_nbr: r.loads for r in greedy.unionByName(matching.fallback_runs(cands, values, greedy, lane_df)).collect()}
     assert got == one_by_one(tours, lanes)
     audit = matching.lane_audit(routes, lane_df, matching.assign_loads(routes, lane_df)).collect()
     assert not any(r.over for r in audit)
@@ -123,7 +163,7 @@ def test_shared_store_lane_uncovered_lane_and_empty_lane_number(spark):
     assert [(r.route_nbr, r.loads) for r in runs.collect()] == [(3, 1)]
     assert [tuple(r) for r in matching.uncovered(routes, lane_df).collect()] == [(2, 3)]
     assert matching.run_audit(routes, lane_df, runs).first().asDict() == {
-        "lanes_over": 0, "lanes_short": 1, "loads_short": 3, "objective": 40.0, "bad_loads": 0,
+        "lanes_over": 0, "lanes_short": 1, "coverable_short": 0, "loads_short": 3, "objective": 40.0, "bad_loads": 0,
     }
     left = {r.pair_number: r.loads for r in matching.one_way_loads(routes, lane_df, runs, P).collect()}
     assert left == {"2": 3, "11": 5, "12": 4}
