@@ -129,7 +129,7 @@ BLOCKS["empty_demand"] = """
   LEFT JOIN (SELECT DISTINCT * FROM fx_places) pd ON pd.loc_nbr = l.d_id
   WHERE k.cal_dt >= DATE '1998-01-01' AND l.ship_type = 25
     AND l.o_type || '-' || l.d_type IN ('STR-BDC', 'STR-FDC', 'STR-FDC/BDC')
-  GROUP BY ALL HAVING count(*) >= 10"""
+  GROUP BY ALL HAVING count(*) >= $min_loads"""
 BLOCKS["partner_ok"] = """
   SELECT * FROM fx_partner
   WHERE volume >= 20 AND origin_id IS NOT NULL AND dest_id IS NOT NULL
@@ -558,7 +558,7 @@ def _needed(name: str, given: tuple[str, ...]) -> list[str]:
     return [b for b in BLOCKS if b in seen]
 
 
-def statement(name: str, given: tuple[str, ...] = ()) -> str:
+def statement(name: str, given: tuple[str, ...] = (), min_loads: int = 10) -> str:
     """The whole statement for one query; doubles are compared at six digits.
 
     Blocks in ``given`` are taken to exist as tables.
@@ -568,4 +568,4 @@ def statement(name: str, given: tuple[str, ...] = ()) -> str:
     )
     rounded = ", ".join(f"CASE WHEN abs({c}) < 5e-7 THEN 0 ELSE round({c}, 6) END AS {c}" for c in DOUBLES.get(name, []))
     columns = f"* REPLACE ({rounded})" if rounded else "*"
-    return f"WITH RECURSIVE {parts}\nSELECT {columns} FROM {name}"
+    return f"WITH RECURSIVE {parts}\nSELECT {columns} FROM {name}".replace("$min_loads", str(min_loads))
