@@ -231,7 +231,7 @@ def absent(*names: str) -> str:
 
 
 def empty_share(names: str) -> str:
-    empty = " + ".join(f"(1 - {s}_loaded_ind) * {s}_dist" for s in names)
+    empty = " + ".join(f"CASE WHEN {s}_loaded_ind = 0 THEN {s}_dist ELSE 0 END" for s in names)
     return f"({empty}) / nullif({' + '.join(f'{s}_dist' for s in names)}, 0)"
 
 
@@ -251,8 +251,7 @@ BLOCKS["chains3"] = f"""
   SELECT DISTINCT {slots('a', 'b')}, {from_edge('z', 'c')}
   FROM chains2 JOIN edges z ON z.o_id = b_dest
   WHERE a_origin <> b_dest AND b_loaded_ind + z.loaded_ind > 0
-    AND z.o_id <> a_origin AND z.o_id <> b_origin AND z.o_id <> a_dest
-    AND z.d_id <> a_dest AND z.d_id <> b_dest AND z.d_id <> b_origin
+    AND z.o_id NOT IN (a_origin, b_origin, a_dest) AND z.d_id NOT IN (a_dest, b_dest, b_origin)
     AND a_dist + b_dist + z.dist <= 1200"""
 BLOCKS["tours3"] = f"""
   SELECT {slots('a', 'b', 'c')}, {absent('d')}, 1 + {stops('ab')} AS dc_count, a_dist + b_dist + c_dist AS total_dist
@@ -264,10 +263,10 @@ BLOCKS["tours4"] = f"""
            a_dist + b_dist + c_dist + w.dist AS total_dist
     FROM chains3 JOIN edges w ON w.o_id = c_dest AND w.d_id = a_origin
     WHERE c_loaded_ind + w.loaded_ind > 0 AND a_origin <> c_dest AND a_origin IN (SELECT dc FROM campuses)
-      AND w.o_id <> a_origin AND w.o_id <> b_origin AND w.o_id <> c_origin AND w.o_id <> a_dest AND w.o_id <> b_dest
-      AND w.d_id <> a_dest AND w.d_id <> b_dest AND w.d_id <> c_dest AND w.d_id <> b_origin AND w.d_id <> c_origin)
+      AND w.o_id NOT IN (a_origin, b_origin, c_origin, a_dest, b_dest)
+      AND w.d_id NOT IN (a_dest, b_dest, c_dest, b_origin, c_origin))
   WHERE total_dist <= 1200 AND contains(a_leg || b_leg || c_leg || d_leg, 'SRS')
-    AND {empty_share('abcd')} < 0.5 AND dc_count < 4"""
+    AND {empty_share('abcd')} < 0.5 AND {stops('abc')} < 3"""
 BLOCKS["tours_all"] = """
   SELECT *, 'D' AS mode FROM tours2 UNION ALL BY NAME SELECT *, 'D' AS mode FROM tours3
   UNION ALL BY NAME SELECT *, 'D' AS mode FROM tours4"""
@@ -468,9 +467,9 @@ def _report(plan: str, suffix: str) -> None:
     BLOCKS[f"tour_savings{suffix}"] = f"""
       SELECT home_dc, c.campus_nbr_nm, c.scac, route_nbr, loads AS ded_loads, mode, total_dist, {_TOUR}, {extra},
              pair_nbr1, pair_nbr2, pair_nbr3, pair_nbr4, loaded_pct, baseline_cost, partner_credit, rf_cost,
-             baseline_cost - rf_cost + partner_credit AS savings_per_load,
-             (baseline_cost - rf_cost + partner_credit) * loads AS total_savings_per_week,
-             rf_cost - partner_credit AS effective_rt_cost, total_dist - a_dist - a_dist AS oor_dist
+             baseline_cost - (rf_cost - partner_credit) AS savings_per_load,
+             (baseline_cost - (rf_cost - partner_credit)) * loads AS total_savings_per_week,
+             rf_cost - partner_credit AS effective_rt_cost, total_dist - 2 * a_dist AS oor_dist
       FROM tour_baseline{suffix} LEFT JOIN fx_campus c ON c.campus_name = home_dc"""
     text = " || ".join(
         f"CASE {s}_loaded_ind WHEN 1 THEN '->' WHEN 0 THEN '-' ELSE '' END || coalesce({s}_dest, '')" for s in "abcd"
