@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deadhead.llm import labelled
-from deadhead.llm.common import lengths_to_starts, texts
+from deadhead.llm.common import lengths_to_starts, materialize, texts
 
 #: Sentence ends become full stops, other separators spaces.
 _TABLE = bytes(
@@ -99,29 +99,26 @@ class Model:
         return scores, firsts, -np.expm1(noisy_or(logits, firsts, filled))
 
 
+def informative(ones: np.ndarray, every: np.ndarray, share: float, least: float = 20.0) -> np.ndarray:
+    """Weights that documents of label 1 have more often than the others, by a log-likelihood ratio of ``least``.
+
+    ``ones`` and ``every`` count the documents of label 1 and all documents with the weight's words. Chance alone passes
+    the ratio in about one of 1e5 cases.
+    """
+    return (_ratio(ones, every, share) >= least) & (ones > every * share)
+
+
 def learn(
-    sentence: np.ndarray, word: np.ndarray, firsts: np.ndarray, y: np.ndarray, slots: int, least: float = 20.0, steps: int = 80, rate: float = 0.05
+    sentence: np.ndarray, word: np.ndarray, firsts: np.ndarray, y: np.ndarray, model: Model, odds: np.ndarray, steps: int = 80, rate: float = 0.05
 ) -> Model:
     """Gradient steps on the documents' log-likelihood under the noisy-or, from the words' log odds.
 
-    Features are those that documents of label 1 have more often than the others, by a log-likelihood ratio of ``least`` (a
-    chance of some 1e-5 each); their weights stay positive, so that no word excuses another.
+    Weights stay positive, so that no word excuses another.
     """
-    n = int(firsts[-1])
-    model = Model(np.zeros(slots), float(-np.log(max(np.diff(firsts).mean(), 1.0)) - 4) if len(y) else -4.0)
-    if len(y) == 0 or y.min() == y.max():
-        return model
+    n, b = int(firsts[-1]), model.base
     document = np.repeat(np.arange(len(y)), np.diff(firsts))
-    seen = np.unique(document[sentence] * slots + word)
-    of_label = y[seen // slots] == 1
-    ones = np.bincount(seen[of_label] % slots, minlength=slots)
-    every = np.bincount(seen % slots, minlength=slots)
-    share = y.mean()
-    used = (_ratio(ones, every, share) >= least) & (ones > every * share)
-    keep = used[word]
-    sentence, word = sentence[keep], word[keep]
     names, own = np.unique(word, return_inverse=True)
-    w, b = np.log((ones[names] + 0.5) / (every - ones)[names].clip(0.5)) + np.log((1 - share) / share), model.base
+    w = odds[names]
     filled = np.ones(n, bool)
     first, second = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for step in range(1, steps + 1):
@@ -154,25 +151,63 @@ def fit(
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Slots(slots)
         for batch in batches:
-            made = []
+            made, counts = [], []
             for t in texts(batch.column("text")):
                 sentence, word, firsts = sentence_words([t], table)
-                made.append(np.concatenate(([firsts[-1]], sentence, word)).astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.binary())], names=["id", "pairs"])
+                made.append(np.concatenate((sentence, word)).astype("<i4").tobytes())
+                counts.append(int(firsts[-1]))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.int64()), pa.array(made, pa.binary())], names=["id", "sentences", "pairs"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ones, every = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+        for batch in batches:
+            for pairs, y in zip(batch.column("pairs").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                words = np.unique(_halves(pairs)[1])
+                every[words] += 1
+                ones[words] += y == 1
+        some = np.flatnonzero(every)
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(some), "ones": pa.array(ones[some]), "n": pa.array(every[some])})
+
+    pairs = own.mapInArrow(read, T.StructType([own.schema["id"], *T.StructType.fromDDL("sentences long, pairs binary")]))
+    taught = materialize(pairs.join(known, "id").select("sentences", "pairs", "label"), "toxicity-sample")
+    n, positive, sentences = taught.agg(F.count("*"), F.sum((F.col("label") == 1).cast("int")), F.sum("sentences")).first()
+    model = Model(np.zeros(slots), -4.0 - float(np.log(max(1.0, (sentences or 0) / max(n, 1)))))
+    if not positive or positive == n:
+        return model
+    share = positive / n
+    found = taught.mapInArrow(count, "slot long, ones long, n long").groupBy("slot").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n"))
+    stats = found.filter((F.col("ones") > 1) & (F.col("ones") > F.col("n") * share)).toArrow()  # at most slots rows
+    slot, ones, every = (stats.column(c).to_numpy().astype(np.int64) for c in ("slot", "ones", "n"))
+    odds = np.zeros(slots)
+    odds[slot] = np.log((ones + 0.5) / np.maximum(every - ones, 0.5)) + np.log((1 - share) / share)
+    used = np.zeros(slots, bool)
+    used[slot] = informative(ones, every, share)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for pairs in batch.column("pairs").to_pylist():
+                sentence, word = _halves(pairs)
+                here = used[word]
+                made.append(np.concatenate((sentence[here], word[here])).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("sentences"), pa.array(made, pa.binary()), batch.column("label")], names=["sentences", "pairs", "label"])
 
-    read_ = own.mapInArrow(read, T.StructType([own.schema["id"], T.StructField("pairs", T.BinaryType())]))
     sentence, word, counts, y = [], [], [], []
-    done = 0
-    for r in read_.join(known, "id").select("pairs", "label").orderBy(F.xxhash64("pairs"), "label").collect():  # a bounded sample
-        found = np.frombuffer(r.pairs, "<i4").astype(np.int64)
-        half = 1 + (len(found) - 1) // 2
-        sentence.append(found[1:half] + done)
-        word.append(found[half:])
-        counts.append(int(found[0]))
+    for r in taught.mapInArrow(keep, taught.schema).orderBy(F.xxhash64("pairs"), "label").toLocalIterator():  # a bounded sample
+        at, words = _halves(r.pairs)
+        sentence.append(at)
+        word.append(words)
+        counts.append(r.sentences)
         y.append(r.label)
-        done += counts[-1]
-    none = [np.empty(0, np.int64)]
-    return learn(np.concatenate(sentence or none), np.concatenate(word or none), lengths_to_starts(np.array(counts, np.int64)).astype(np.int64), np.array(y), slots)
+    firsts = lengths_to_starts(np.array(counts, np.int64)).astype(np.int64)
+    shifted = np.concatenate([at + begin for at, begin in zip(sentence, firsts[:-1].tolist(), strict=True)])
+    return learn(shifted, np.concatenate(word), firsts, np.array(y), model, odds)
+
+
+def _halves(pairs: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The sentence and the weight of each pair."""
+    found = np.frombuffer(pairs, "<i4").astype(np.int64)
+    return found[: len(found) // 2], found[len(found) // 2 :]
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity", threshold: float = 0.3) -> DataFrame:
