@@ -37,7 +37,7 @@ FOOTER = struct.Struct("<QQIIQ8s")
 BLOCK = 32_768
 #: Ids unpacked at once by ``read``.
 READ_IDS = 1 << 20
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
 
@@ -155,27 +155,55 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Stands between runs that are encoded in one call; runs that hold it are encoded alone.
+BETWEEN = "\x01"
+CALL = 500
+
+
 class WordIds(dict):
     """Ids of each run without ASCII white space, remembered for a bounded number of runs.
 
-    The vocabularies meant here drop white space and never join across it, so a text's ids are those of its runs.
+    The vocabularies meant here drop white space and never join across it, so a text's ids are those of its runs. When the
+    memory is full, the runs met since it was last full are kept in a second one, so frequent runs stay known.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
+        self.before: dict[bytes, bytes] = {}
+        between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
 
     def batch(self, raw: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         words = [t.split() for t in raw]
-        new = {w for ws in words for w in ws if w not in self}
+        here = set().union(*words)
+        new = here.difference(self)
         if len(self) + len(new) > REMEMBERED:
+            self.before = dict(self)
             self.clear()
-            new = {w for ws in words for w in ws}
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        for word, encoded in zip(new, found, strict=True):
-            self[word] = np.array(encoded.ids, "<u4").tobytes()
+            new = here
+        known = {w: self.before[w] for w in new if w in self.before}
+        self.update(known)
+        self._learn([w for w in new if w not in known])
         return [b"".join(map(self.__getitem__, ws)) for ws in words]
 
+    def _learn(self, new: list[bytes]) -> None:
+        mark = BETWEEN.encode()
+        alone = [w for w in new if mark in w] if self.between is not None else new
+        for word, found in zip(alone, self.tokenizer.encode_batch([w.decode() for w in alone], add_special_tokens=False), strict=True):
+            self[word] = np.array(found.ids, "<u4").tobytes()
+        rest = [w for w in new if mark not in w] if self.between is not None else []
+        calls = [rest[i : i + CALL] for i in range(0, len(rest), CALL)]
+        gap = b" " + mark + b" "
+        found = self.tokenizer.encode_batch_fast([gap.join(c).decode() for c in calls], add_special_tokens=False)
+        for call, encoded in zip(calls, found, strict=True):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.between), len(ids)) * 4
+            data, at = ids.tobytes(), 0
+            for word, end in zip(call, ends.tolist(), strict=True):
+                self[word] = data[at:end]
+                at = end + 4
+
 
 @functools.lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:

@@ -31,7 +31,7 @@ def expected(docs):
 
 def test_files_equal_the_library(spark):
     r = random.Random(1)
-    parts = ["The", "don't", "É́", "x y", "\x1c", "a b", "<|endoftext|>", "ΟΔΟΣ", "İ", "12", "!?", "😀", "́", "ﬁ", "\u0085"]
+    parts = ["The", "word,", "Word!!", "é,", "it's.", "a'", "'s", "x%%%", "9.", "́.", "é;", "…,", "<|endoftext|>.", "\x01", "a\x01b", "don't", "É́", "x y", "\x1c", "a b", "<|endoftext|>", "ΟΔΟΣ", "İ", "12", "!?", "\x01", "a\x01b", "😀", "́", "ﬁ", "\u0085"]
     docs = [(i * 3, "".join(r.choice(parts) + r.choice(["", " ", "\n", "\t", "  "]) for _ in range(r.randint(0, 80)))) for i in range(50)]
     docs += [(1, None), (2, ""), (4, "long " * 30_000), (None, "no id"), (-5, "before")]
     r.shuffle(docs)
