@@ -106,6 +106,29 @@ def window_hashes(values: np.ndarray, width: int, multiplier: int = MULTIPLIER)
         size *= 2
 
 
+def buffer_hashes(buffer: bytes, at: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words joined by one byte: word i is ``buffer[at[i] : at[i + 1] - 1]``. Eight bytes at a time."""
+    sizes = np.diff(at) - 1
+    eights = np.ndarray((len(buffer) + 1,), "<u8", buffer + bytes(8), strides=(1,))
+    found = sizes.astype(np.uint64) * np.uint64(MULTIPLIER)
+    here, done = np.arange(len(sizes)), 0
+    while len(here):
+        rest = sizes[here] - done
+        part = eights[at[here] + done]
+        cut = rest < 8
+        part[cut] &= (np.uint64(1) << (rest[cut] * 8).astype(np.uint64)) - np.uint64(1)
+        found[here] = mixed(found[here] ^ part)
+        here, done = here[rest > 8], done + 8
+    return found
+
+
+def word_starts(buffer: bytes) -> np.ndarray:
+    """Starts of the words of a text joined by single spaces, and the place behind its last space."""
+    if not buffer:
+        return np.zeros(1, np.int64)
+    return np.concatenate(([0], np.flatnonzero(np.frombuffer(buffer, np.uint8) == 32) + 1, [len(buffer) + 1]))
+
+
 def lengths_to_starts(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(lengths)))
 

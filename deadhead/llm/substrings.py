@@ -7,7 +7,7 @@ occurs anywhere else too, in the same document or another; windows are judged on
 * In a block, every window has a minimiser, the smallest hash among its ``seed``-word runs. Consecutive windows with the
   same minimiser form one super-k-mer, which travels as one string of words to the bucket of its minimiser. Equal
   super-k-mers of a block travel once, with their count: a passage in every document costs a bucket one string per block.
-* A bucket numbers its words, sorts its windows by hash, and compares neighbours word by word, so counts are exact.
+* A bucket sorts its windows by hash and compares the texts of neighbours, so counts are exact.
 * Buckets that hold many times the mean (a frequent minimiser with ever other neighbours) are dealt out again by single
   windows: their windows travel one by one to the bucket of the window itself. Loads are counted first, per bucket, over
   all data; equal windows always take the same way.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import WordHashes, free_name, lengths_to_starts, materialize, mixed, partitions, texts, window_hashes
+from deadhead.llm.common import buffer_hashes, free_name, lengths_to_starts, materialize, mixed, partitions, texts, window_hashes, word_starts
 
 #: Text of one block.
 BLOCK_BYTES = 6 << 20
@@ -94,29 +94,27 @@ def unpack_block(payload: bytes) -> pa.Table:
 class Block:
     """The words of a block, its windows and their super-k-mers."""
 
-    def __init__(self, raw: list[bytes], width: int, seed: int, hashes: WordHashes) -> None:
+    def __init__(self, raw: list[bytes], width: int, seed: int) -> None:
         self.width = width
-        words = [words_of(t) for t in raw]
-        self.counts = np.array([len(w) for w in words], np.int64)
+        spaced = [b" ".join(words_of(t)) for t in raw]
+        self.counts = np.array([t.count(b" ") + 1 if t else 0 for t in spaced], np.int64)
         self.begins = lengths_to_starts(self.counts)
-        flat = [w for ws in words for w in ws]
-        values = hashes.of(flat)
         # the text of words i to j is buffer[at[i] : at[j] - 1], whatever stood between them
-        self.buffer = b" ".join(flat)
-        spaces = np.flatnonzero(np.frombuffer(self.buffer, np.uint8) == 32)
-        self.at = np.concatenate(([0], spaces + 1, [len(self.buffer) + 1])) if flat else np.zeros(1, np.int64)
-        n = len(flat) - width + 1
+        self.buffer = b" ".join([t for t in spaced if t])
+        self.at = word_starts(self.buffer)
+        total = len(self.at) - 1
+        n = total - width + 1
         if n <= 0:
             self.starts = self.sizes = np.empty(0, np.int64)
             self.minimisers = np.empty(0, np.uint64)
             return
-        lowest = mixed(window_hashes(values, seed))
+        lowest = mixed(window_hashes(buffer_hashes(self.buffer, self.at), seed))
         span, reach = width - seed + 1, 1
         while reach < span:  # the minimum over span seeds, by doubling
             step = min(reach, span - reach)
             lowest = np.minimum(lowest[: len(lowest) - step], lowest[step:])
             reach += step
-        inside = np.zeros(len(flat) + 1, bool)
+        inside = np.zeros(total + 1, bool)
         for a, size in zip(self.begins[:-1][self.counts >= width], self.counts[self.counts >= width], strict=True):
             inside[a : a + size - width + 1] = True
         inside = inside[:n]
@@ -163,45 +161,34 @@ class Block:
             yield int(target[a]), list(places), windows, list(places.values())
 
 
-class _Numbers(dict):
-    """Words numbered as they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = len(self)
-        return found
-
-
 def repeated_windows(strings: list[bytes], counts: list[int], width: int) -> list[np.ndarray]:
     """Per super-k-mer of a bucket, a flag for each window: whether it occurs more than once."""
     sizes = np.array([string.count(b" ") for string in strings], np.int64) + 1
-    flat = np.fromiter(map(_Numbers().__getitem__, b" ".join(strings).split(b" ")), np.int32, int(sizes.sum()))
+    buffer = b" ".join(strings)
+    at = word_starts(buffer)
     windows = sizes - width + 1
     first = lengths_to_starts(sizes)[:-1]
     begins = lengths_to_starts(windows)
     starts = np.repeat(first - begins[:-1], windows) + np.arange(begins[-1])
     weight = np.repeat(np.array(counts, np.int64), windows)
-    key = window_hashes(mixed(flat.astype(np.uint64) + np.uint64(1)), width)[starts]
+    key = window_hashes(buffer_hashes(buffer, at), width)[starts]
     order = np.argsort(key, kind="stable")
     ordered = key[order]
-    group = np.cumsum(np.concatenate(([True], ordered[1:] != ordered[:-1]))) - 1
-    total = np.bincount(group, weights=weight[order])
-    many = np.bincount(group) > 1
-    # a hash met more than once: compare the words of each window with its group's first
-    head = starts[order[np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))]]
-    check = np.flatnonzero(many[group])
-    odd: set[int] = set()
-    for at in range(0, len(check), 100_000):
-        some = check[at : at + 100_000]
-        a, b = starts[order[some]], head[group[some]]
-        differs = np.zeros(len(some), bool)
-        for k in range(width):
-            differs |= flat[a + k] != flat[b + k]
-        odd.update(group[some[differs]].tolist())
+    fresh = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    group = np.cumsum(fresh) - 1
     repeat = np.empty(len(key), bool)
-    repeat[order] = (total > 1)[group]
-    for g in odd:  # different windows under one hash
-        members = order[np.flatnonzero(group == g)]
-        real = [tuple(flat[starts[m] : starts[m] + width].tolist()) for m in members]
+    repeat[order] = (np.bincount(group, weights=weight[order]) > 1)[group]
+    # windows of one hash must be one text: each is compared with the one before it
+    same = np.flatnonzero(~fresh)
+    odd: set[int] = set()
+    for k in range(0, len(same), 100_000):
+        some = same[k : k + 100_000]
+        x, y = starts[order[some]], starts[order[some - 1]]
+        places = zip(at[x].tolist(), (at[x + width] - 1).tolist(), at[y].tolist(), (at[y + width] - 1).tolist(), strict=True)
+        odd.update(g for g, (a, b, c, d) in zip(group[some].tolist(), places, strict=True) if buffer[a:b] != buffer[c:d])
+    for g in odd:  # different texts under one hash are counted apart
+        members = order[np.flatnonzero(group == g)].tolist()
+        real = [buffer[at[starts[m]] : at[starts[m] + width] - 1] for m in members]
         seen: Counter = Counter()
         for m, words in zip(members, real, strict=True):
             seen[words] += int(weight[m])
@@ -243,11 +230,10 @@ CUT = "n_words long, n_removed long, spans array<struct<first:int,last:int>>, ke
 
 
 def _read(batches: Iterator[pa.RecordBatch], text: str, width: int, seed: int) -> Iterator[tuple[pa.RecordBatch, int, pa.Table, Block]]:
-    hashes = WordHashes()
     for batch in batches:
         for i in range(batch.num_rows):
             given = unpack_block(batch.column("payload")[i].as_py())
-            yield batch, i, given, Block(texts(given.column(text).combine_chunks()), width, seed, hashes)
+            yield batch, i, given, Block(texts(given.column(text).combine_chunks()), width, seed)
 
 
 def _loads(text: str, width: int, seed: int, buckets: int):
