@@ -7,7 +7,9 @@
   and classes connected by shared keys form a family.
 * In a family, shingles are hashed to groups and the group counts are points of an R-tree. The overlap of two sets is at
   most the sum of their coordinate minima; against the largest counts below a tree node the same sum prunes whole nodes.
-  Pairs that survive are verified on the sets themselves. Pairs already connected are not looked at again.
+  This is done first on the counts alone, in size bands of each family: what survives connects far smaller families, and
+  only their sets are read again.
+* There the same tree proposes pairs, which are verified on the sets. Pairs already connected are not looked at again.
 * Families larger than a task are cut into chunks; every pair of chunks is a task of its own.
 
 Words are runs without ASCII white space, A-Z lower-cased. With fewer than ``size`` words the whole sequence is one shingle.
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import WordHashes, free_name, lengths_to_starts, materialize, mixed, partitions, texts, window_hashes
+from deadhead.llm.common import buffer_hashes, free_name, lengths_to_starts, materialize, mixed, partitions, texts, window_hashes, word_starts
 from deadhead.llm.components import components as connected
 
 #: Ratio of the largest and smallest set of a size band; above 100 / percent.
@@ -38,14 +40,17 @@ CHUNK = 4_000_000
 #: Keys that a task holds before it sends them, keys of one bucket, and about how many a shingle makes per 10 % of difference.
 HELD, BUCKET, KEYS_PER_SHINGLE = 1_000_000, 2_000_000, 0.17
 LEAF = 16
+#: Sets of one chunk when only their counts are looked at.
+POINTS = 8192
 _FIRST, _SECOND, _GROUP, _CONTENT = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
 
-def shingles(raw: list[bytes], size: int, hashes: WordHashes) -> list[np.ndarray]:
+def shingles(raw: list[bytes], size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    words = [t.lower().split() for t in raw]
-    counts = np.fromiter(map(len, words), np.int64, len(words))
-    values = hashes.of([w for ws in words for w in ws])
+    spaced = [b" ".join(t.lower().split()) for t in raw]
+    counts = np.array([t.count(b" ") + 1 if t else 0 for t in spaced], np.int64)
+    buffer = b" ".join([t for t in spaced if t])
+    values = buffer_hashes(buffer, word_starts(buffer))
     runs = mixed(window_hashes(values, size))
     found = []
     for a, n in zip(lengths_to_starts(counts)[:-1].tolist(), counts.tolist(), strict=True):
@@ -95,19 +100,37 @@ def _sum(own: np.ndarray, salt: np.uint64) -> int:
     return int(mixed(own * salt).sum(dtype=np.uint64).view(np.int64))
 
 
-def _profile(source: DataFrame, size: int) -> DataFrame:
-    """(doc_id, mark, n, a, b): the number of shingles and two sums of their hashes, which tell sets apart."""
+def _level(n: int, percent: int) -> int:
+    """Linked sets are of the same or of neighbouring levels."""
+    return int(np.floor(np.log(n) / np.log(100 / percent) + 1e-9))
+
+
+def _groups(level: int, percent: int) -> int:
+    """Groups that sets of a level are counted in: a power of two, about a quarter of their size."""
+    return 1 << int(np.clip(np.round(level * np.log2(100 / percent) - 2), 4, 10))
+
+
+def _point(own: np.ndarray, percent: int) -> bytes:
+    """Group counts of a set, as fine as the next level counts."""
+    if not len(own):
+        return b""
+    groups = _groups(_level(len(own), percent) + 1, percent)
+    return np.minimum(counts([own], groups)[0], 65535).astype("<u2").tobytes()
+
+
+def _profile(source: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, mark, n, a, b, point): the number of shingles, two sums of their hashes, which tell sets apart, and counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             if batch.num_rows:
-                sets = shingles(texts(batch.column("text")), size, hashes)
+                sets = shingles(texts(batch.column("text")), size)
                 made = {"n": [len(s) for s in sets], "a": [_sum(s, _FIRST) for s in sets], "b": [_sum(s, _SECOND) for s in sets]}
                 columns = [batch.column("doc_id"), batch.column("mark"), *(pa.array(v, pa.int64()) for v in made.values())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", *made])
+                points = pa.array([_point(s, percent) for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*columns, points], names=["doc_id", "mark", *made, "point"])
 
-    kind = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), *T.StructType.fromDDL("mark long, n long, a long, b long")])
+    kind = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), *T.StructType.fromDDL("mark long, n long, a long, b long, point binary")])
     return materialize(source.mapInArrow(run, kind), "jaccard-profile")
 
 
@@ -145,9 +168,9 @@ def _stars(source: DataFrame, size: int, percent: int, buckets: int) -> DataFram
             yield pack(k, key[own], node[own])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, owners, total = WordHashes(), [], [], 0
+        held, owners, total = [], [], 0
         for batch in batches:
-            for own in shingles(texts(batch.column("text")), size, hashes) if batch.num_rows else ():
+            for own in shingles(texts(batch.column("text")), size) if batch.num_rows else ():
                 found = keys(own, percent)
                 held.append(found)
                 owners.append(np.full(len(found), _sum(own, _FIRST)))
@@ -213,9 +236,9 @@ class Tree:
         return nodes[nodes > q]
 
 
-def counts(sets: list[np.ndarray]) -> np.ndarray:
+def counts(sets: list[np.ndarray], groups: int | None = None) -> np.ndarray:
     """Group counts of each set; the number of groups follows the typical size."""
-    groups = 1 << int(np.clip(np.ceil(np.log2(max(2.0, np.median([len(s) for s in sets]) / 2))), 4, 10))
+    groups = groups or 1 << int(np.clip(np.ceil(np.log2(max(2.0, np.median([len(s) for s in sets]) / 2))), 4, 10))
     at = [((s * _SECOND) >> np.uint64(40)).astype(np.int64) % groups for s in sets]
     return np.array([np.bincount(a, minlength=groups) for a in at], np.int32)
 
@@ -238,6 +261,40 @@ def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return found
 
 
+def _possible(members: DataFrame, percent: int) -> DataFrame:
+    """(u, v) between classes of (family, cid, n, point) that connect what their counts do not keep apart.
+
+    Sets meet in their own level and the next one, where the smaller of two linked sets of different levels waits for
+    the larger.
+    """
+    level = F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int")
+    placed = members.withColumn("level", F.explode(F.array(level, level + 1)))
+    sizes = placed.groupBy("family", "level").agg(F.ceil(F.count("*") / POINTS).cast("int").alias("chunks"), F.count("*").alias("k"))
+    dealt = placed.join(sizes.filter("k > 1").drop("k"), ["family", "level"])
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select("family", "level", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cid", "n", "point")
+
+    def run(found: pa.Table) -> pa.Table:
+        groups = _groups(found.column("level")[0].as_py(), percent)
+        sizes = found.column("n").to_numpy()
+        order = np.argsort(sizes, kind="stable")
+        ids, sizes = found.column("cid").to_numpy()[order], sizes[order]
+        raw = found.column("point").to_pylist()
+        # finer counts add up to coarser ones
+        points = np.stack([np.frombuffer(raw[k], "<u2").astype(np.int32).reshape(-1, groups).sum(axis=0) for k in order.tolist()])
+        tree, group, u, v = Tree(points, sizes), np.arange(len(ids)), [], []
+        for q in range(len(ids)):
+            others = tree.partners(q, percent)
+            for other in np.unique(group[others[group[others] != group[q]]]).tolist():
+                u.append(int(ids[q]))
+                v.append(int(ids[others[group[others] == other][0]]))
+                group[group == other] = group[q]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return dealt.groupBy("family", "level", "i", "j").applyInArrow(run, "u long, v long")
+
+
 def _family_links(members: DataFrame, percent: int) -> DataFrame:
     """(u, v) between classes from (family, chunks, cid, set), each pair of chunks of a family in a group of its own."""
     own = F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")
@@ -256,34 +313,36 @@ def _family_links(members: DataFrame, percent: int) -> DataFrame:
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, mark, n_shingles, component_id, kept): kept marks the one document that stands for its component."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    profile = _profile(source, size)
+    profile = _profile(source, size, percent)
     last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    classes = profile.filter("n > 0").groupBy("a", "b", "n").agg(F.min(last).alias("first")).withColumn("cid", F.monotonically_increasing_id())
+    classes = profile.filter("n > 0").groupBy("a", "b", "n").agg(F.min(last).alias("first"), F.first("point").alias("point")).withColumn("cid", F.monotonically_increasing_id())
     classes = materialize(classes, "jaccard-classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(partitions(docs.sparkSession), int(total * KEYS_PER_SHINGLE * (100 - percent) / 10 / BUCKET))
     stars = _stars(source, size, percent, buckets)
-    families = connected(stars, "jaccard-families").select(F.col("node").alias("a"), F.col("root").alias("family"))
-    wanted = families.join(classes, "a").select("cid", "family", "n", F.col("first.doc_id").alias("want"), F.col("first.mark").alias("mark"))
+    shared = connected(stars, "jaccard-shared").select(F.col("node").alias("a"), F.col("root").alias("family"))
+    possible = materialize(_possible(shared.join(classes, "a").select("family", "cid", "n", "point"), percent), "jaccard-possible")
+    families = connected(possible, "jaccard-families").select(F.col("node").alias("cid"), F.col("root").alias("family"))
+    wanted = families.join(classes, "cid").select("cid", "family", "n", F.col("first.doc_id").alias("want"), F.col("first.mark").alias("mark"))
     chunks = wanted.groupBy("family").agg(F.ceil(F.sum("n") / chunk).cast("int").alias("chunks"), F.count("*").alias("k")).filter("k > 1").drop("k")
     wanted = materialize(wanted.join(chunks, "family"), "jaccard-wanted")
-    here = source.join(wanted, (source["mark"] == wanted["mark"]) & source["doc_id"].eqNullSafe(wanted["want"])).select(source["mark"], source["doc_id"], "family", "chunks", "cid", "text")
+    # one plan at every size: the list of classes in families grows with the input
+    here = source.join(wanted.hint("merge"), (source["mark"] == wanted["mark"]) & source["doc_id"].eqNullSafe(wanted["want"])).select(source["mark"], source["doc_id"], "family", "chunks", "cid", "text")
     here = here.dropDuplicates(["mark", "doc_id"])  # repeated rows; dealt out as the join left them
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             if batch.num_rows:
-                sets = [s.tobytes() for s in shingles(texts(batch.column("text")), size, hashes)]
+                sets = [s.tobytes() for s in shingles(texts(batch.column("text")), size)]
                 yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("chunks"), batch.column("cid"), pa.array(sets, pa.binary())], names=["family", "chunks", "cid", "set"])
 
     sets = here.select("family", "chunks", "cid", "text").mapInArrow(read, "family long, chunks int, cid long, set binary")
     found = materialize(_family_links(sets, percent), "jaccard-links")
     roots = connected(found, "jaccard-components").select(F.col("node").alias("cid"), "root")
-    joined = classes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    joined = classes.drop("point").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     heads = joined.groupBy("root").agg(F.min("first").alias("head"))
     placed = joined.join(heads, "root").select("a", "b", "n", "head")
-    grouped = profile.filter("n > 0").join(placed, ["a", "b", "n"])
+    grouped = profile.drop("point").filter("n > 0").join(placed, ["a", "b", "n"])
     kept = (F.col("mark") == F.col("head.mark")) & F.col("doc_id").eqNullSafe(F.col("head.doc_id"))
     linked = grouped.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"), kept.alias("kept"))
     alone = profile.filter("n = 0").select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -295,7 +354,7 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     mark, empty = free_name(docs, "_mark"), free_name(docs, "_empty")
     found = components(docs, doc_id, text, **options).filter("kept and n_shingles > 0").select(F.col("doc_id").alias("keep_id"), F.col("mark").alias("keep_mark")).distinct()
     own = docs.withColumn(mark, F.xxhash64(text)).withColumn(empty, F.coalesce(~F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(True)))
-    here = own.filter(~F.col(empty)).join(found, (F.col(mark) == F.col("keep_mark")) & F.col(doc_id).eqNullSafe(F.col("keep_id")), "left_semi")
+    here = own.filter(~F.col(empty)).join(found.hint("merge"), (F.col(mark) == F.col("keep_mark")) & F.col(doc_id).eqNullSafe(F.col("keep_id")), "left_semi")
     once = here.dropDuplicates([doc_id, mark])
     return once.unionByName(own.filter(F.col(empty))).select(*docs.columns)
 

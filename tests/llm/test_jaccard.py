@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 
 from deadhead.llm import jaccard
-from deadhead.llm.common import WordHashes
 from deadhead.llm.components import components
 
 
@@ -100,7 +99,7 @@ def test_tree_prunes_only_what_cannot_link():
     r = random.Random(8)
     base = [f"w{i}" for i in range(160)]
     raw = [" ".join(w for w in base if r.random() > r.choice([0.01, 0.03, 0.3])).encode() for _ in range(120)]
-    sets = sorted(jaccard.shingles(raw, 3, WordHashes()), key=len)
+    sets = sorted(jaccard.shingles(raw, 3), key=len)
     tree = jaccard.Tree(jaccard.counts(sets), np.array([len(s) for s in sets]))
     pruned = 0
     for q in range(len(sets)):
