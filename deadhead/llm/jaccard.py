@@ -9,7 +9,8 @@
   most the sum of their coordinate minima; against the largest counts below a tree node the same sum prunes whole nodes.
   This is done first on the counts alone, in size bands of each family: what survives connects far smaller families, and
   only their sets are read again.
-* There the same tree proposes pairs, which are verified on the sets. Pairs already connected are not looked at again.
+* There the same tree proposes pairs, which are verified on the sets: all of them for ``join``, which gives every link between
+  unequal sets once; for ``components`` only those that are not connected yet.
 * Families larger than a task are cut into chunks; every pair of chunks is a task of its own.
 
 Words are runs without ASCII white space, A-Z lower-cased. With fewer than ``size`` words the whole sequence is one shingle.
@@ -22,6 +23,7 @@ rows each; an empty table gives no rows; further columns are not read, and ``rep
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -243,7 +245,28 @@ def counts(sets: list[np.ndarray], groups: int | None = None) -> np.ndarray:
     return np.array([np.bincount(a, minlength=groups) for a in at], np.int32)
 
 
-def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def links(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """Every verified link of these sets once, as a set and its partners behind it; only between different sides, if given."""
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    ordered = [sets[i] for i in order]
+    sizes = np.array([len(s) for s in ordered])
+    tree, at = Tree(counts(ordered), sizes), lengths_to_starts(sizes)
+    names, flat = np.unique(np.concatenate(ordered), return_inverse=True)
+    marked = np.zeros(len(names), bool)
+    for q in range(len(sets)):
+        others = tree.partners(q, percent)
+        if side is not None:
+            others = others[side[order[others]] != side[order[q]]]
+        if len(others):
+            marked[flat[at[q] : at[q + 1]]] = True
+            both = np.array([np.count_nonzero(marked[flat[at[p] : at[p + 1]]]) for p in others.tolist()])
+            marked[flat[at[q] : at[q + 1]]] = False
+            others = others[both * 100 >= percent * (sizes[q] + sizes[others] - both)]
+        if len(others):
+            yield int(order[q]), order[others]
+
+
+def forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Verified links that connect what all links of these sets connect."""
     order = np.argsort([len(s) for s in sets], kind="stable")
     ordered = [sets[i] for i in order]
@@ -295,23 +318,32 @@ def _possible(members: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("family", "level", "i", "j").applyInArrow(run, "u long, v long")
 
 
-def _family_links(members: DataFrame, percent: int) -> DataFrame:
-    """(u, v) between classes from (family, chunks, cid, set), each pair of chunks of a family in a group of its own."""
+def _family_links(members: DataFrame, percent: int, every: bool) -> DataFrame:
+    """(u, v) between classes from (family, chunks, cid, set), each pair of chunks of a family in a group of its own.
+
+    ``every``: all links, u < v, a link of one chunk in that chunk's own group only; else links that connect the same.
+    """
     own = F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cid", "set")
+    dealt = dealt.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "set")
 
     def run(found: pa.Table) -> pa.Table:
-        ids = found.column("cid").to_pylist()
+        ids = found.column("cid").to_numpy()
         sets = [np.frombuffer(s, np.uint64) for s in found.column("set").to_pylist()]
-        pairs = links(sets, percent)
-        return pa.table({"u": pa.array([ids[a] for a, _ in pairs], pa.int64()), "v": pa.array([ids[b] for _, b in pairs], pa.int64())})
+        if every:
+            side = found.column("own").to_numpy() if found.column("i")[0] != found.column("j")[0] else None
+            near = [(np.full(len(others), ids[q]), ids[others]) for q, others in links(sets, percent, side)]
+            one, two = (np.concatenate([n[k] for n in near]) if near else np.empty(0, np.int64) for k in (0, 1))
+        else:
+            pairs = np.array(forest(sets, percent), np.int64).reshape(-1, 2)
+            one, two = ids[pairs[:, 0]], ids[pairs[:, 1]]
+        return pa.table({"u": pa.array(np.minimum(one, two), pa.int64()), "v": pa.array(np.maximum(one, two), pa.int64())})
 
     return dealt.groupBy("family", "i", "j").applyInArrow(run, "u long, v long")
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, mark, n_shingles, component_id, kept): kept marks the one document that stands for its component."""
+def _linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, chunk: int, every: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The profile, the classes of equal sets, and links (u, v) between classes: ``every`` one, or what connects the same."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     profile = _profile(source, size, percent)
     last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
@@ -337,7 +369,39 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size
                 yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("chunks"), batch.column("cid"), pa.array(sets, pa.binary())], names=["family", "chunks", "cid", "set"])
 
     sets = here.select("family", "chunks", "cid", "text").mapInArrow(read, "family long, chunks int, cid long, set binary")
-    found = materialize(_family_links(sets, percent), "jaccard-links")
+    return profile, classes, materialize(_family_links(sets, percent, every), "jaccard-links")
+
+
+@dataclass(frozen=True)
+class Join:
+    """All links: those inside a class by its members, those between classes as pairs."""
+
+    members: DataFrame  # (doc_id, mark, n_shingles, class_id) per row of the table; no class without a shingle
+    pairs: DataFrame  # (one, two): linked classes of unequal sets, one < two, each pair once
+
+    def degrees(self) -> DataFrame:
+        """(doc_id, mark, n_shingles, class_id, n_links): the number of other rows that each row is linked with."""
+        sizes = self.members.filter("class_id is not null").groupBy("class_id").agg(F.count("*").alias("k"))
+        both = self.pairs.unionByName(self.pairs.select(F.col("two").alias("one"), F.col("one").alias("two")))
+        near = both.join(sizes, both["two"] == sizes["class_id"]).groupBy("one").agg(F.sum("k").alias("near"))
+        totals = sizes.join(near, F.col("class_id") == F.col("one"), "left").select("class_id", (F.col("k") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+        return self.members.join(totals, "class_id", "left").select("doc_id", "mark", "n_shingles", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, chunk: int = CHUNK) -> Join:
+    """Every linked pair of documents, as classes of equal sets and the pairs of classes."""
+    profile, classes, found = _linked(docs, doc_id, text, size, percent, chunk, every=True)
+    ids = classes.select("a", "b", "n", F.col("cid").alias("class_id"))
+    members = profile.drop("point").join(ids, ["a", "b", "n"], "left").select("doc_id", "mark", F.col("n").alias("n_shingles"), "class_id")
+    return Join(members, found.select(F.col("u").alias("one"), F.col("v").alias("two")))
+
+
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, chunk: int = CHUNK, every: bool = False) -> DataFrame:
+    """(doc_id, mark, n_shingles, component_id, kept): kept marks the one document that stands for its component.
+
+    Only links that connect something are verified, unless ``every`` is set; the result is the same.
+    """
+    profile, classes, found = _linked(docs, doc_id, text, size, percent, chunk, every)
     roots = connected(found, "jaccard-components").select(F.col("node").alias("cid"), "root")
     joined = classes.drop("point").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     heads = joined.groupBy("root").agg(F.min("first").alias("head"))

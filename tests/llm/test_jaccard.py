@@ -69,6 +69,33 @@ def test_equals_brute_force(spark, monkeypatch, seed, chunk):
     assert sorted(map(tuple, jaccard.digest(got).collect()), key=repr) == brute(docs)
 
 
+@pytest.mark.parametrize(("seed", "chunk"), [(1, jaccard.CHUNK), (2, 400)])
+def test_join_gives_every_link_once(spark, seed, chunk):
+    base = [f"v{i}" for i in range(200)]
+    docs = cases(seed) + [(500 + k, " ".join([*base[: 40 * k], "other", *base[40 * k + 1 :]])) for k in range(5)]
+    sets = [shingle_set(t) for _, t in docs]
+    linked = [[j for j, b in enumerate(sets) if i != j and a and len(a & b) * 100 >= 90 * len(a | b)] for i, a in enumerate(sets)]
+    # the row's number is the id here, so that pairs of rows can be told apart
+    d = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id long, text string")
+    got = jaccard.join(d, chunk=chunk)
+    members = {r.doc_id: (r.n_shingles, r.class_id) for r in got.members.collect()}
+    assert {i: n for i, (n, _) in members.items()} == {i: len(s) for i, s in enumerate(sets)}
+    of = {}
+    for i, (n, c) in members.items():
+        assert (c is None) == (n == 0)
+        of.setdefault(c, []).append(i)
+    pairs = [tuple(r) for r in got.pairs.collect()]
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    found = {(i, j) for c, m in of.items() if c is not None for i in m for j in m if i != j}
+    found |= {p for a, b in pairs for i in of[a] for j in of[b] for p in ((i, j), (j, i))}
+    assert found == {(i, j) for i, near in enumerate(linked) for j in near}
+    near = [members[len(docs) - 5 + k][1] for k in range(5)]
+    assert len({p for p in pairs if set(p) <= set(near)}) == 10  # all of five near copies, a forest has 4
+    assert {r.doc_id: r.n_links for r in got.degrees().collect()} == {i: len(near) for i, near in enumerate(linked)}
+    ids = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.digest(jaccard.components(ids, chunk=chunk, every=True)).collect()), key=repr) == brute(docs)
+
+
 def test_representatives(spark):
     docs = cases(4, copies=3)
     d = spark.createDataFrame([(i, t, 1, "k") for i, t in docs], "doc_id long, text string, n int, _mark string")
