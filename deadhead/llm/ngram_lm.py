@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney language model over word pairs, counted in Spark and read by memory map.
+"""Interpolated modified Kneser-Ney language model over word pairs or triples, counted in Spark and read by memory map.
 
 Training text counts as: begin, its words (runs without ASCII white space, A-Z lower-cased), end. Three passes over packed
 arrays build the model, a shard per bucket:
@@ -7,7 +7,14 @@ arrays build the model, a shard per bucket:
 * pairs: sorted (number of the first word, number of the second) and counts, dealt out by the first word's shard. A first
   word with more than a shard's share of all tokens is spread over as many shards as it fills, by its second word.
 * per word, from the distinct pairs: how many tokens follow it, how many words follow it once, twice and more often, and how
-  many different words it follows.
+  different words it follows.
+
+Order 3 adds two passes, and the pairs then count by the different words ahead of them, those after a begin by their tokens:
+
+* triples: sorted (place of the first two words in their shard of pairs, number of the third) and counts, in the shard of
+  the pair. A pair with more than a shard's share of all tokens is spread by the third word. Per pair: how many words follow
+  it once, twice and more often. A text's first word is scored by pairs.
+* from the distinct triples: the different words ahead of each pair, and from these the numbers per word above.
 
 Tasks combine equal words and pairs before they send them. Shards are files of the shared folder, named anew by each
 attempt and listed by a table that Spark commits. Scoring tasks map them into memory and look up sorted batches of
@@ -45,6 +52,8 @@ HELD = 2_000_000
 #: Most frequent words that a shard reports, to find those that must be spread.
 FREQUENT = 256
 UNDECIDED = 0.5
+#: Places of pairs that are spread over shards begin here.
+HEAVY = 1 << 31
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 _LONGS = pa.list_(pa.int64())
@@ -159,6 +168,13 @@ class Model:
     word_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
     pair_types: int = 0
     word_rest: float = 1.0
+    heavy: dict[int, int] = field(default_factory=dict)  # key of a pair -> shards that its triples fill
+    triples: dict[int, tuple[str, str, str]] = field(default_factory=dict)  # as pairs
+    behind: dict[int, tuple[str, str]] = field(default_factory=dict)  # words behind each pair once, twice, more
+    heavy_behind: dict[int, list[int]] = field(default_factory=dict)
+    adjusted: dict[int, tuple[str, str]] = field(default_factory=dict)  # different words ahead of each pair
+    triple_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    order: int = 2
 
     @property
     def types(self) -> int:
@@ -191,26 +207,71 @@ class Model:
             own[some] = (own[some] + step) % self.shards
         return own
 
-    def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        keys = _key(first, second)
-        shard = self.shard_of(first, second)
+    def _places(self, files: dict[int, tuple[str, ...]], keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
+        """Places of keys in the files of their shards, -1 for those that are not there."""
         order = np.lexsort((keys, shard))
         edges = lengths_to_starts(np.bincount(shard, minlength=self.shards))
-        out = np.zeros(len(keys), np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            if k in files:
+                some = order[edges[k] : edges[k + 1]]
+                own = mapped(files[k][0], "<u8")
+                at = np.minimum(np.searchsorted(own, keys[some]), len(own) - 1)
+                out[some] = np.where(own[at] == keys[some], at, -1)
+        return out
+
+    def _at_places(self, files: dict[int, tuple[str, ...]], shard: np.ndarray, place: np.ndarray, width: int = 1) -> np.ndarray:
+        """Rows of counts, zeros where there is no place."""
+        order = np.lexsort((place, shard))
+        edges = lengths_to_starts(np.bincount(shard, minlength=self.shards))
+        out = np.zeros((len(place), width), np.int64)
         for k in np.flatnonzero(np.diff(edges)).tolist():
-            if k not in self.pairs:
-                continue
             some = order[edges[k] : edges[k + 1]]
-            names, small, large = self.pairs[k]
-            own = mapped(names, "<u8")
-            at = np.minimum(np.searchsorted(own, keys[some]), len(own) - 1)
-            hit = own[at] == keys[some]
-            found = mapped(small, "u1")[at[hit]].astype(np.int64)
-            if (found == 255).any():
-                rest = mapped(large, "<i8").reshape(-1, 2)
+            some = some[place[some] >= 0]
+            if k in files and len(some):
+                small, large = files[k][-2:]
+                at = (place[some][:, None] * width + np.arange(width)).ravel()
+                found = mapped(small, "u1")[at].astype(np.int64)
                 full = np.flatnonzero(found == 255)
-                found[full] = rest[np.searchsorted(rest[:, 0], at[hit][full]), 1]
-            out[some[hit]] = found
+                if len(full):
+                    rest = mapped(large, "<i8").reshape(-1, 2)
+                    found[full] = rest[np.searchsorted(rest[:, 0], at[full]), 1]
+                out[some] = found.reshape(-1, width)
+        return out
+
+    def pair_places(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        shard = self.shard_of(first, second)
+        return shard, self._places(self.pairs, _key(first, second), shard)
+
+    def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return self._at_places(self.pairs, *self.pair_places(first, second))[:, 0]
+
+    def _heavy(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys of pairs are spread, and their numbers among these."""
+        names = np.array(sorted(self.heavy), np.uint64)
+        at = np.minimum(np.searchsorted(names, pairs), max(len(names) - 1, 0))
+        some = np.flatnonzero(names[at] == pairs) if len(names) else np.empty(0, np.int64)
+        return some, at[some]
+
+    def triple_keys(self, pairs: np.ndarray, shard: np.ndarray, place: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shards and keys of triples, whose first two words are known as pairs of these keys and places."""
+        shard, place = shard.copy(), place.copy()
+        some, at = self._heavy(pairs)
+        if len(some):
+            parts = np.array([self.heavy[k] for k in sorted(self.heavy)], np.uint64)[at]
+            shard[some] = (shard[some] + (mixed(third[some].astype(np.uint64) * _SALT) % parts).astype(np.int64)) % self.shards
+            place[some] = HEAVY + at
+        return shard, _key(place, third)
+
+    def triple_counts(self, shard: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        return self._at_places(self.triples, shard, self._places(self.triples, keys, shard))[:, 0]
+
+    def words_behind(self, pairs: np.ndarray, shard: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Different words behind pairs once, twice, more often."""
+        out = self._at_places(self.behind, shard, place, 3)
+        some, at = self._heavy(pairs)
+        for i, k in zip(some.tolist(), at.tolist(), strict=True):
+            out[i] = self.heavy_behind.get(k, [0] * 3)
         return out
 
     def _by_word(self, number: np.ndarray, files: dict[int, str], kind: str, width: int) -> np.ndarray:
@@ -300,14 +361,20 @@ def _counting(column: str, keys_of: Callable, bucket_of: Callable) -> Callable:
     return run
 
 
-def fit(docs: DataFrame, text: str = "text", training: Column | None = None) -> Model:
-    """Count ``docs``, or those that meet ``training``, into shards in the shared folder."""
+def fit(docs: DataFrame, text: str = "text", training: Column | None = None, order: int = 2) -> Model:
+    """Count ``docs``, or those that meet ``training``, into shards in the shared folder. ``order``: 2 or 3 words."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order} is not built")
     spark = docs.sparkSession
     folder, shards = new_folder(spark, "ngram-model"), partitions(spark)
     taught = (docs if training is None else docs.filter(training)).select(F.col(text).alias("text"))
     model = Model(shards)
     _count_words(taught, model, folder)
     _count_pairs(taught, model, folder)
+    if order == 3:
+        _count_triples(taught, model, folder)
+        _adjust_pairs(taught, model, folder)
+    model.order = order
     return model
 
 
@@ -315,6 +382,41 @@ def _dealt(parts: DataFrame, shards: int) -> DataFrame:
     return parts.repartition(shards, "bucket").sortWithinPartitions("bucket")
 
 
+def _write_counts(folder: str, counts: np.ndarray) -> tuple[str, str]:
+    """Counts up to 255, and the places and counts of the larger ones."""
+    large = np.flatnonzero(counts >= 255)
+    return _write(folder, np.minimum(counts, 255).astype("u1")), _write(folder, np.stack((large, counts[large]), axis=1).astype("<i8"))
+
+
+def _split(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _shares(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each name once, and its keys' total count and numbers of counts of 1, 2 and more."""
+    name, at = np.unique(names, return_inverse=True)
+    return name, np.stack([np.bincount(at, weights=w, minlength=len(name)).astype(np.int64) for w in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
+
+
+def _follow(model: Model, bucket: int, first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What follows the words of a shard, and the rows of words that other shards hold a part of."""
+    begin = model.begins[bucket]
+    width = model.begins[bucket + 1] - begin
+    name, rows = _shares(first, counts)
+    follow = np.zeros((width, 4), "<i8")
+    inside = (name >= begin) & (name < begin + width)
+    follow[name[inside] - begin] = rows[inside]
+    moved = np.array([int(n) in model.spread or n == model.types for n in name.tolist()], bool)
+    return follow, name[moved], rows[moved]
+
+
+def _add_rows(into: dict[int, list[int]], names: list[int], rows: list[int]) -> None:
+    width = len(rows) // max(1, len(names))
+    for k, name in enumerate(names):
+        row = rows[width * k : width * (k + 1)]
+        into[name] = [a + b for a, b in zip(into.get(name, [0] * width), row, strict=True)]
+
+
 def _count_words(taught: DataFrame, model: Model, folder: str) -> None:
     shards = model.shards
     end = WordHashes()[END]
@@ -353,33 +455,24 @@ def _count_pairs(taught: DataFrame, model: Model, folder: str) -> None:
         number, _ = _numbered(own, values)
         return _key(_firsts(number, counts, own.types), number)
 
-    def split(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-
     def store(bucket: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        first, second = split(keys)
-        begin = own.begins[bucket]
-        width = own.begins[bucket + 1] - begin
-        name, at = np.unique(first, return_inverse=True)
-        rows = np.stack([np.bincount(at, weights=w, minlength=len(name)).astype(np.int64) for w in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
-        follow = np.zeros((width, 4), "<i8")
-        inside = (name >= begin) & (name < begin + width)
-        follow[name[inside] - begin] = rows[inside]
-        moved = np.array([int(n) in own.spread or n == own.types for n in name.tolist()], bool)
-        large = np.flatnonzero(counts >= 255)
+        first, second = _split(keys)
+        follow, names, rows = _follow(own, bucket, first, counts)
+        small, large = _write_counts(folder, counts)
+        heavy = np.flatnonzero(counts > max(1, own.tokens // shards))
         ahead, types = np.unique(second, return_counts=True)
         yield pa.RecordBatch.from_pydict(
             {
-                "bucket": pa.array([bucket], pa.int32()), "keys": [_write(folder, keys.astype("<u8"))], "small": [_write(folder, np.minimum(counts, 255).astype("u1"))],
-                "large": [_write(folder, np.stack((large, counts[large]), axis=1).astype("<i8"))], "follow": [_write(folder, follow)],
-                "names": pa.array([name[moved].tolist()], _LONGS), "rows": pa.array([rows[moved].ravel().tolist()], _LONGS), "n": [[int((counts == k).sum()) for k in (1, 2, 3, 4)]], "types": [len(keys)],
+                "bucket": pa.array([bucket], pa.int32()), "keys": [_write(folder, keys.astype("<u8"))], "small": [small], "large": [large], "follow": [_write(folder, follow)],
+                "names": pa.array([names.tolist()], _LONGS), "rows": pa.array([rows.ravel().tolist()], _LONGS), "n": [[int((counts == k).sum()) for k in (1, 2, 3, 4)]], "types": [len(keys)],
                 "ahead": pa.array([squeeze(ahead.astype(np.uint64), types)], pa.binary()),
+                "heavy": pa.array([keys[heavy].view(np.int64).tolist()], _LONGS), "filled": pa.array([counts[heavy].tolist()], _LONGS),
             }
         )
 
-    sent = taught.mapInArrow(_counting("text", keys_of, lambda keys: shared.value.shard_of(*split(keys))), "bucket int, part binary")
-    kind = "bucket int, keys string, small string, large string, follow string, names array<long>, rows array<long>, n array<long>, types long, ahead binary"
+    sent = taught.mapInArrow(_counting("text", keys_of, lambda keys: shared.value.shard_of(*_split(keys))), "bucket int, part binary")
+    kind = "bucket int, keys string, small string, large string, follow string, names array<long>, rows array<long>, n array<long>, types long, ahead binary, heavy array<long>, filled array<long>"
     made = materialize(_dealt(sent, shards).mapInArrow(lambda batches: _gather(batches, store), kind), "ngram-pairs")
     n = np.zeros(4, np.int64)
     for r in made.drop("ahead").collect():  # a row per shard, with the spread words that it holds a part of
@@ -387,9 +480,9 @@ def _count_pairs(taught: DataFrame, model: Model, folder: str) -> None:
         model.follow[r.bucket] = r.follow
         n += r.n
         model.pair_types += r.types
-        for k, name in enumerate(r.names):
-            row = r["rows"][4 * k : 4 * k + 4]
-            model.spread_follow[name] = [a + b for a, b in zip(model.spread_follow.get(name, [0] * 4), row, strict=True)]
+        _add_rows(model.spread_follow, r.names, r["rows"])
+        share = max(1, model.tokens // shards)
+        model.heavy |= {k % (1 << 64): min(shards, -(-c // share)) for k, c in zip(r.heavy, r.filled, strict=True)}
     model.pair_discounts = discounts(n.tolist())
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,25 +511,169 @@ def _count_pairs(taught: DataFrame, model: Model, folder: str) -> None:
         model.word_rest = float(np.dot(model.word_discounts, [n[0], n[1], n[4]])) / model.pair_types
 
 
+def _places_of_pairs(model: Model, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, shard and place (-1: not counted) of the pair that each token ends."""
+    both = (first >= 0) & (number >= 0)
+    keys, at = np.unique(_key(first[both], number[both]), return_inverse=True)
+    own, there = model.pair_places(*_split(keys))
+    key, shard, place = np.zeros(len(number), np.uint64), np.zeros(len(number), np.int64), np.full(len(number), -1, np.int64)
+    key[both], shard[both], place[both] = keys[at], own[at], there[at]
+    return key, shard, place
+
+
+def _moved(values: np.ndarray, counts: np.ndarray, none: int) -> np.ndarray:
+    """The value of the token ahead in the same text."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[lengths_to_starts(counts)[:-1]] = none
+    return out
+
+
+def _count_triples(taught: DataFrame, model: Model, folder: str) -> None:
+    shards = model.shards
+    shared = taught.sparkSession.sparkContext.broadcast(model)
+
+    def found(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        own, counts = shared.value, np.concatenate([p[1] for p in parts])
+        number, _ = _numbered(own, np.concatenate([p[0] for p in parts]))
+        key, shard, place = (_moved(x, counts, none) for x, none in zip(_places_of_pairs(own, number, _firsts(number, counts, own.types)), (0, 0, -1), strict=True))
+        some = np.flatnonzero(place >= 0)
+        return own.triple_keys(key[some], shard[some], place[some], number[some])
+
+    def combined(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        bucket, keys = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+        order = np.lexsort((keys, bucket))
+        bucket, keys = bucket[order], keys[order]
+        fresh = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (bucket[1:] != bucket[:-1])))) if len(keys) else np.empty(0, np.int64)
+        yield from _send(bucket[fresh], keys[fresh], np.diff(fresh, append=len(keys)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, read, held, some, size = WordHashes(), [], [], 0, 0
+        for batch in batches:
+            if batch.num_rows:
+                read.append(_sequences(texts(batch.column("text")), hashes))
+                some += len(read[-1][0])
+            if some >= HELD // 4:  # looked up together
+                held.append(found(read))
+                size, some, read = size + some, 0, []
+            if size >= HELD:
+                yield from combined(held)
+                held, size = [], 0
+        if read:
+            held.append(found(read))
+        if held:
+            yield from combined(held)
+
+    def store(bucket: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        name, rows = _shares(_split(keys)[0], counts)
+        inside = name < HEAVY
+        behind = np.zeros((len(mapped(own.pairs[bucket][0], "<u8")) if bucket in own.pairs else 0, 3), np.int64)
+        behind[name[inside]] = rows[inside, 1:]
+        small, large = _write_counts(folder, counts)
+        few, many = _write_counts(folder, behind.ravel())
+        yield pa.RecordBatch.from_pydict(
+            {
+                "bucket": pa.array([bucket], pa.int32()), "keys": [_write(folder, keys.astype("<u8"))], "small": [small], "large": [large], "few": [few], "many": [many],
+                "names": pa.array([(name[~inside] - HEAVY).tolist()], _LONGS), "rows": pa.array([rows[~inside, 1:].ravel().tolist()], _LONGS), "n": [[int((counts == k).sum()) for k in (1, 2, 3, 4)]],
+            }
+        )
+
+    sent = taught.mapInArrow(count, "bucket int, part binary")
+    kind = "bucket int, keys string, small string, large string, few string, many string, names array<long>, rows array<long>, n array<long>"
+    n = np.zeros(4, np.int64)
+    for r in materialize(_dealt(sent, shards).mapInArrow(lambda batches: _gather(batches, store), kind), "ngram-triples").collect():  # a row per shard
+        model.triples[r.bucket] = r["keys"], r.small, r.large
+        model.behind[r.bucket] = r.few, r.many
+        _add_rows(model.heavy_behind, r.names, r["rows"])
+        n += r.n
+    model.triple_discounts = discounts(n.tolist())
+
+
+def _adjust_pairs(taught: DataFrame, model: Model, folder: str) -> None:
+    """Count pairs by the different words ahead of them, those after a begin by their tokens."""
+    spark, shards = taught.sparkSession, model.shards
+    shared = spark.sparkContext.broadcast(model)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        heavy = np.array(sorted(own.heavy), np.uint64)
+        for bucket in (b for batch in batches for b in batch.column("id").to_pylist()):
+            pairs = mapped(own.pairs[bucket][0], "<u8") if bucket in own.pairs else np.empty(0, np.uint64)
+            begun = np.arange(*np.searchsorted(pairs, _key(np.array([own.types, own.types + 1]), np.zeros(2, np.int64))))
+            if len(begun):
+                counts = own._at_places(own.pairs, np.full(len(begun), bucket), begun)[:, 0]
+                yield from _send(np.full(len(begun), bucket), pairs[begun], counts)
+            triples = mapped(own.triples[bucket][0], "<u8") if bucket in own.triples else np.empty(0, np.uint64)
+            for a in range(0, len(triples), HELD):
+                place, third = _split(np.asarray(triples[a : a + HELD]))
+                spread = place >= HEAVY
+                ahead = np.empty(len(place), np.uint64)
+                ahead[~spread] = pairs[place[~spread]]
+                ahead[spread] = heavy[place[spread] - HEAVY]
+                keys, counts = np.unique(_key(_split(ahead)[1], third), return_counts=True)
+                yield from _send(own.shard_of(*_split(keys)), keys, counts)
+
+    def keep(bucket: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        if not np.array_equal(keys, mapped(own.pairs[bucket][0], "<u8")):
+            raise RuntimeError("pairs and triples differ")
+        follow, names, rows = _follow(own, bucket, _split(keys)[0], counts)
+        small, large = _write_counts(folder, counts)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "bucket": pa.array([bucket], pa.int32()), "small": [small], "large": [large], "follow": [_write(folder, follow)],
+                "names": pa.array([names.tolist()], _LONGS), "rows": pa.array([rows.ravel().tolist()], _LONGS), "n": [[int((counts == k).sum()) for k in (1, 2, 3, 4)]],
+            }
+        )
+
+    sent = spark.range(0, shards, 1, shards).mapInArrow(deal, "bucket int, part binary")
+    kind = "bucket int, small string, large string, follow string, names array<long>, rows array<long>, n array<long>"
+    rows = materialize(_dealt(sent, shards).mapInArrow(lambda batches: _gather(batches, keep), kind), "ngram-adjusted").collect()  # a row per shard
+    model.follow, model.spread_follow = {r.bucket: r.follow for r in rows}, {}
+    n = np.zeros(4, np.int64)
+    for r in rows:
+        model.adjusted[r.bucket] = r.small, r.large
+        _add_rows(model.spread_follow, r.names, r["rows"])
+        n += r.n
+    model.pair_discounts = discounts(n.tolist())
+
+
 # scores
 
 
+def _by_triples(model: Model, number: np.ndarray, counts: np.ndarray, ends: tuple[np.ndarray, np.ndarray, np.ndarray], lower: np.ndarray) -> np.ndarray:
+    """Probabilities of tokens by the two words ahead, mixed with those by one."""
+    key, shard, place = (_moved(x, counts, none) for x, none in zip(ends, (0, 0, -1), strict=True))
+    some = np.flatnonzero(place >= 0)
+    names, one, at = np.unique(key[some], return_index=True, return_inverse=True)
+    own = some[one]
+    total = np.maximum(model._at_places(model.pairs, shard[own], place[own])[:, 0], 1)  # a token follows each
+    rest = model.words_behind(names, shard[own], place[own]) @ np.array(model.triple_discounts) / total
+    known = np.flatnonzero(number[some] >= 0)
+    triples = np.zeros(len(some), np.int64)
+    triples[known] = model.triple_counts(*model.triple_keys(*(x[some[known]] for x in (key, shard, place, number))))
+    out = lower.copy()
+    out[some] = _kept(triples, model.triple_discounts) / total[at] + rest[at] * lower[some]
+    return out
+
+
 def _scores(model: Model, raw: list[bytes], hashes: WordHashes) -> dict[str, pa.Array]:
     values, counts = _sequences(raw, hashes)
     number, seen = _numbered(model, values)
     first = _firsts(number, counts, model.types)
-    key = np.where((first >= 0) & (number >= 0), (first << 32) | number, -1)
-    names, at = np.unique(key, return_inverse=True)
-    found = np.zeros(len(names), np.int64)
-    known = names >= 0
-    found[known] = model.pair_counts(names[known] >> 32, names[known] & 0xFFFFFFFF)
+    ends = _places_of_pairs(model, number, first)
+    found = model._at_places(model.adjusted if model.order == 3 else model.pairs, *ends[1:])[:, 0]
     words, place = np.unique(np.concatenate((number, first)), return_inverse=True)
     chance = model.word_probability(words)[place[: len(number)]]
     behind = model.following(words)[place[len(number) :]]
     total = np.maximum(behind[:, 0], 1)
     rest = behind[:, 1:] @ np.array(model.pair_discounts) / total
-    pair = _kept(found[at], model.pair_discounts) / total + rest * chance
-    logs = np.log10(np.where(behind[:, 0] > 0, pair, chance))
+    pair = _kept(found, model.pair_discounts) / total + rest * chance
+    chance = np.where(behind[:, 0] > 0, pair, chance)
+    if model.order == 3:
+        chance = _by_triples(model, number, counts, ends, chance)
+    logs = np.log10(chance)
     base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
     begins = lengths_to_starts(counts)[:-1]
     return {

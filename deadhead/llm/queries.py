@@ -50,7 +50,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = ngram_lm.fit(docs, training=crc_mod("doc_id", 5) != 1)
+    model = ngram_lm.fit(docs, training=crc_mod("doc_id", 5) != 1, order=3)
     scored = ngram_lm.score(docs, model)
     return scored.select(
         "doc_id",

@@ -76,6 +76,62 @@ def test_equals_brute_force(spark, monkeypatch, held):
         assert a[:2] == b[:2] and np.allclose(a[2:], b[2:], rtol=1e-9)
 
 
+class BruteTriples(Brute):
+    """Pairs count by the different words ahead of them, those after a begin by their tokens."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.triples, self.next = Counter(), defaultdict(list)
+        for t in texts:
+            seq = ["<s>", *tokens(t)]
+            self.triples.update(zip(seq, seq[1:], seq[2:]))
+        raw, self.pairs = self.pairs, Counter({p: c for p, c in self.pairs.items() if p[0] == "<s>"})
+        for (a, b, c), n in self.triples.items():
+            self.pairs[b, c] += 1
+            self.next[a, b].append(n)
+        assert self.pairs.keys() == raw.keys()
+        self.behind = defaultdict(list)
+        for (a, _), c in self.pairs.items():
+            self.behind[a].append(c)
+        self.d2, self.d3 = self.discounts(self.pairs.values()), self.discounts(self.triples.values())
+
+    def by_two(self, a, b, c):
+        near = self.next.get((a, b))
+        if not near:
+            return self.probability(b, c)
+        n = self.triples[a, b, c]
+        return (n - self.d3[min(n, 3)]) / sum(near) + sum(self.d3[min(x, 3)] for x in near) / sum(near) * self.probability(b, c)
+
+    def row(self, text):
+        seq = ["<s>", *tokens(text)]
+        score = math.log10(self.probability(*seq[:2])) + sum(math.log10(self.by_two(*x)) for x in zip(seq, seq[1:], seq[2:]))
+        return *super().row(text)[:3], score
+
+
+@pytest.mark.parametrize("held", [lm.HELD, 50])
+def test_order_three_equals_brute_force(spark, monkeypatch, held):
+    monkeypatch.setattr(lm, "HELD", held)
+    docs = cases()
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    training = F.coalesce(F.col("doc_id") % 3 != 2, F.lit(True)) & F.coalesce(F.col("doc_id") != 203, F.lit(True))
+    model = lm.fit(d, training=training, order=3)
+    assert model.heavy  # the pair that fills shards is dealt out
+    want = BruteTriples([t for i, t in docs if i is None or (i % 3 != 2 and i != 203)])
+    rows = lm.score(d, model).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert np.allclose(tuple(r.lm), want.row(r.text), rtol=1e-9)
+    none = d.filter("false")
+    assert lm.score(none, lm.fit(none, order=3)).collect() == []
+    assert [r.lm.n_known for r in lm.score(d.limit(1), lm.fit(none, order=3)).collect()] == [0]
+
+
+def test_order_three_sums_to_one():
+    want = BruteTriples(["a b a c", "b a", "c c c a b"])
+    for a, b in (("<s>", "a"), ("a", "b"), ("c", "c"), ("unseen", "a"), ("a", "unseen")):
+        assert math.isclose(sum(want.by_two(a, b, c) for c in [*want.words, "unseen"]), 1.0)
+
+
 def test_probabilities_sum_to_one():
     want = Brute(["a b a c", "b a", "c c c a b"])
     for a in ("<s>", "a", "b", "c", "unseen"):
