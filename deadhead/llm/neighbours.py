@@ -6,7 +6,8 @@
 * A query visits, per table, its own bucket and perturbed ones. Perturbations are visited in the order of their expected
   success: that of the usual template over the coordinates ranked by their distance to the bucket's border.
 * How many are visited is set on a bounded sample of queries, whose exact neighbours are found first by a pass over all
-  points: as many as reach ``recall`` of them (plus a margin). All points are indexed.
+  points: as many as reach ``recall`` of them (plus a margin). All points are indexed. Where the longest list of probes does
+  not reach it, there are fewer hashes and so larger buckets; where no number of hashes does, all points are visited.
 * Buckets are dealt out to parts of about ``PART`` points. A bucket with more points is spread over several parts; the list
   of such buckets has at most ``MOST`` entries for each table. In a part, the points are held and the queries stream by.
   Scores are inner products of the original vectors in double precision.
@@ -36,8 +37,9 @@ PART, MOST = 16_384, 4096
 STEP = 1024
 #: Queries that the number of probes is set on.
 SAMPLE = 96
-#: Template entries that are looked at, at most.
+#: Template entries that are looked at, at most; where they do not do, hashes are left out.
 TEMPLATE = 6_000
+LEAST_HASHES = 3
 
 _ROW = "t int, p int, kind int, id long, vec binary, codes binary"
 
@@ -250,9 +252,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec
     points = materialize(points.select(F.col("ids")[0].alias("point"), "ids", "vec"), "points")
     count, longest = points.agg(F.count("*"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)))).first()
     queries = rows.filter(is_query)
-    hashing = Hashing(size, max(3, round(0.62 * math.log2(count + 1))), tables)
-    sets = template(hashing.hashes, TEMPLATE)
-    sets = sets[: _needed(points, queries, hashing, longest, k, recall, sets)]
+    most = max(LEAST_HASHES, round(0.62 * math.log2(count + 1)))
+    hashing, sets = _settled(_sampled(points, queries, size, k), size, most, tables, longest, recall)
     parts = max(1, -(-count // PART))
     spread = _spread(points, hashing, longest, max(PART, count // MOST))
     index = points.mapInArrow(_index(hashing, longest, parts, spread), _ROW)
@@ -263,7 +264,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec
         dealt = some.unionByName(other).repartition(n, "t", "p").sortWithinPartitions("t", "p", "kind")
         return _merged(dealt.mapInArrow(_visit(size, k + 1), _FOUND), k + 1)
 
-    found = materialize(parted(index, visits), "neighbours")
+    # without a list of probes that does, every query is short
+    found = materialize(parted(index, visits), "neighbours") if sets else spark.createDataFrame([], _FOUND)
     short = found.filter(F.size("points") < min(k + 1, count)).select("query_id")
     missing = queries.join(found.select("query_id"), queries["id"] == F.col("query_id"), "left_anti").select("id")
     again = materialize(queries.join(short.select(F.col("query_id").alias("id")).unionByName(missing).distinct(), "id"), "again")
@@ -280,31 +282,49 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec
     return each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _needed(points: DataFrame, queries: DataFrame, hashing: Hashing, longest: float, k: int, recall: float, sets: list[tuple[int, ...]]) -> int:
-    """Probes for each table that reach ``recall`` on a sample of queries, by their exact neighbours."""
+@dataclass(frozen=True)
+class Sample:
+    """Some queries, and their exact neighbours: ``near[i]`` is one of query ``which[i]``."""
+
+    queries: np.ndarray
+    which: np.ndarray
+    near: np.ndarray
+
+
+def _sampled(points: DataFrame, queries: DataFrame, size: int, k: int) -> Sample:
     some = queries.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    x = np.array([r.vec for r in some], float).reshape(len(some), hashing.size)
+    x = np.array([r.vec for r in some], float).reshape(len(some), size)
     if not len(x):
-        return 1
+        return Sample(x, np.empty(0, np.int64), x)
     ids = [r.id for r in some]
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, kept = Best(x, k + 1), {}
         for batch in batches:
             if batch.num_rows:
-                own, vectors = batch.column("point").to_numpy(), _matrix(batch.column("vec"), hashing.size)
+                own, vectors = batch.column("point").to_numpy(), _matrix(batch.column("vec"), size)
                 best.offer(np.arange(len(x)), own, vectors, None)
                 kept |= {int(p): v for p, v in zip(own, vectors, strict=True) if p in best.points}
-        yield from [_with_vectors(best, ids, kept, hashing.size)] if (best.points >= 0).any() else []
+        yield from [_with_vectors(best, ids, kept, size)] if (best.points >= 0).any() else []
 
     rows = points.select("point", "vec").mapInArrow(exact, "query_id long, point long, score double, vec binary")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "point")
     found = rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k + 1).collect()  # SAMPLE x (k + 1) rows
     at = {q: i for i, q in enumerate(ids)}
-    which = np.array([at[r.query_id] for r in found])
-    theirs = codes(np.floor(hashing.places(_from_bytes([r.vec for r in found], hashing.size), longest, False)).astype(np.int64))
+    return Sample(x, np.array([at[r.query_id] for r in found], np.int64), _from_bytes([r.vec for r in found], size))
+
+
+def _needed(sample: Sample, hashing: Hashing, longest: float, recall: float, sets: list[tuple[int, ...]]) -> tuple[int, float]:
+    """Probes for each table that reach ``recall`` on the sample, and the share of its neighbours that they reach.
+
+    That share is below ``recall`` if all of ``sets`` do not do.
+    """
+    x, which = sample.queries, sample.which
+    if not len(which):
+        return 1, 1.0
+    theirs = codes(np.floor(hashing.places(sample.near, longest, False)).astype(np.int64))
     mine = hashing.places(x, longest, True)
-    first = np.full(len(found), len(sets))
+    first = np.full(len(which), len(sets))
     for t in range(hashing.tables):
         for a in range(0, len(x), 16):
             visited = probes(mine[t, a : a + 16], sets)
@@ -314,7 +334,21 @@ def _needed(points: DataFrame, queries: DataFrame, hashing: Hashing, longest: fl
                 rank = np.where(hit.any(0), hit.argmax(0), len(sets))
                 first[own] = np.minimum(first[own], rank)
     order = np.sort(first)
-    return int(min(len(sets), 1 + order[min(len(order) - 1, math.ceil(recall * len(order)))]))
+    count = int(min(len(sets), 1 + order[min(len(order) - 1, math.ceil(recall * len(order)))]))
+    return count, float((first < count).mean())
+
+
+def _settled(sample: Sample, size: int, most: int, tables: int, longest: float, recall: float) -> tuple[Hashing, list[tuple[int, ...]]]:
+    """The most hashes, up to ``most``, with which some probes reach ``recall``, and these; no probes if none do."""
+    for hashes in range(most, LEAST_HASHES - 1, -1):
+        hashing = Hashing(size, hashes, tables)
+        sets = template(hashes, TEMPLATE)
+        count, reached = _needed(sample, hashing, longest, recall, sets)
+        if reached >= recall:
+            return hashing, sets[:count]
+    return hashing, []
+
+
 
 
 def _with_vectors(best: Best, ids: list[int], kept: dict[int, np.ndarray], size: int) -> pa.RecordBatch:

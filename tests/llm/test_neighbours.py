@@ -50,6 +50,42 @@ def test_recall_and_exact_scores(spark, monkeypatch, part):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def scattered(n, size, seed=3):
+    x = np.random.default_rng(seed).normal(size=(n, size))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+@pytest.mark.parametrize(("limit", "least"), [(30, 3), (1, 6)])
+def test_recall_where_the_list_of_probes_is_short(spark, monkeypatch, limit, least):
+    monkeypatch.setattr(nn, "TEMPLATE", limit)  # of 3 ** 7 offsets
+    monkeypatch.setattr(nn, "LEAST_HASHES", least)
+    x = scattered(2500, 16)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nn.search(d, F.col("id") % 20 == 0, k=10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    scores = x[::20] @ x.T
+    want = {20 * q: set([int(i) for i in np.argsort(-row) if i != 20 * q][:10]) for q, row in enumerate(scores)}
+    share = sum(len(got[q] & w) for q, w in want.items()) / (10 * len(want))
+    assert share >= 0.93 and (share == 1.0 or limit > 1)
+
+
+def test_hashes_are_left_out_until_the_list_does():
+    r = np.random.default_rng(1)
+    x = scattered(48, 32)
+    near = []
+    for v in x:  # neighbours at a distance of 1.2, as in a table of very many points; 3 ** 14 offsets
+        side = r.normal(size=(10, 32))
+        side -= np.outer(side @ v, v)
+        near.append(0.28 * v + 0.96 * side / np.linalg.norm(side, axis=1)[:, None])
+    sample = nn.Sample(x, np.repeat(np.arange(48), 10), np.concatenate(near))
+    probes, reached = nn._needed(sample, nn.Hashing(32, 14), 1.0, 0.96, nn.template(14, nn.TEMPLATE))
+    assert probes == nn.TEMPLATE and reached < 0.96
+    hashing, sets = nn._settled(sample, 32, 14, 4, 1.0, 0.96)
+    assert 3 <= hashing.hashes < 14 and sets
+    assert nn._needed(sample, hashing, 1.0, 0.96, sets)[1] >= 0.96
+
+
 def test_few_rows_give_all_candidates(spark):
     d = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.5]), (20, [3.0, 3.0])], "vec_id long, embedding array<double>")
     got = [tuple(r) for r in nn.search(d, F.col("id") % 20 == 0, k=20).orderBy("query_id", "rank").collect()]
