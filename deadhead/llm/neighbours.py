@@ -135,14 +135,13 @@ class Best:
         if allowed is not None:
             scores[~allowed] = -np.inf
         # rounding of the product must not lose a tie; kept points are scored exactly below
-        floor = self.scores[some, -1] - 1e-9 * np.abs(self.scores[some, -1]).clip(1e-300)
-        floor[~np.isfinite(floor)] = -np.inf
-        count = min(self.k + 4, len(ids))
-        top = np.argpartition(-scores, count - 1, axis=1)[:, :count]
-        better = np.take_along_axis(scores, top, 1) >= floor[:, None]
-        better &= np.isfinite(np.take_along_axis(scores, top, 1))
+        margin = 1e-9 * np.linalg.norm(self.queries[some], axis=1) * np.linalg.norm(vectors, axis=1).max()
+        count = min(self.k, len(ids))
+        cut = np.partition(scores, len(ids) - count, axis=1)[:, len(ids) - count]
+        better = scores >= (np.maximum(cut, self.scores[some, -1]) - margin)[:, None]
+        better &= np.isfinite(scores)
         for q in np.flatnonzero(better.any(1)).tolist():
-            own, new = some[q], top[q][better[q]]
+            own, new = some[q], np.flatnonzero(better[q])
             exact = (self.queries[own] * vectors[new]).sum(axis=1)
             s, p = np.concatenate((self.scores[own], exact)), np.concatenate((self.points[own], ids[new]))
             order = np.lexsort((p, -s))[: self.k]

@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -92,6 +93,15 @@ def test_few_rows_give_all_candidates(spark):
     assert got == [(0, 1, 20, 3.0), (0, 2, 1, 0.0), (0, 3, 2, -1.0), (20, 1, 0, 3.0), (20, 2, 1, 3.0), (20, 3, 2, -1.5)]
 
 
+def test_ties_of_a_slice_go_to_the_smaller_ids():
+    vectors = np.array([[k in c for k in range(10)] for c in itertools.combinations(range(10), 4)], float)  # 210 with one product
+    ids = np.random.default_rng(2).permutation(len(vectors))
+    best = nn.Best(np.ones((1, 10)), 21)
+    best.offer(np.arange(1), ids, vectors, None)
+    best.offer(np.arange(1), ids + 1000, vectors, None)
+    assert best.points[0].tolist() == list(range(21))
+
+
 def test_template_is_in_order_of_expected_score():
     sets = nn.template(4, 200)
     assert len(sets) == 81 and sets[0] == () and sets[1] == (1,) and len(set(sets)) == 81
