@@ -3,7 +3,7 @@
 * A rule fits its host and all subdomains if the url's path starts with the rule's; the longest fitting rule decides.
 * Host names are cut into words by unigram Viterbi. Word counts come from the visible text of all pages. Every run of
   letters of a host is joined, by its substrings, with exactly the counts that it can use, so no dictionary is broadcast
-  or cut short.
+  or cut short; words of more than ``LONGEST`` letters are joined by their beginning and then looked for in the run.
 * Pages that a rule decides teach a multinomial naive Bayes model (label: the rule's verdict) on host words and path
   tokens, hashed to ``slots`` counts; a token's digits only tell their number. Counts cover all such pages. The weights,
   ``slots`` numbers, are all that is broadcast.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from deadhead.llm.common import lengths_to_starts, materialize
 
-#: Longest word that the segmentation looks up.
+#: Longest substring that is joined as it is.
 LONGEST = 24
 SLOTS = 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,22 +68,24 @@ def first_rule(rules: Sequence[Rule], host: Column, path: Column, give: str) ->
 
 
 def unigrams(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(word, n) of the visible text of all pages: runs of a-z, lower-cased, at most ``LONGEST`` long."""
+    """(word, n) of the visible text of all pages: runs of a-z, lower-cased."""
     shown = F.regexp_replace(F.lower(html), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
     words = pages.select(F.explode(F.split(shown, r"[^\p{L}]+")).alias("word"))
-    return words.filter(F.col("word").rlike(f"^[a-z]{{1,{LONGEST}}}$")).groupBy("word").agg(F.count("*").alias("n"))
+    return words.filter(F.col("word").rlike("^[a-z]+$")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def viterbi(run: str, logs: dict[str, float], unknown: float) -> list[str]:
     """The most likely words of a run; an unknown piece costs ``unknown`` and a digit of probability per letter."""
+    letter, sizes = math.log(10), sorted({len(w) for w in logs}, reverse=True)
     best, back = [0.0], [0]
+    lead, first = 0.0, 0  # where the unknown piece that ends here begins
     for end in range(1, len(run) + 1):
-        score, start = -math.inf, 0
-        for begin in range(max(0, end - LONGEST), end):
-            word = run[begin:end]
-            own = best[begin] + logs.get(word, unknown - math.log(10) * len(word))
-            if own > score:
-                score, start = own, begin
+        if best[end - 1] + letter * (end - 1) > lead:
+            lead, first = best[end - 1] + letter * (end - 1), end - 1
+        score, start = lead + unknown - letter * end, first
+        for size in sizes:
+            if size <= end and (word := run[end - size : end]) in logs and best[end - size] + logs[word] > score:
+                score, start = best[end - size] + logs[word], end - size
         best.append(score)
         back.append(start)
     words, end = [], len(run)
@@ -103,7 +105,11 @@ def segment(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     pieces = runs.select("part", F.explode(starts).alias("s")).select(
         "part", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("part") - F.col("s") + 1)), lambda k: F.substring("part", F.col("s"), k))).alias("word")
     )
-    known = pieces.distinct().join(counts, "word").groupBy("part").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    pieces, long = pieces.distinct(), F.length("word") > LONGEST
+    begun = pieces.filter(F.length("word") == LONGEST).withColumnRenamed("word", "begin")
+    longer = begun.join(counts.filter(long).withColumn("begin", F.substring("word", 1, LONGEST)), "begin").filter(F.contains("part", "word"))
+    found = pieces.join(counts.filter(~long), "word").select("part", "word", "n").unionByName(longer.select("part", "word", "n"))
+    known = found.groupBy("part").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

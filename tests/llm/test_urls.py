@@ -57,6 +57,18 @@ def test_viterbi_equals_all_splits(run):
     assert math.isclose(sum(logs.get(w, -6.0 - math.log(10) * len(w)) for w in found), best(run, logs, -6.0))
 
 
+def test_words_of_any_length_are_found(spark):
+    long = "donaudampfschifffahrtsgesellschaft"
+    other = long[:30]
+    counts = urls.unigrams(spark.createDataFrame([(f"<p>red {long} red {other} {long}x</p>",)] * 9, "html string"))
+    assert {r.word: r.n for r in counts.collect()} == {"red": 18, long: 9, other: 9, long + "x": 9}
+    hosts = [f"red{long}red.com", long, f"{other}red", f"{long}x{long}", "q" * 40]
+    words = {r.host: r.words for r in urls.segment(spark.createDataFrame([(h,) for h in hosts], "host string"), counts).collect()}
+    assert words[hosts[0]][:3] == ["red", long, "red"] and words[long] == [long]
+    assert words[hosts[2]] == [other, "red"] and words[hosts[3]] == [long + "x", long]
+    assert words["q" * 40] == ["q" * 40]
+
+
 def test_segments_and_naive_bayes(spark):
     counts = spark.createDataFrame([("red", 50), ("fox", 40), ("spam", 30), ("farm", 30), ("blog", 20)], "word string, n long")
     hosts = spark.createDataFrame([("redfox.spamfarm-9.com",), ("",), ("x",)], "host string")
