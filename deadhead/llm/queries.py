@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deadhead.llm import bpe, decontaminate, jaccard, neighbours, ngram_lm, quality, substrings, token_files, toxicity, urls
+from deadhead.llm import bpe, decontaminate, jaccard, neighbours, ngram_lm, quality, substrings, suffixes, token_files, toxicity, urls
 from deadhead.llm.common import crc_mod, free_name, table
 
 
@@ -78,6 +78,11 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.digest(jaccard.components(docs, size=3, percent=90))
 
 
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.digest(suffixes.deduplicate(docs, width=200))
+
+
 URL_RULES = (
     urls.Rule("net/", "block"),
     urls.Rule("example.net/en/", "allow"),
@@ -123,5 +128,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_neighbours, op5_quality, op6_language_model, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls)
+    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_neighbours, op5_quality, op6_language_model, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls, op13_suffixes)
 }
