@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Memories that a worker keeps from task to task: the operator that fills one, and how it is dropped.
+KEPT: dict[str, Callable[[], None]] = {}
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidied(run: Callable[[Batches], Batches], keep: str = "") -> Callable[[Batches], Batches]:
+    """``run`` as a task that first drops what other operators left in this worker, and gives freed memory back at its end."""
+
+    def task(batches: Batches) -> Batches:
+        for name, drop in KEPT.items():
+            if name != keep:
+                drop()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -12,6 +12,81 @@ def _lowered(column: str) -> str:
 _GRAM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACED_WORDS = r"[^\x20\x09-\x0D]+"
 
+
+def _written(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE CAST(strlen({text}) AS VARCHAR) || ':' || {text} END"
+
+
+def _climbed(name: str, tree: str, first: str, levels: int) -> str:
+    """CTEs name0, name1, ...: nodes (tree, pos, n, h) of each level; a tree that is down to one node stays as it is."""
+    found = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        below = f"{name}{k}"
+        found.append(
+            f"""{name}{k + 1} AS (
+  SELECT {tree}, pos // 8 AS pos, CASE WHEN n > 1 THEN (n + 7) // 8 ELSE n END AS n,
+         CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+  FROM {below} GROUP BY {tree}, pos // 8, n
+)"""
+        )
+    return ",\n".join(found)
+
+
+def _siblings(name: str, tree: str, levels: int, at: str) -> tuple[str, str, str]:
+    """Columns with the siblings left and right of a place at each level, as left0, right0, ..., and the joins for them."""
+    ctes, columns, joins = [], [], []
+    for k in range(levels):
+        own = f"{name}s{k}"
+        ctes.append(
+            f"""{own} AS (
+  SELECT {tree}, pos, coalesce(string_agg(h, '') OVER (PARTITION BY {tree}, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY {tree}, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r, n
+  FROM {name}{k}
+)"""
+        )
+        columns.append(f"{own}.l AS {name}l{k}, {own}.r AS {name}r{k}, {own}.n AS {name}n{k}")
+        joins.append(f"JOIN {own} ON {own}.{tree} = d.{tree} AND {own}.pos = {at} // {8**k}")
+    return ",\n".join(ctes), ", ".join(columns), "\n".join(joins)
+
+
+def _merkle(levels: int = 7, upper: int = 3) -> str:
+    """Trees of up to 8^levels leaves and 8^upper groups; a NULL id and a NULL group come first."""
+    lower_ctes, lower_columns, lower_joins = _siblings("w", "tree", levels, "d.pos")
+    upper_ctes, upper_columns, upper_joins = _siblings("u", "one", upper, "d.tree")
+    steps = [("w", k) for k in range(levels)] + [("u", k) for k in range(upper)]
+    proof = " || ".join(f"CASE WHEN {a}n{k} > 1 THEN {a}l{k} || {a}r{k} ELSE '' END" for a, k in steps)
+    folds, last = [], "f0"
+    for k, (a, level) in enumerate(steps):
+        folds.append(f"f{k + 1} AS (SELECT *, CASE WHEN {a}n{level} > 1 THEN sha256({a}l{level} || g{k} || {a}r{level}) ELSE g{k} END AS g{k + 1} FROM f{k})")
+        last = f"f{k + 1}"
+    leaf = " || ".join(_written(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    lowered = leaf.replace(_written("text"), _written(f"translate(text, '{_UPPER}', '{_LOWER}')"))
+    # crc32 of the id's decimal text: eight steps for each character, which the first of them brings in
+    state = "xor(acc, CASE WHEN i % 8 = 0 THEN ascii(substr(id, CAST(i // 8 + 1 AS INTEGER), 1)) ELSE 0 END)"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], range(8 * len(id))), lambda acc, i: xor(({state}) >> 1, (({state}) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT)"
+    return f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS row, doc_id, CAST(doc_id AS VARCHAR) AS id, lang, sha256({leaf}) AS leaf, sha256({lowered}) AS lowered FROM documents
+), d AS (
+  SELECT *, 1 AS one, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+         CASE WHEN id IS NOT NULL AND {crc} % 3 = 0 THEN lowered ELSE leaf END AS g0
+  FROM rows
+), {_climbed("w", "tree", "SELECT tree, pos, n, leaf AS h FROM d", levels)},
+{_climbed("u", "one", f"SELECT 1 AS one, tree AS pos, count(*) OVER () AS n, h FROM w{levels}", upper)},
+{lower_ctes},
+{upper_ctes},
+f0 AS (
+  SELECT d.doc_id, d.leaf, d.g0, w{levels}.h AS subroot, u{upper}.h AS root, {lower_columns}, {upper_columns}
+  FROM d JOIN w{levels} ON w{levels}.tree = d.tree JOIN u{upper} ON TRUE
+{lower_joins}
+{upper_joins}
+), {", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, g{len(steps)} AS folded_root, g{len(steps)} = root AS verified FROM {last}
+"""
+
+
 SQL: dict[str, str] = {
     "op1_decontaminate": f"""
 WITH d AS (
@@ -76,4 +151,5 @@ SELECT any_value(d.doc_id) AS doc_id, coalesce(any_value(sizes.n), 0) AS n_shing
 FROM d LEFT JOIN sizes USING (r) JOIN reach USING (r) JOIN d other ON other.r = reach.x
 GROUP BY d.r
 """,
+    "op12_merkle": _merkle(),
 }

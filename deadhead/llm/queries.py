@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deadhead.llm import bpe, decontaminate, jaccard, neighbours, ngram_lm, quality, substrings, suffixes, token_files, toxicity, urls
+from deadhead.llm import bpe, decontaminate, jaccard, merkle, neighbours, ngram_lm, quality, substrings, suffixes, token_files, toxicity, urls, whitening
 from deadhead.llm.common import crc_mod, free_name, table
 
 
@@ -78,6 +79,36 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.digest(jaccard.components(docs, size=3, percent=90))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, components=4)
+    rows = whitening.whiten(vectors, model).select("vec_id", "white", F.posexplode("white.whitened").alias("place", "whitened"))
+    explained = F.array(*[F.lit(x).cast("double") for x in model.explained]) if model else F.array(F.lit(None).cast("double"))
+    return rows.select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        # more digits than 64 bits hold only come with tables of over ten million distinct vectors
+        F.expr("try_cast(white.deviation AS bigint)").alias("deviation"),
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+        F.col("white.deviation").alias("deviation_digits"),
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(changed, merkle.leaf_hash([lowered if c == "text" else F.col(c) for c in columns]))
+    proofs = merkle.manifest(docs, columns, key="doc_id", group="lang", carry={"tampered": tampered}).proofs()
+    fold = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    found = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), fold.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.digest(suffixes.deduplicate(docs, width=200))
@@ -128,5 +159,5 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_neighbours, op5_quality, op6_language_model, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls, op13_suffixes)
+    for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_neighbours, op5_quality, op6_language_model, op7_byte_bpe, op8_token_files, op9_jaccard, op10_urls, op11_whitening, op12_merkle, op13_suffixes)
 }
