@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 SETTINGS = {
     # splits hot invoice ids and zips when they are joined, merges small shuffle partitions
     "spark.sql.adaptive.enabled": "true",
@@ -22,6 +28,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of all executors, once for each application.
+
+    The driver's copy is an archive that Spark serves; nothing has to be installed or on a path of the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="deadhead-package-")) / "deadhead.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
 def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
     """A local session for tests and measurements."""
     parallelism = 8 if cpus == "*" else int(cpus)
