@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from deadhead.session import ship_package
 from deadhead.storage import shared_folder
 
 #: Rows of one Arrow batch; documents are whole rows, so a batch of long ones stays far below a worker's memory.
@@ -23,7 +24,8 @@ MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the operators that hand whole texts to Python."""
+    """Session settings of the operators that hand whole texts to Python, and the package on the workers."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
