@@ -11,7 +11,8 @@
   only their sets are read again.
 * There the same tree proposes pairs, which are verified on the sets: all of them for ``join``, which gives every link between
   unequal sets once; for ``components`` only those that are not connected yet.
-* Families larger than a task are cut into chunks; every pair of chunks is a task of its own.
+* Families larger than a task are cut into chunks; pairs of chunks are dealt out to the tasks one by one. Two different chunks
+  are only compared with each other, each chunk with itself once.
 
 Words are runs without ASCII white space, A-Z lower-cased. With fewer than ``size`` words the whole sequence is one shingle.
 
@@ -22,6 +23,7 @@ rows each; an empty table gives no rows; further columns are not read, and ``rep
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import buffer_hashes, free_name, lengths_to_starts, materialize, mixed, partitions, texts, window_hashes, word_starts
+from deadhead.llm.common import buffer_hashes, free_name, lengths_to_starts, materialize, mixed, partitions, texts, tidied, window_hashes, word_starts
 from deadhead.llm.components import components as connected
 
-#: Ratio of the largest and smallest set of a size band; above 100 / percent.
+#: Least ratio of the largest and smallest set of a size band; it is above 100 / percent, too.
 BAND = 1.5
+#: Deviations by which the smallest sets of a band should fill more groups than linked sets may differ in.
+MARGIN = 5.0
 #: Shingles of one chunk of a family.
 CHUNK = 4_000_000
 #: Keys that a task holds before it sends them, keys of one bucket, and about how many a shingle makes per 10 % of difference.
@@ -65,35 +69,54 @@ def shingles(raw: list[bytes], size: int) -> list[np.ndarray]:
     return found
 
 
-def band_of(n: int) -> int:
-    return int(np.floor(np.log(n) / np.log(BAND) + 1e-9))
+def _ratio(percent: int) -> float:
+    return max(BAND, 105 / percent)
+
+
+def band_of(n: int, percent: int) -> int:
+    return int(np.floor(np.log(n) / np.log(_ratio(percent)) + 1e-9))
 
 
 def band_differences(band: int, percent: int) -> int:
     """Most shingles in which two linked sets may differ if the larger one is of this band."""
-    largest = int(np.ceil(BAND ** (band + 1) + 1e-9))
+    largest = int(np.ceil(_ratio(percent) ** (band + 1) + 1e-9))
     # |A| + |B| = union + overlap >= (1 + p) union, and (1 - p) union differ
     return 2 * largest * (100 - percent) // (100 + percent)
 
 
+@functools.lru_cache(maxsize=4096)
+def key_groups(band: int, percent: int) -> int:
+    """Groups for the keys of a band: the fewest that its smallest sets nearly always fill more of than may differ."""
+    wanted = band_differences(band, percent) + 1
+    least = max(2, int(_ratio(percent) ** band * percent / 100))
+    groups = wanted + 1
+    while groups < 64 * least:
+        one, two = (1 - 1 / groups) ** least, (1 - 2 / groups) ** least
+        spread = groups * (groups - 1) * two + groups * one - (groups * one) ** 2
+        if groups * (1 - one) - MARGIN * np.sqrt(max(spread, 0.0)) >= wanted:
+            break
+        groups += max(1, groups // 32)
+    return groups
+
+
 def keys(own: np.ndarray, percent: int) -> np.ndarray:
     """Hashes of which two linked, unequal sets share one."""
     n, out = len(own), []
-    for band in (band_of(n), band_of(n) + 1) if n else ():
-        if band > band_of(n) and n * 100 / percent < BAND**band - 1e-6:
+    first = band_of(n, percent) if n else 0
+    for band in (first, first + 1) if n else ():
+        if band > first and n * 100 / percent < _ratio(percent) ** band - 1e-6:
             continue  # no partner is that large
         d = band_differences(band, percent)
         if d == 0:
             continue  # only equal sets are linked
-        spare = 2 + d // 64
-        groups = d + 1 + spare
+        groups = key_groups(band, percent)
         at = ((own * _GROUP) >> np.uint64(33)) % np.uint64(groups)
         content = np.zeros(groups, np.uint64)
         np.add.at(content, at.astype(np.int64), mixed(own * _CONTENT))
         filled = np.bincount(at.astype(np.int64), minlength=groups) > 0
         place = np.flatnonzero(filled).astype(np.uint64) + np.uint64(band << 32)
         out.append(mixed(content[filled] ^ mixed(place * _SECOND)))
-        if groups - filled.sum() > spare:
+        if filled.sum() <= d:  # all of its groups may differ
             out.append(mixed(np.array([band], np.uint64) * _SECOND + _FIRST))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -117,7 +140,7 @@ def _point(own: np.ndarray, percent: int) -> bytes:
     if not len(own):
         return b""
     groups = _groups(_level(len(own), percent) + 1, percent)
-    return np.minimum(counts([own], groups)[0], 65535).astype("<u2").tobytes()
+    return counts([own], groups)[0].astype("<u4").tobytes()
 
 
 def _profile(source: DataFrame, size: int, percent: int) -> DataFrame:
@@ -133,7 +156,7 @@ def _profile(source: DataFrame, size: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, points], names=["doc_id", "mark", *made, "point"])
 
     kind = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), *T.StructType.fromDDL("mark long, n long, a long, b long, point binary")])
-    return materialize(source.mapInArrow(run, kind), "jaccard-profile")
+    return materialize(source.mapInArrow(tidied(run), kind), "jaccard-profile")
 
 
 def _star(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -206,36 +229,72 @@ def _stars(source: DataFrame, size: int, percent: int, buckets: int) -> DataFram
             found = np.unique(np.stack((u, v)), axis=1) if len(u) else np.empty((2, 0), np.int64)
             yield pa.RecordBatch.from_pydict({"u": pa.array(found[0], pa.int64()), "v": pa.array(found[1], pa.int64())})
 
-    sent = source.select("text").mapInArrow(send, kind)
-    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "u long, v long").distinct()
+    sent = source.select("text").mapInArrow(tidied(send), kind)
+    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidied(meet), "u long, v long").distinct()
 
 
 class Tree:
     """A packed R-tree over group counts, points in order of their set sizes: per node the largest counts below it."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray) -> None:
-        self.points, self.sizes = points, sizes
-        self.levels = [points]
+        self.sizes, self.levels = sizes, [points]
         while len(self.levels[-1]) > LEAF:
             below = self.levels[-1]
             self.levels.append(np.maximum.reduceat(below, np.arange(0, len(below), LEAF), axis=0))
 
-    def partners(self, q: int, percent: int) -> np.ndarray:
-        """Points behind ``q`` whose sum of coordinate minima with it allows a link."""
-        own, n = self.points[q], int(self.sizes[q])
+    def partners(self, own: np.ndarray, n: int, first: int, percent: int) -> np.ndarray:
+        """Points from ``first`` on, none smaller than ``n``, whose sum of coordinate minima with ``own`` allows a link."""
         last = int(np.searchsorted(self.sizes, n * 100 / percent + 1e-6, "right"))
+        if first >= last:
+            return np.empty(0, np.int64)
         nodes = np.arange(len(self.levels[-1]))
         for level in range(len(self.levels) - 1, -1, -1):
             width = LEAF**level
-            nodes = nodes[((nodes + 1) * width > q + 1) & (nodes * width < last)]
-            least = self.sizes[np.maximum(nodes * width, q)]  # the smallest set below a node
+            nodes = nodes[((nodes + 1) * width > first) & (nodes * width < last)]
+            least = self.sizes[np.maximum(nodes * width, first)]  # the smallest set below a node
             bound = np.minimum(self.levels[level][nodes], own).sum(axis=1)
             nodes = nodes[bound * (100 + percent) >= percent * (n + least)]
             if level:
                 below = len(self.levels[level - 1])
                 nodes = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
                 nodes = nodes[nodes < below]
-        return nodes[nodes > q]
+        return nodes
+
+
+class Forest:
+    """Which of some sets are connected so far."""
+
+    def __init__(self, n: int) -> None:
+        self.parent = np.arange(n)
+
+    def roots(self, of: np.ndarray) -> np.ndarray:
+        found = self.parent[of]
+        while True:
+            above = self.parent[found]
+            if np.array_equal(above, found):
+                break
+            found = above
+        self.parent[of] = found
+        return found
+
+    def join(self, root: int, other: int) -> None:
+        self.parent[other] = root
+
+
+def candidates(points: np.ndarray, sizes: np.ndarray, side: np.ndarray | None, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each set with those that the tree does not keep apart from it, every pair once; only between two sides, if given."""
+    if side is None:
+        order = np.argsort(sizes, kind="stable")
+        tree = Tree(points[order], sizes[order])
+        for k, q in enumerate(order.tolist()):
+            yield q, order[tree.partners(points[q], int(sizes[q]), k + 1, percent)]
+        return
+    halves = [np.flatnonzero(side == s) for s in np.unique(side)]
+    halves = [h[np.argsort(sizes[h], kind="stable")] for h in halves]
+    for mine, other, where in zip(halves, halves[::-1], ("left", "right"), strict=False) if len(halves) == 2 else ():
+        tree = Tree(points[other], sizes[other])
+        for q, first in zip(mine.tolist(), np.searchsorted(sizes[other], sizes[mine], where).tolist(), strict=True):
+            yield q, other[tree.partners(points[q], int(sizes[q]), first, percent)]
 
 
 def counts(sets: list[np.ndarray], groups: int | None = None) -> np.ndarray:
@@ -246,41 +305,35 @@ def counts(sets: list[np.ndarray], groups: int | None = None) -> np.ndarray:
 
 
 def links(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """Every verified link of these sets once, as a set and its partners behind it; only between different sides, if given."""
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    ordered = [sets[i] for i in order]
-    sizes = np.array([len(s) for s in ordered])
-    tree, at = Tree(counts(ordered), sizes), lengths_to_starts(sizes)
-    names, flat = np.unique(np.concatenate(ordered), return_inverse=True)
+    """Every verified link of these sets once, as a set and its partners; only between different sides, if given."""
+    sizes = np.array([len(s) for s in sets])
+    at = lengths_to_starts(sizes)
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
     marked = np.zeros(len(names), bool)
-    for q in range(len(sets)):
-        others = tree.partners(q, percent)
-        if side is not None:
-            others = others[side[order[others]] != side[order[q]]]
+    for q, others in candidates(counts(sets), sizes, side, percent):
         if len(others):
             marked[flat[at[q] : at[q + 1]]] = True
             both = np.array([np.count_nonzero(marked[flat[at[p] : at[p + 1]]]) for p in others.tolist()])
             marked[flat[at[q] : at[q + 1]]] = False
             others = others[both * 100 >= percent * (sizes[q] + sizes[others] - both)]
         if len(others):
-            yield int(order[q]), order[others]
-
-
-def forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Verified links that connect what all links of these sets connect."""
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    ordered = [sets[i] for i in order]
-    sizes = np.array([len(s) for s in ordered])
-    tree, group, found = Tree(counts(ordered), sizes), np.arange(len(sets)), []
-    for q in range(len(sets)):
-        others = tree.partners(q, percent)
-        for p in others[group[others] != group[q]].tolist():
-            if group[p] == group[q]:
+            yield q, others
+
+
+def forest(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Verified links that connect what all links of these sets connect; only links between different sides, if given."""
+    sizes = np.array([len(s) for s in sets])
+    group, found = Forest(len(sets)), []
+    for q, others in candidates(counts(sets), sizes, side, percent):
+        root = int(group.roots(np.array([q]))[0])
+        for p in others[group.roots(others) != root].tolist():
+            other = int(group.roots(np.array([p]))[0])
+            if other == root:
                 continue
-            both = len(np.intersect1d(ordered[q], ordered[p], assume_unique=True))
+            both = len(np.intersect1d(sets[q], sets[p], assume_unique=True))
             if both * 100 >= percent * (sizes[q] + sizes[p] - both):
-                found.append((int(order[q]), int(order[p])))
-                group[group == group[p]] = group[q]
+                found.append((q, p))
+                group.join(root, other)
     return found
 
 
@@ -296,50 +349,54 @@ def _possible(members: DataFrame, percent: int) -> DataFrame:
     dealt = placed.join(sizes.filter("k > 1").drop("k"), ["family", "level"])
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("family", "level", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cid", "n", "point")
+    dealt = dealt.select("family", "level", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "n", "point")
 
     def run(found: pa.Table) -> pa.Table:
         groups = _groups(found.column("level")[0].as_py(), percent)
-        sizes = found.column("n").to_numpy()
-        order = np.argsort(sizes, kind="stable")
-        ids, sizes = found.column("cid").to_numpy()[order], sizes[order]
-        raw = found.column("point").to_pylist()
+        ids, sizes = found.column("cid").to_numpy(), found.column("n").to_numpy()
         # finer counts add up to coarser ones
-        points = np.stack([np.frombuffer(raw[k], "<u2").astype(np.int32).reshape(-1, groups).sum(axis=0) for k in order.tolist()])
-        tree, group, u, v = Tree(points, sizes), np.arange(len(ids)), [], []
-        for q in range(len(ids)):
-            others = tree.partners(q, percent)
-            for other in np.unique(group[others[group[others] != group[q]]]).tolist():
-                u.append(int(ids[q]))
-                v.append(int(ids[others[group[others] == other][0]]))
-                group[group == other] = group[q]
+        points = np.stack([np.frombuffer(p, "<u4").astype(np.int64).reshape(-1, groups).sum(axis=0) for p in found.column("point").to_pylist()])
+        group, u, v = Forest(len(ids)), [], []
+        for q, others in candidates(points, sizes, _sides(found), percent):
+            root = int(group.roots(np.array([q]))[0])
+            apart, first = np.unique(group.roots(others), return_index=True)
+            for other, p in zip(apart.tolist(), others[first].tolist(), strict=True):
+                if other != root:
+                    u.append(int(ids[q]))
+                    v.append(int(ids[p]))
+                    group.join(root, other)
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return dealt.groupBy("family", "level", "i", "j").applyInArrow(run, "u long, v long")
+    # the join left a family's level in one task; its pairs of chunks must not stay there
+    return dealt.repartition("family", "level", "i", "j").groupBy("family", "level", "i", "j").applyInArrow(run, "u long, v long")
+
+
+def _sides(found: pa.Table) -> np.ndarray | None:
+    """The chunk of each row, if there are two."""
+    return None if found.column("i")[0] == found.column("j")[0] else found.column("own").to_numpy()
 
 
 def _family_links(members: DataFrame, percent: int, every: bool) -> DataFrame:
     """(u, v) between classes from (family, chunks, cid, set), each pair of chunks of a family in a group of its own.
 
-    ``every``: all links, u < v, a link of one chunk in that chunk's own group only; else links that connect the same.
+    ``every``: all links, u < v, each once; else links that connect the same.
     """
     own = F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "set")
 
     def run(found: pa.Table) -> pa.Table:
-        ids = found.column("cid").to_numpy()
+        ids, side = found.column("cid").to_numpy(), _sides(found)
         sets = [np.frombuffer(s, np.uint64) for s in found.column("set").to_pylist()]
         if every:
-            side = found.column("own").to_numpy() if found.column("i")[0] != found.column("j")[0] else None
             near = [(np.full(len(others), ids[q]), ids[others]) for q, others in links(sets, percent, side)]
             one, two = (np.concatenate([n[k] for n in near]) if near else np.empty(0, np.int64) for k in (0, 1))
         else:
-            pairs = np.array(forest(sets, percent), np.int64).reshape(-1, 2)
+            pairs = np.array(forest(sets, percent, side), np.int64).reshape(-1, 2)
             one, two = ids[pairs[:, 0]], ids[pairs[:, 1]]
         return pa.table({"u": pa.array(np.minimum(one, two), pa.int64()), "v": pa.array(np.maximum(one, two), pa.int64())})
 
-    return dealt.groupBy("family", "i", "j").applyInArrow(run, "u long, v long")
+    return dealt.repartition("family", "i", "j").groupBy("family", "i", "j").applyInArrow(run, "u long, v long")
 
 
 def _linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, chunk: int, every: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -368,7 +425,7 @@ def _linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, ch
                 sets = [s.tobytes() for s in shingles(texts(batch.column("text")), size)]
                 yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("chunks"), batch.column("cid"), pa.array(sets, pa.binary())], names=["family", "chunks", "cid", "set"])
 
-    sets = here.select("family", "chunks", "cid", "text").mapInArrow(read, "family long, chunks int, cid long, set binary")
+    sets = here.select("family", "chunks", "cid", "text").mapInArrow(tidied(read), "family long, chunks int, cid long, set binary")
     return profile, classes, materialize(_family_links(sets, percent, every), "jaccard-links")
 
 

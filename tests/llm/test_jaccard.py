@@ -108,18 +108,38 @@ def test_representatives(spark):
     assert sum(not (r.text or "").strip() for r in rows) == sum(n == 0 for _, n, _ in want)
 
 
-def test_linked_sets_share_a_key():
-    r = np.random.default_rng(5)
-    for _ in range(3000):
+@pytest.mark.parametrize("percent", [95, 90, 80, 70, 60])
+def test_linked_sets_share_a_key(percent):
+    r, share, linked = np.random.default_rng(5), percent / 100, 0
+    for _ in range(2000):
         n = int(r.choice([9, 10, 11, 14, 15, 16, 19, 20, 29, 33, 50, 75, 76, 113, 171, 256, 700]))
         base = r.integers(0, 2**63, n).astype(np.uint64)
-        union = int(n / 0.9) if r.random() < 0.5 else n
-        drop = int(r.integers(0, max(1, union // 10) + 1))
+        union = int(n / share) if r.random() < 0.5 else n
+        drop = int(r.integers(0, max(1, int(union * (1 - share))) + 1))
         a = np.unique(base[min(drop, n - 1) // 2 :])
         b = np.unique(np.concatenate([base[: n - (min(drop, n - 1) - min(drop, n - 1) // 2)], r.integers(0, 2**63, max(0, union - n)).astype(np.uint64)]))
         both = len(np.intersect1d(a, b))
-        if both * 100 >= 90 * (len(a) + len(b) - both) and not np.array_equal(a, b):
-            assert np.intersect1d(jaccard.keys(a, 90), jaccard.keys(b, 90)).size
+        if both * 100 >= percent * (len(a) + len(b) - both) and not np.array_equal(a, b):
+            linked += 1
+            assert np.intersect1d(jaccard.keys(a, percent), jaccard.keys(b, percent)).size
+    assert linked > 200
+
+
+@pytest.mark.parametrize("percent", [90, 80, 70])
+def test_unrelated_sets_share_no_key(percent):
+    r = np.random.default_rng(6)
+    for n in (50, 70, 100, 150, 200, 300, 400, 600, 1000, 2000, 5000):
+        found = [set(jaccard.keys(np.unique(r.integers(0, 2**63, n + int(r.integers(0, n // 10 + 1))).astype(np.uint64)), percent).tolist()) for _ in range(30)]
+        pairs = [bool(found[i] & found[j]) for i in range(30) for j in range(i)]
+        assert sum(pairs) < 0.01 * len(pairs)
+
+
+def test_chunk_pairs_are_dealt_out(spark):
+    members = spark.range(100).selectExpr("id % 2 AS family", "id AS cid", "id + 100 AS n", "cast('' AS binary) AS point", "2 AS chunks", "cast('' AS binary) AS set")
+    for df in (jaccard._possible(members.drop("chunks"), 80), jaccard._family_links(members, 80, False)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert any(" i#" in line and " j#" in line for line in exchanges), plan
 
 
 def test_tree_prunes_only_what_cannot_link():
@@ -130,7 +150,7 @@ def test_tree_prunes_only_what_cannot_link():
     tree = jaccard.Tree(jaccard.counts(sets), np.array([len(s) for s in sets]))
     pruned = 0
     for q in range(len(sets)):
-        left = set(tree.partners(q, 90).tolist())
+        left = set(tree.partners(tree.levels[0][q], int(tree.sizes[q]), q + 1, 90).tolist())
         for p in range(q + 1, len(sets)):
             both = len(np.intersect1d(sets[q], sets[p]))
             if both * 100 >= 90 * (len(sets[q]) + len(sets[p]) - both):
