@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import free_name, materialize, partitions
+from deadhead.llm.common import KEPT, free_name, materialize, partitions, tidied
 
 #: A match that ends this close to the end of a cut text may have been decided by what is missing (fixed by the pattern).
 LOOK_AHEAD = 4
@@ -79,6 +79,14 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+def _forget() -> None:
+    encoder.cache_clear()
+    _encoding.cache_clear()
+
+
+KEPT["bpe"] = _forget
+
+
 def starts(pattern: regex.Pattern, text: str) -> np.ndarray:
     return np.fromiter((m.start() for m in pattern.finditer(text)), np.int64)
 
@@ -131,7 +139,7 @@ def tokenize(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=[*kept, out])
 
     long = F.length(text) > chunk
-    short = given.filter(~F.coalesce(long, F.lit(False))).mapInArrow(whole, schema)
+    short = given.filter(~F.coalesce(long, F.lit(False))).mapInArrow(tidied(whole, "bpe"), schema)
     row = free_name(docs, "_row")
     numbered = materialize(given.filter(long).withColumn(row, F.monotonically_increasing_id()), "bpe")
     stitched = _encode_long(numbered.select(F.col(row).alias("_row"), F.col(text).alias("_text")), path, pattern, chunk, overlap)
@@ -172,15 +180,15 @@ def _encode_long(rows: DataFrame, path: str, pattern: str, chunk: int, overlap:
             ids = [own.encode(p) for p in batch.column("part").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("piece"), pa.array(ids, pa.binary())], names=["_row", "piece", "ids"])
 
-    found = chunks.mapInArrow(edges, f"_row long, _size int, edge {edge}")
+    found = chunks.mapInArrow(tidied(edges, "bpe"), f"_row long, _size int, edge {edge}")
     # a text's chunks meet again: as many as it is long
-    pieces = found.groupBy("_row", "_size").agg(F.collect_list("edge").alias("edges")).mapInArrow(cut, "_row long, pieces array<struct<start:int,size:int>>")
+    pieces = found.groupBy("_row", "_size").agg(F.collect_list("edge").alias("edges")).mapInArrow(tidied(cut, "bpe"), "_row long, pieces array<struct<start:int,size:int>>")
     parts = (
         rows.join(pieces, "_row")
         .select("_row", "_text", F.posexplode("pieces").alias("piece", "p"))
         .select("_row", "piece", F.expr("substring(_text, p.start + 1, p.size)").alias("part"))
         .repartition(n, "_row", "piece")
-        .mapInArrow(encode, "_row long, piece int, ids binary")
+        .mapInArrow(tidied(encode, "bpe"), "_row long, piece int, ids binary")
     )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +196,7 @@ def _encode_long(rows: DataFrame, path: str, pattern: str, chunk: int, overlap:
             ids = [b"".join(p["ids"] for p in r) for r in batch.column("parts").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(ids, pa.binary())], names=["_row", "_ids"])
 
-    return parts.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("parts")).mapInArrow(join, "_row long, _ids binary")
+    return parts.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("parts")).mapInArrow(tidied(join, "bpe"), "_row long, _ids binary")
 
 
 def detokenize(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -201,7 +209,7 @@ def detokenize(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out:
             made = [own.decode(i or b"") for i in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(made, pa.binary())], names=[*kept, out])
 
-    return docs.select(*kept).mapInArrow(run, T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.BinaryType())]))
+    return docs.select(*kept).mapInArrow(tidied(run, "bpe"), T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.BinaryType())]))
 
 
 def digest(tokens: DataFrame) -> DataFrame:

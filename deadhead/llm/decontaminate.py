@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import free_name, lengths_to_starts, materialize, texts, window_hashes
+from deadhead.llm.common import free_name, lengths_to_starts, materialize, texts, tidied, window_hashes
 
 #: Word bytes: digits, a-z (A-Z lower-cased) and every byte of a non-ASCII character.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -137,7 +137,7 @@ def scan(
                 yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, out])
 
     given = docs.drop(out)
-    return given.mapInArrow(run, T.StructType([*given.schema.fields, T.StructField(out, T.StructType.fromDDL(SCAN))]))
+    return given.mapInArrow(tidied(run), T.StructType([*given.schema.fields, T.StructField(out, T.StructType.fromDDL(SCAN))]))
 
 
 def _scan_by_join(docs: DataFrame, items: DataFrame, n: int, text: str, out: str) -> DataFrame:
@@ -215,7 +215,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
             columns = [pa.array(kept, pa.string()) if n == text else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return scanned.mapInArrow(run, docs.schema)
+    return scanned.mapInArrow(tidied(run), docs.schema)
 
 
 def _cut(text: str, spans: list[dict[str, int]]) -> str:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deadhead.llm import labelled
-from deadhead.llm.common import lengths_to_starts, partitions, texts
+from deadhead.llm.common import lengths_to_starts, partitions, texts, tidied
 
 _TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
 REMEMBERED = 200_000
@@ -121,8 +121,8 @@ def word_vectors(docs: DataFrame, text: str, s: Settings) -> np.ndarray:
 
     kind = "piece int, salt int, part binary"
     n = min(partitions(docs.sparkSession), -(-s.slots // ROWS))
-    partial = docs.select(text).mapInArrow(count, kind).repartition(n, "piece", "salt").mapInArrow(add, kind)
-    whole = partial.withColumn("salt", F.lit(0)).repartition(n, "piece").mapInArrow(add, kind)
+    partial = docs.select(text).mapInArrow(tidied(count), kind).repartition(n, "piece", "salt").mapInArrow(tidied(add), kind)
+    whole = partial.withColumn("salt", F.lit(0)).repartition(n, "piece").mapInArrow(tidied(add), kind)
     table = np.zeros(s.slots * s.size)
     for r in whole.collect():  # slots x size numbers, whatever the data
         part = np.frombuffer(zstandard.decompress(r.part), "<i8")
@@ -230,7 +230,7 @@ def fit(
                 x = pooled(texts(batch.column("text")), slots, shared.value)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([v.tobytes() for v in x], pa.binary())], names=["id", "vector"])
 
-    pools = own.mapInArrow(pool, T.StructType([own.schema["id"], T.StructField("vector", T.BinaryType())]))
+    pools = own.mapInArrow(tidied(pool), T.StructType([own.schema["id"], T.StructField("vector", T.BinaryType())]))
     found = pools.join(known, "id").select("vector", "label").orderBy(F.xxhash64("vector"), "label").collect()  # a bounded sample
     x = np.array([np.frombuffer(r.vector, np.float32) for r in found], float).reshape(len(found), 2 * s.size)
     return Model(s, vectors, Network(x, np.array([r.label for r in found]), s.hidden, s.seed))
@@ -249,4 +249,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
                 found = own.network.score(pooled(texts(batch.column(text)), slots, own.vectors).astype(float))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, out])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
+    return kept.mapInArrow(tidied(run), T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))

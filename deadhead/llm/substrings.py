@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import buffer_hashes, free_name, lengths_to_starts, materialize, mixed, partitions, texts, window_hashes, word_starts
+from deadhead.llm.common import buffer_hashes, free_name, lengths_to_starts, materialize, mixed, partitions, texts, tidied, window_hashes, word_starts
 
 #: Text of one block.
 BLOCK_BYTES = 6 << 20
@@ -72,7 +72,7 @@ def pack_blocks(docs: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> D
         if held:
             yield _block(held, size)
 
-    packed = docs.mapInArrow(run, "texts long, bytes long, payload binary")
+    packed = docs.mapInArrow(tidied(run), "texts long, bytes long, payload binary")
     return materialize(packed.select(F.monotonically_increasing_id().alias("block"), "*"), "blocks")
 
 
@@ -211,19 +211,19 @@ def deduplicate(
     size = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(size * EXPANSION / bucket_bytes), partitions(spark))
     # bytes per bucket over all data: one number for each bucket
-    loads = blocks.mapInArrow(_loads(text, width, seed, buckets), "bucket int, bytes long").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    loads = blocks.mapInArrow(tidied(_loads(text, width, seed, buckets)), "bucket int, bytes long").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
     limit = max(bucket_bytes * hot_times, hot_times * size * EXPANSION / buckets)
     hot = np.zeros(buckets, bool)
     hot[[r.bucket for r in loads.filter(F.col("bytes") > limit).toLocalIterator()]] = True
-    sent = blocks.mapInArrow(_send(text, width, seed, buckets, hot), "bucket int, block long, strings binary, counts binary")
+    sent = blocks.mapInArrow(tidied(_send(text, width, seed, buckets, hot)), "bucket int, block long, strings binary, counts binary")
     flags = (
         sent.repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_count(width), "block long, bucket int, flags binary")
+        .mapInArrow(tidied(_count(width)), "block long, bucket int, flags binary")
         .groupBy("block")
         .agg(F.collect_list(F.struct("bucket", "flags")).alias("found"))  # at most one per bucket and a bit per window
     )
-    return blocks.join(flags, "block", "left").select("payload", "found").mapInArrow(_cut(text, width, seed, buckets, hot, out), schema)
+    return blocks.join(flags, "block", "left").select("payload", "found").mapInArrow(tidied(_cut(text, width, seed, buckets, hot, out)), schema)
 
 
 CUT = "n_words long, n_removed long, spans array<struct<first:int,last:int>>, kept string"
