@@ -16,7 +16,9 @@ columns are not written.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -24,12 +26,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deadhead.llm.common import lengths_to_starts, materialize, new_folder, partitions, texts
+from deadhead.llm.common import KEPT, lengths_to_starts, materialize, new_folder, partitions, texts, tidied
 
 MAGIC = b"PACKIDS1"
 #: n_docs, n_ids, bits, ids per block, byte offset of the index, magic
@@ -160,16 +163,57 @@ BETWEEN = "\x01"
 CALL = 500
 
 
+class Pieces(dict):
+    """How a tokenizer divides a run: where its file states this rule, a run's ids are those of its pieces.
+
+    The rule: texts are normalised to NFC and lower case, runs are divided by one pattern, and what it does not match goes.
+    It is followed here for runs of characters that are one letter in lower case and normalised as they stand.
+    """
+
+    ODD = re.compile("[^\n]*[^\n!-~\u00a1-\u012f][^\n]*")
+
+    def __init__(self, tokenizer) -> None:
+        rules = json.loads(tokenizer.to_str())
+        kinds = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        split = steps[0].get("type") == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and "Regex" in steps[0]["pattern"]
+        rest = [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in steps[1:]]
+        known = split and kinds == ["NFC", "Replace", "Lowercase"] and rest == [("ByteLevel", False, False)]
+        # the line ends between runs are found as pieces of their own
+        self.pattern = regex.compile(f"{steps[0]['pattern']['Regex']}|\n") if known else None
+        marks = [x["content"] for x in rules["added_tokens"]]
+        self.marks = re.compile("|".join(f"[^\n]*{re.escape(m)}[^\n]*" for m in marks) or "(?!)")
+
+    def of(self, runs: list[str]) -> dict[str, list[str]]:
+        """The pieces of those runs for which the rule holds."""
+        if self.pattern is None or not runs:
+            return {}
+        text = "\n".join(runs)
+        odd = {*self.ODD.findall(text), *self.marks.findall(text)}
+        plain = [r for r in runs if r not in odd] if odd else runs
+        found, out, at = self.pattern.findall("\n".join(plain).lower()), {}, 0
+        for run in plain:
+            try:
+                end = found.index("\n", at)
+            except ValueError:
+                end = len(found)
+            out[run] = found[at:end]
+            at = end + 1
+        return out
+
+
 class WordIds(dict):
     """Ids of each run without ASCII white space, remembered for a bounded number of runs.
 
     The vocabularies meant here drop white space and never join across it, so a text's ids are those of its runs. When the
-    memory is full, the runs met since it was last full are kept in a second one, so frequent runs stay known.
+    memory is full, the runs met since it was last full are kept in a second one, so frequent runs stay known. Runs that
+    differ in capitals or in the punctuation around them share their pieces, which are remembered, too.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
         self.before: dict[bytes, bytes] = {}
+        self.pieces = Pieces(self.tokenizer)
         between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         self.between = between[0] if len(between) == 1 else None
 
@@ -188,21 +232,36 @@ class WordIds(dict):
         return [b"".join(map(self.__getitem__, ws)) for ws in words]
 
     def _learn(self, new: list[bytes]) -> None:
-        mark = BETWEEN.encode()
-        alone = [w for w in new if mark in w] if self.between is not None else new
-        for word, found in zip(alone, self.tokenizer.encode_batch([w.decode() for w in alone], add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, "<u4").tobytes()
-        rest = [w for w in new if mark not in w] if self.between is not None else []
+        runs = [w.decode() for w in new]
+        divided = self.pieces.of(runs)
+        every = set().union(*divided.values())
+        wanted = every.difference(self.pieces)
+        if len(self.pieces) + len(wanted) > REMEMBERED:
+            self.pieces.clear()
+            wanted = every
+        self.pieces.update(self._encoded(list(wanted)))
+        whole, own = self._encoded([r for r in runs if r not in divided]), self.pieces.__getitem__
+        for word, run in zip(new, runs, strict=True):
+            parts = divided.get(run)
+            self[word] = whole[run] if parts is None else own(parts[0]) if len(parts) == 1 else b"".join(map(own, parts))
+
+    def _encoded(self, runs: list[str]) -> dict[str, bytes]:
+        """Ids of each run by the library, in joined calls."""
+        out: dict[str, bytes] = {}
+        alone = [w for w in runs if BETWEEN in w] if self.between is not None else runs
+        for word, found in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
+            out[word] = np.array(found.ids, "<u4").tobytes()
+        rest = [w for w in runs if BETWEEN not in w] if self.between is not None else []
         calls = [rest[i : i + CALL] for i in range(0, len(rest), CALL)]
-        gap = b" " + mark + b" "
-        found = self.tokenizer.encode_batch_fast([gap.join(c).decode() for c in calls], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(c) for c in calls], add_special_tokens=False)
         for call, encoded in zip(calls, found, strict=True):
             ids = np.array(encoded.ids, "<u4")
             ends = np.append(np.flatnonzero(ids == self.between), len(ids)) * 4
             data, at = ids.tobytes(), 0
             for word, end in zip(call, ends.tolist(), strict=True):
-                self[word] = data[at:end]
+                out[word] = data[at:end]
                 at = end + 4
+        return out
 
 
 @functools.lru_cache(maxsize=1)
@@ -210,6 +269,14 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def _forget() -> None:
+    word_ids.cache_clear()
+    _tokenizer.cache_clear()
+
+
+KEPT["token_files"] = _forget
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """A tokenizer file of the tokenizers library that drops white space, and the id that ends each document."""
@@ -255,7 +322,7 @@ def write(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text:
                 {"shard": pa.array([shard], pa.int32()), "path": [f"{folder}/{name}"], "n_docs": [len(writer.ids)], "n_ids": [writer.total]}
             )
 
-    return materialize(dealt.mapInArrow(run, MANIFEST), "token-manifest")
+    return materialize(dealt.mapInArrow(tidied(run, "token_files"), MANIFEST), "token-manifest")
 
 
 def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
@@ -271,7 +338,7 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                 yield from _documents(own, begins[k])
                 own.close()
 
-    return spark.range(0, len(paths), 1, max(1, len(paths))).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return spark.range(0, len(paths), 1, max(1, len(paths))).mapInArrow(tidied(run, "token_files"), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def _documents(own: TokenFile, begin: int) -> Iterator[pa.RecordBatch]:
