@@ -28,6 +28,7 @@ word; repeated rows count and are scored each by itself; an empty table gives no
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import shutil
 import tempfile
@@ -37,13 +38,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import WordHashes, lengths_to_starts, materialize, mixed, new_folder, partitions, texts
+from deadhead.llm.common import WordHashes, lengths_to_starts, materialize, mixed, new_folder, partitions, texts, tidied
 
 #: No word holds a line end.
 END = b"\n"
@@ -54,6 +56,8 @@ FREQUENT = 256
 UNDECIDED = 0.5
 #: Places of pairs that are spread over shards begin here.
 HEAVY = 1 << 31
+#: Text of a shard, at most; word numbers and places of pairs are held in 32 bits.
+SHARD_BYTES = 128 << 20
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 _LONGS = pa.list_(pa.int64())
@@ -88,11 +92,8 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _send(bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row per bucket of ascending ``keys``."""
-    order = np.argsort(bucket, kind="stable")
-    bucket, keys, counts = bucket[order], keys[order], counts[order]
-    edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(bucket[a])], pa.int32()), "part": pa.array([squeeze(keys[a:b], counts[a:b])], pa.binary())})
+    for k, some in _groups(bucket, int(bucket.max(initial=0)) + 1):
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array([k], pa.int32()), "part": pa.array([squeeze(keys[some], counts[some])], pa.binary())})
 
 
 def _gather(batches: Iterator[pa.RecordBatch], done: Callable[[int, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
@@ -149,6 +150,16 @@ def mapped(path: str, kind: str) -> np.ndarray:
 
 # model
 
+#: Shards and the places of a batch's keys that belong to each.
+Groups = list[tuple[int, np.ndarray]]
+
+
+def _groups(shard: np.ndarray, shards: int) -> Groups:
+    """Places by shard, those of one shard in the order they came."""
+    order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")  # by radix for 16 bits
+    edges = lengths_to_starts(np.bincount(shard, minlength=shards))
+    return [(k, order[edges[k] : edges[k + 1]]) for k in np.flatnonzero(np.diff(edges)).tolist()]
+
 
 @dataclass
 class Model:
@@ -207,26 +218,20 @@ class Model:
             own[some] = (own[some] + step) % self.shards
         return own
 
-    def _places(self, files: dict[int, tuple[str, ...]], keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    def _places(self, files: dict[int, tuple[str, ...]], keys: np.ndarray, groups: Groups) -> np.ndarray:
         """Places of keys in the files of their shards, -1 for those that are not there."""
-        order = np.lexsort((keys, shard))
-        edges = lengths_to_starts(np.bincount(shard, minlength=self.shards))
         out = np.full(len(keys), -1, np.int64)
-        for k in np.flatnonzero(np.diff(edges)).tolist():
+        for k, some in groups:
             if k in files:
-                some = order[edges[k] : edges[k + 1]]
-                own = mapped(files[k][0], "<u8")
-                at = np.minimum(np.searchsorted(own, keys[some]), len(own) - 1)
-                out[some] = np.where(own[at] == keys[some], at, -1)
+                own, wanted = mapped(files[k][0], "<u8"), keys[some]
+                at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+                out[some] = np.where(own[at] == wanted, at, -1)
         return out
 
-    def _at_places(self, files: dict[int, tuple[str, ...]], shard: np.ndarray, place: np.ndarray, width: int = 1) -> np.ndarray:
+    def _at_places(self, files: dict[int, tuple[str, ...]], groups: Groups, place: np.ndarray, width: int = 1) -> np.ndarray:
         """Rows of counts, zeros where there is no place."""
-        order = np.lexsort((place, shard))
-        edges = lengths_to_starts(np.bincount(shard, minlength=self.shards))
         out = np.zeros((len(place), width), np.int64)
-        for k in np.flatnonzero(np.diff(edges)).tolist():
-            some = order[edges[k] : edges[k + 1]]
+        for k, some in groups:
             some = some[place[some] >= 0]
             if k in files and len(some):
                 small, large = files[k][-2:]
@@ -239,13 +244,6 @@ class Model:
                 out[some] = found.reshape(-1, width)
         return out
 
-    def pair_places(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        shard = self.shard_of(first, second)
-        return shard, self._places(self.pairs, _key(first, second), shard)
-
-    def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return self._at_places(self.pairs, *self.pair_places(first, second))[:, 0]
-
     def _heavy(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which keys of pairs are spread, and their numbers among these."""
         names = np.array(sorted(self.heavy), np.uint64)
@@ -264,11 +262,13 @@ class Model:
         return shard, _key(place, third)
 
     def triple_counts(self, shard: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        return self._at_places(self.triples, shard, self._places(self.triples, keys, shard))[:, 0]
+        order = np.argsort(keys)
+        groups = [(k, order[some]) for k, some in _groups(shard[order], self.shards)]
+        return self._at_places(self.triples, groups, self._places(self.triples, keys, groups))[:, 0]
 
-    def words_behind(self, pairs: np.ndarray, shard: np.ndarray, place: np.ndarray) -> np.ndarray:
+    def words_behind(self, pairs: np.ndarray, groups: Groups, place: np.ndarray) -> np.ndarray:
         """Different words behind pairs once, twice, more often."""
-        out = self._at_places(self.behind, shard, place, 3)
+        out = self._at_places(self.behind, groups, place, 3)
         some, at = self._heavy(pairs)
         for i, k in zip(some.tolist(), at.tolist(), strict=True):
             out[i] = self.heavy_behind.get(k, [0] * 3)
@@ -288,8 +288,11 @@ class Model:
     def following(self, number: np.ndarray) -> np.ndarray:
         """Tokens behind each word, and words behind it once, twice, more often."""
         out = self._by_word(number, self.follow, "<i8", 4)
-        for name, row in self.spread_follow.items():
-            out[number == name] = row
+        if self.spread_follow:
+            names = np.array(sorted(self.spread_follow))
+            at = np.minimum(np.searchsorted(names, number), len(names) - 1)
+            some = np.flatnonzero(names[at] == number)
+            out[some] = np.array([self.spread_follow[k] for k in names.tolist()])[at[some]]
         return out
 
     def word_probability(self, number: np.ndarray) -> np.ndarray:
@@ -327,28 +330,64 @@ def _sequences(raw: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.nda
     return hashes.of([w for ws in words for w in ws]), counts
 
 
-def _numbered(model: Model, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    names, at = np.unique(values, return_inverse=True)
-    number, count = model.numbers(names)
-    return number[at], count[at]
+class _Index(dict):
+    """A place for each word, from 1 on; ``fresh`` lists the words that were new."""
 
+    def __init__(self) -> None:
+        self.fresh: list[bytes] = []
 
-def _firsts(number: np.ndarray, counts: np.ndarray, begin: int) -> np.ndarray:
-    """The word ahead of each token."""
-    out = np.empty_like(number)
-    out[1:] = number[:-1]
-    out[lengths_to_starts(counts)[:-1]] = begin
-    return out
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self) + 1
+        self.fresh.append(word)
+        return place
+
+
+class Vocabulary:
+    """Words that a task has met, with what the model knows of them; dropped when they are many. Place 0 is the begin."""
+
+    LIMIT = 300_000
+
+    def __init__(self, model: Model, scores: bool = False) -> None:
+        self.model, self.scores = model, scores
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index = _Index()
+        self.number, self.count = np.array([self.model.types]), np.zeros(1, np.int64)
+        if self.scores:
+            self.chance, self.behind = self._known(self.number)
+
+    def _known(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.model.word_probability(number), self.model.following(number)
 
+    def tokens(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all tokens, end included, and the tokens of each text."""
+        if len(self.index) > self.LIMIT:
+            self._clear()
+        words = [[*t.lower().split(), END] for t in raw]
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        found = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(counts.sum()))
+        if self.index.fresh:
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.index.fresh), np.uint64, len(self.index.fresh))
+            order = np.argsort(hashes)
+            number, count = np.empty((2, len(order)), np.int64)
+            number[order], count[order] = self.model.numbers(hashes[order])
+            self.number, self.count = np.concatenate((self.number, number)), np.concatenate((self.count, count))
+            if self.scores:
+                chance, behind = self._known(number)
+                self.chance, self.behind = np.concatenate((self.chance, chance)), np.concatenate((self.behind, behind))
+            self.index.fresh = []
+        return found, counts
 
-def _counting(column: str, keys_of: Callable, bucket_of: Callable) -> Callable:
-    """Batches of texts to packed counts of ``keys_of(values, counts)``, sent on by ``bucket_of(keys)``."""
+
+def _counting(column: str, read: Callable, bucket_of: Callable) -> Callable:
+    """Batches of texts to packed counts of ``read()(texts)``, sent on by ``bucket_of(keys)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = WordHashes(), [], 0
+        keys_of, held, size = read(), [], 0
         for batch in batches:
             if batch.num_rows:
-                held.append(keys_of(*_sequences(texts(batch.column(column)), hashes)))
+                held.append(keys_of(texts(batch.column(column))))
                 size += len(held[-1])
             if size >= HELD:
                 keys, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -366,8 +405,9 @@ def fit(docs: DataFrame, text: str = "text", training: Column | None = None, ord
     if order not in (2, 3):
         raise ValueError(f"order {order} is not built")
     spark = docs.sparkSession
-    folder, shards = new_folder(spark, "ngram-model"), partitions(spark)
     taught = (docs if training is None else docs.filter(training)).select(F.col(text).alias("text"))
+    size = taught.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    folder, shards = new_folder(spark, "ngram-model"), max(partitions(spark), -(-size // SHARD_BYTES))
     model = Model(shards)
     _count_words(taught, model, folder)
     _count_pairs(taught, model, folder)
@@ -431,12 +471,18 @@ def _count_words(taught: DataFrame, model: Model, folder: str) -> None:
             }
         )
 
-    sent = taught.mapInArrow(_counting("text", lambda values, _: values, lambda keys: _range(keys, shards)), "bucket int, part binary")
+    def read() -> Callable:
+        hashes = WordHashes()
+        return lambda raw: _sequences(raw, hashes)[0]
+
+    sent = taught.mapInArrow(tidied(_counting("text", read, lambda keys: _range(keys, shards))), "bucket int, part binary")
     kind = "bucket int, keys string, counts string, types long, tokens long, ends long, places array<long>, top array<long>"
     rows = materialize(_dealt(sent, shards).mapInArrow(lambda batches: _gather(batches, store), kind), "ngram-words").collect()  # a row per shard
     by_shard = {r.bucket: r for r in rows}
     for k in range(shards):
         model.begins.append(model.begins[-1] + (by_shard[k].types if k in by_shard else 0))
+    if model.types >= (1 << 32) - 1:
+        raise OverflowError("more different words than 32 bits can number")
     for k, r in by_shard.items():
         model.words[k] = r["keys"], r["counts"]
         model.tokens += r.tokens
@@ -450,10 +496,15 @@ def _count_pairs(taught: DataFrame, model: Model, folder: str) -> None:
     shards = model.shards
     shared = taught.sparkSession.sparkContext.broadcast(model)  # file names, a few for each shard
 
-    def keys_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        own = shared.value
-        number, _ = _numbered(own, values)
-        return _key(_firsts(number, counts, own.types), number)
+    def read() -> Callable:
+        own, words = shared.value, Vocabulary(shared.value)
+
+        def keys_of(raw: list[bytes]) -> np.ndarray:
+            places, counts = words.tokens(raw)
+            number = words.number[places]
+            return _key(_moved(number, counts, own.types), number)
+
+        return keys_of
 
     def store(bucket: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -471,7 +522,7 @@ def _count_pairs(taught: DataFrame, model: Model, folder: str) -> None:
             }
         )
 
-    sent = taught.mapInArrow(_counting("text", keys_of, lambda keys: shared.value.shard_of(*_split(keys))), "bucket int, part binary")
+    sent = taught.mapInArrow(tidied(_counting("text", read, lambda keys: shared.value.shard_of(*_split(keys)))), "bucket int, part binary")
     kind = "bucket int, keys string, small string, large string, follow string, names array<long>, rows array<long>, n array<long>, types long, ahead binary, heavy array<long>, filled array<long>"
     made = materialize(_dealt(sent, shards).mapInArrow(lambda batches: _gather(batches, store), kind), "ngram-pairs")
     n = np.zeros(4, np.int64)
@@ -480,6 +531,8 @@ def _count_pairs(taught: DataFrame, model: Model, folder: str) -> None:
         model.follow[r.bucket] = r.follow
         n += r.n
         model.pair_types += r.types
+        if r.types >= HEAVY:
+            raise OverflowError("more pairs in a shard than 31 bits can number: make SHARD_BYTES smaller")
         _add_rows(model.spread_follow, r.names, r["rows"])
         share = max(1, model.tokens // shards)
         model.heavy |= {k % (1 << 64): min(shards, -(-c // share)) for k, c in zip(r.heavy, r.filled, strict=True)}
@@ -511,14 +564,24 @@ def _count_pairs(taught: DataFrame, model: Model, folder: str) -> None:
         model.word_rest = float(np.dot(model.word_discounts, [n[0], n[1], n[4]])) / model.pair_types
 
 
-def _places_of_pairs(model: Model, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key, shard and place (-1: not counted) of the pair that each token ends."""
-    both = (first >= 0) & (number >= 0)
+@dataclass
+class Pairs:
+    """The different pairs of known words in a batch, and which of them each token ends (-1: none)."""
+
+    keys: np.ndarray
+    shard: np.ndarray
+    place: np.ndarray  # -1: not counted
+    groups: Groups
+    of: np.ndarray
+
+
+def _pairs(model: Model, number: np.ndarray, first: np.ndarray) -> Pairs:
+    both = np.flatnonzero((first >= 0) & (number >= 0))
     keys, at = np.unique(_key(first[both], number[both]), return_inverse=True)
-    own, there = model.pair_places(*_split(keys))
-    key, shard, place = np.zeros(len(number), np.uint64), np.zeros(len(number), np.int64), np.full(len(number), -1, np.int64)
-    key[both], shard[both], place[both] = keys[at], own[at], there[at]
-    return key, shard, place
+    shard = model.shard_of(*_split(keys))
+    groups, of = _groups(shard, model.shards), np.full(len(number), -1, np.int64)
+    of[both] = at
+    return Pairs(keys, shard, model._places(model.pairs, keys, groups), groups, of)
 
 
 def _moved(values: np.ndarray, counts: np.ndarray, none: int) -> np.ndarray:
@@ -534,25 +597,30 @@ def _count_triples(taught: DataFrame, model: Model, folder: str) -> None:
     shared = taught.sparkSession.sparkContext.broadcast(model)
 
     def found(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        own, counts = shared.value, np.concatenate([p[1] for p in parts])
-        number, _ = _numbered(own, np.concatenate([p[0] for p in parts]))
-        key, shard, place = (_moved(x, counts, none) for x, none in zip(_places_of_pairs(own, number, _firsts(number, counts, own.types)), (0, 0, -1), strict=True))
-        some = np.flatnonzero(place >= 0)
-        return own.triple_keys(key[some], shard[some], place[some], number[some])
+        own, number, counts = shared.value, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        pairs = _pairs(own, number, _moved(number, counts, own.types))
+        ahead = _moved(pairs.of, counts, -1)
+        some = np.flatnonzero(ahead >= 0)
+        ahead = ahead[some]
+        if (pairs.place[ahead] < 0).any():
+            raise RuntimeError("a pair of the training texts was not counted")
+        return own.triple_keys(pairs.keys[ahead], pairs.shard[ahead], pairs.place[ahead], number[some])
 
     def combined(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         bucket, keys = (np.concatenate([h[k] for h in held]) for k in (0, 1))
-        order = np.lexsort((keys, bucket))
+        order = np.argsort(keys)
+        order = np.concatenate([order[some] for _, some in _groups(bucket[order], shards)]) if len(order) else order
         bucket, keys = bucket[order], keys[order]
         fresh = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (bucket[1:] != bucket[:-1])))) if len(keys) else np.empty(0, np.int64)
         yield from _send(bucket[fresh], keys[fresh], np.diff(fresh, append=len(keys)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, read, held, some, size = WordHashes(), [], [], 0, 0
+        words, read, held, some, size = Vocabulary(shared.value), [], [], 0, 0
         for batch in batches:
             if batch.num_rows:
-                read.append(_sequences(texts(batch.column("text")), hashes))
-                some += len(read[-1][0])
+                places, counts = words.tokens(texts(batch.column("text")))
+                read.append((words.number[places], counts))
+                some += len(places)
             if some >= HELD // 4:  # looked up together
                 held.append(found(read))
                 size, some, read = size + some, 0, []
@@ -579,7 +647,7 @@ def _count_triples(taught: DataFrame, model: Model, folder: str) -> None:
             }
         )
 
-    sent = taught.mapInArrow(count, "bucket int, part binary")
+    sent = taught.mapInArrow(tidied(count), "bucket int, part binary")
     kind = "bucket int, keys string, small string, large string, few string, many string, names array<long>, rows array<long>, n array<long>"
     n = np.zeros(4, np.int64)
     for r in materialize(_dealt(sent, shards).mapInArrow(lambda batches: _gather(batches, store), kind), "ngram-triples").collect():  # a row per shard
@@ -602,7 +670,7 @@ def _adjust_pairs(taught: DataFrame, model: Model, folder: str) -> None:
             pairs = mapped(own.pairs[bucket][0], "<u8") if bucket in own.pairs else np.empty(0, np.uint64)
             begun = np.arange(*np.searchsorted(pairs, _key(np.array([own.types, own.types + 1]), np.zeros(2, np.int64))))
             if len(begun):
-                counts = own._at_places(own.pairs, np.full(len(begun), bucket), begun)[:, 0]
+                counts = own._at_places(own.pairs, [(bucket, np.arange(len(begun)))], begun)[:, 0]
                 yield from _send(np.full(len(begun), bucket), pairs[begun], counts)
             triples = mapped(own.triples[bucket][0], "<u8") if bucket in own.triples else np.empty(0, np.uint64)
             for a in range(0, len(triples), HELD):
@@ -642,37 +710,36 @@ def _adjust_pairs(taught: DataFrame, model: Model, folder: str) -> None:
 # scores
 
 
-def _by_triples(model: Model, number: np.ndarray, counts: np.ndarray, ends: tuple[np.ndarray, np.ndarray, np.ndarray], lower: np.ndarray) -> np.ndarray:
+def _by_triples(model: Model, number: np.ndarray, counts: np.ndarray, pairs: Pairs, lower: np.ndarray) -> np.ndarray:
     """Probabilities of tokens by the two words ahead, mixed with those by one."""
-    key, shard, place = (_moved(x, counts, none) for x, none in zip(ends, (0, 0, -1), strict=True))
-    some = np.flatnonzero(place >= 0)
-    names, one, at = np.unique(key[some], return_index=True, return_inverse=True)
-    own = some[one]
-    total = np.maximum(model._at_places(model.pairs, shard[own], place[own])[:, 0], 1)  # a token follows each
-    rest = model.words_behind(names, shard[own], place[own]) @ np.array(model.triple_discounts) / total
+    total = np.maximum(model._at_places(model.pairs, pairs.groups, pairs.place)[:, 0], 1)  # a token follows each
+    rest = model.words_behind(pairs.keys, pairs.groups, pairs.place) @ np.array(model.triple_discounts) / total
+    ahead = _moved(pairs.of, counts, -1)
+    some = np.flatnonzero(ahead >= 0)
+    some = some[pairs.place[ahead[some]] >= 0]
+    ahead = ahead[some]
     known = np.flatnonzero(number[some] >= 0)
-    triples = np.zeros(len(some), np.int64)
-    triples[known] = model.triple_counts(*model.triple_keys(*(x[some[known]] for x in (key, shard, place, number))))
+    triples, own = np.zeros(len(some), np.int64), ahead[known]
+    triples[known] = model.triple_counts(*model.triple_keys(pairs.keys[own], pairs.shard[own], pairs.place[own], number[some[known]]))
     out = lower.copy()
-    out[some] = _kept(triples, model.triple_discounts) / total[at] + rest[at] * lower[some]
+    out[some] = _kept(triples, model.triple_discounts) / total[ahead] + rest[ahead] * lower[some]
     return out
 
 
-def _scores(model: Model, raw: list[bytes], hashes: WordHashes) -> dict[str, pa.Array]:
-    values, counts = _sequences(raw, hashes)
-    number, seen = _numbered(model, values)
-    first = _firsts(number, counts, model.types)
-    ends = _places_of_pairs(model, number, first)
-    found = model._at_places(model.adjusted if model.order == 3 else model.pairs, *ends[1:])[:, 0]
-    words, place = np.unique(np.concatenate((number, first)), return_inverse=True)
-    chance = model.word_probability(words)[place[: len(number)]]
-    behind = model.following(words)[place[len(number) :]]
+def _scores(model: Model, raw: list[bytes], words: Vocabulary) -> dict[str, pa.Array]:
+    places, counts = words.tokens(raw)
+    number, seen = words.number[places], words.count[places]
+    first = _moved(places, counts, 0)
+    pairs = _pairs(model, number, words.number[first])
+    found = model._at_places(model.adjusted if model.order == 3 else model.pairs, pairs.groups, pairs.place)[:, 0]
+    found = np.where(pairs.of >= 0, found[pairs.of], 0) if len(found) else np.zeros(len(number), np.int64)
+    chance, behind = words.chance[places], words.behind[first]
     total = np.maximum(behind[:, 0], 1)
     rest = behind[:, 1:] @ np.array(model.pair_discounts) / total
     pair = _kept(found, model.pair_discounts) / total + rest * chance
     chance = np.where(behind[:, 0] > 0, pair, chance)
     if model.order == 3:
-        chance = _by_triples(model, number, counts, ends, chance)
+        chance = _by_triples(model, number, counts, pairs, chance)
     logs = np.log10(chance)
     base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
     begins = lengths_to_starts(counts)[:-1]
@@ -690,14 +757,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "lm") ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        words = Vocabulary(shared.value, scores=True)
         for batch in batches:
             if batch.num_rows:
-                made = _scores(shared.value, texts(batch.column(text)), hashes)
+                made = _scores(shared.value, texts(batch.column(text)), words)
                 struct = pa.StructArray.from_arrays(list(made.values()), names=list(made))
                 yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, out])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.StructType.fromDDL(SCORE))]))
+    return kept.mapInArrow(tidied(run), T.StructType([*kept.schema.fields, T.StructField(out, T.StructType.fromDDL(SCORE))]))
 
 
 def perplexity(score: Column) -> Column:
