@@ -1,4 +1,11 @@
-"""A training corpus from raw documents: stages that each write their result for the next one."""
+"""A training corpus from raw documents: stages that each write their result for the next one.
+
+Defined results. Quality: a NULL or empty text is scored like any other; repeated rows are scored each. Near copies: rows of
+one group leave the one with the smallest id (NULL ids last), repeated rows leave one, documents without a word all stay.
+Repeated passages and benchmark passages go from the texts that hold them; texts of which nothing is left stay as empty
+texts, NULL stays NULL. Encoding: NULL and empty texts have no ids. Further columns come through all stages but the last
+unchanged, whatever their names; an empty table gives no rows; very long texts pass like others, none is cut short.
+"""
 
 from __future__ import annotations
 
