@@ -70,9 +70,13 @@ def _all_tours(j: Pipeline) -> DataFrame:
     return tours.build_tours(j.edges, j.campuses, j.p, j.tuning)
 
 
-_query("tours2")(lambda j: _all_tours(j).filter("c_origin is null").drop("mode"))
-_query("tours3")(lambda j: _all_tours(j).filter("c_origin is not null and d_origin is null").drop("mode"))
-_query("tours4")(lambda j: _all_tours(j).filter("d_origin is not null").drop("mode"))
+def _builder(j: Pipeline) -> tours.TourBuilder:
+    return tours.TourBuilder(j.edges, j.campuses, j.p, j.tuning)
+
+
+_query("tours2")(lambda j: _builder(j).two())
+_query("tours3")(lambda j: _builder(j).three())
+_query("tours4")(lambda j: _builder(j).four())
 _query("tours_all")(_all_tours)
 _query("tours_dc_homed")(lambda j: tours.dc_homed(_all_tours(j)))
 
@@ -100,6 +104,10 @@ _query("assignment")(lambda j: j.runs)
 _query("assignment_audit")(lambda j: matching.lane_audit(j.routes, j.lane_model, j.runs))
 _query("audit_totals")(lambda j: matching.run_audit(j.routes, j.lane_model, j.runs))
 _query("matching_gap")(lambda j: matching.optimality_gap(j.routes, j.lane_model, j.runs, j.p))
+# by price rounds: tested against brute force, as SQL cannot follow the rounds
+_query("priced_assignment")(lambda j: j.priced.runs)
+_query("priced_audit")(lambda j: matching.run_audit(j.routes, j.lane_model, j.priced.runs))
+_query("priced_gap")(lambda j: matching.optimality_gap(j.routes, j.lane_model, j.priced.runs, j.p, j.priced.prices))
 _query("oneway_remainder")(lambda j: matching.one_way_loads(j.routes, j.lane_model, j.runs, j.p))
 _query("cost_summary")(lambda j: matching.cost_summary(j.routes, j.lane_model, j.runs, j.p))
 _query("run_counts")(lambda j: matching.run_counts(j.routes, j.lane_model, j.runs))

@@ -81,12 +81,27 @@ def all_pairs(left: DataFrame, right: DataFrame, tuning: Tuning = TUNING) -> Dat
     return one.join(two, ["_i", "_j"]).select(*columns)
 
 
-def spread_null(key: Column, by: Column) -> Column:
-    """``key`` for a left join on positive numbers: NULL becomes one of many negative numbers, which match nothing.
+def look_up_slots(rows: DataFrame, slots: list[list[str]], lookup: DataFrame, keys: list[str], names: list[dict[str, str]]) -> DataFrame:
+    """Left joins of ``rows`` with one ``lookup`` for several slots, by a single join.
 
-    Rows without a key then do not all meet in one task.
+    A slot is a list of columns that meet the lookup's ``keys``; ``names`` has for each slot which columns of the lookup it
+    adds under what name. Slots with a NULL key take no part in the join. Several matches of a slot multiply the row, and
+    those of different slots each other, as separate joins would.
     """
-    return F.coalesce(key, -1 - F.pmod(F.xxhash64(by), F.lit(1 << 20)))
+    # written, so that the numbers of the rows are the same on both sides
+    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "slot-rows")
+    every = [F.struct(F.lit(i).alias("_slot"), *[F.col(c).alias(f"_k{j}") for j, c in enumerate(own)]) for i, own in enumerate(slots)]
+    match = [f"_k{j}" for j in range(len(keys))]
+    asked = rows.select("_row", F.explode(F.array(*every)).alias("_ask")).select("_row", "_ask.*").dropna(subset=match)
+    wanted = list(dict.fromkeys(c for own in names for c in own))
+    offered = lookup.select(*[F.col(k).alias(m) for k, m in zip(keys, match)], F.struct(*wanted).alias("_found"))
+    found = asked.join(offered, match).groupBy("_row")
+    found = found.agg(*[F.collect_list(F.when(F.col("_slot") == i, F.col("_found"))).alias(f"_found{i}") for i in range(len(slots))])
+    out = rows.join(found, "_row", "left")
+    for i, own in enumerate(names):
+        out = out.withColumn("_one", F.explode_outer(f"_found{i}"))
+        out = out.withColumns({name: F.col("_one")[c] for c, name in own.items()}).drop("_one", f"_found{i}")
+    return out.drop("_row")
 
 
 def expanding_join(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from deadhead.config import DEFAULT, TUNING, Params, Tuning
 from deadhead.functions.cost import leg_cost
-from deadhead.functions.tables import dense_id
+from deadhead.functions.tables import dense_id, look_up_slots
 from deadhead.operators.tours import SLOTS, build_tours
 from deadhead.storage import materialize
 
@@ -51,16 +51,9 @@ def tour_cost(tours: DataFrame, dedicated_costs: DataFrame, p: Params = DEFAULT)
 
 def tour_lanes(tours: DataFrame, lanes: DataFrame) -> DataFrame:
     """Add lane numbers by origin and destination; facilities with several zip pairs multiply the tour."""
-    for i, s in enumerate(SLOTS, start=1):
-        ends = [f"{s}_origin", f"{s}_dest"]
-        numbers = lanes.select(
-            F.col("o_id").alias(ends[0]), F.col("d_id").alias(ends[1]), F.lit(0).alias("_spread"), F.col("pair_number").alias(f"pair_nbr{i}")
-        )
-        # tours without this leg match nothing; a third key keeps them from meeting in one task
-        missing = F.col(ends[0]).isNull() | F.col(ends[1]).isNull()
-        spread = F.when(missing, F.pmod(F.xxhash64(*tours.columns), F.lit(1 << 20))).otherwise(0).cast("int")
-        tours = tours.withColumn("_spread", spread).join(numbers, [*ends, "_spread"], "left").drop("_spread")
-    return tours
+    slots = [[f"{s}_origin", f"{s}_dest"] for s in SLOTS]
+    names = [{"pair_number": f"pair_nbr{i}"} for i in range(1, len(SLOTS) + 1)]
+    return look_up_slots(tours, slots, lanes, ["o_id", "d_id"], names)
 
 
 def priced_tours(

@@ -57,6 +57,18 @@ def fill_geodesic(legs: DataFrame, postal_codes: DataFrame, p: Params = DEFAULT)
     return located.select(*rest, F.coalesce("dist", miles).alias("dist"))
 
 
+def zip_distances(pairs: DataFrame, distance_table: DataFrame, postal_codes: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """``o_zip, d_zip, dist`` of distinct zip pairs, by the table in both directions, then by coordinates."""
+    unknown = pairs.select(*ZIPS, F.lit(None).cast("double").alias("dist"))
+    return fill_geodesic(fill_from_table(unknown, distance_table), postal_codes, p)
+
+
+def fill_by_zips(legs: DataFrame, known: DataFrame) -> DataFrame:
+    """Distances of legs that have none, from a table of one row per zip pair; the distance becomes the last column."""
+    rest = [c for c in legs.columns if c != "dist"]
+    return legs.drop("dist").join(known.select(*ZIPS, "dist"), ZIPS, "left").select(*rest, "dist")
+
+
 def fill_manual(legs: DataFrame, manual_distances: DataFrame) -> DataFrame:
     keys = ["o_id", "d_id", *ZIPS]
     kept = manual_distances.groupBy(*keys).agg(F.avg("dist").alias("kept"))

@@ -145,6 +145,31 @@ def outbound_legs(demand: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return conform(legs, INPUT_LEGS)
 
 
+def known_legs(demand: DataFrame, partner_lanes: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Legs that come from invoices or partner lanes, most with a distance: both directions of the demand, partner lanes."""
+    empty = conform(demand.withColumns({"loads": F.lit(0), "loaded_ind": F.lit(0)}), INPUT_LEGS)
+    return empty.unionByName(outbound_legs(demand, p)).unionByName(loaded_partner_legs(partner_lanes, p))
+
+
+def product_legs(demand: DataFrame, partner_lanes: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Legs between every own and every partner facility, none with a distance."""
+    made = [f(demand, partner_lanes, p) for f in (store_partner_legs, dc_partner_legs, partner_dc_legs)]
+    return reduce(DataFrame.unionByName, [conform(df.withColumn("loaded_ind", F.lit(0)), INPUT_LEGS) for df in made])
+
+
+def product_zips(demand: DataFrame, partner_lanes: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The distinct zip pairs of ``product_legs``: a product of zips, which owners and facilities do not multiply."""
+
+    def zips(df: DataFrame, column: str, name: str) -> DataFrame:
+        return df.select(F.col(column).alias(name)).filter(F.col(name).isNotNull()).distinct()
+
+    lanes = valid_partner_lanes(partner_lanes, p)
+    own = demand.select(F.explode(F.array("o_zip", "d_zip")).alias("zip"))
+    there = all_pairs(zips(own, "zip", "o_zip"), zips(lanes, "origin_zip", "d_zip"))
+    back = all_pairs(zips(lanes, "destination_zip", "o_zip"), zips(demand, "d_zip", "d_zip"))
+    return there.unionByName(back.select(*there.columns)).distinct()
+
+
 def input_legs(demand: DataFrame, partner_lanes: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """All six kinds of legs, each free of duplicates.
 
@@ -152,15 +177,7 @@ def input_legs(demand: DataFrame, partner_lanes: DataFrame, p: Params = DEFAULT)
     product of distinct lists is distinct, and partner lanes are grouped. Nothing is deduplicated across
     branches, and no shuffle is added by the union.
     """
-    empty = [
-        demand.withColumn("loads", F.lit(0)),
-        store_partner_legs(demand, partner_lanes, p),
-        dc_partner_legs(demand, partner_lanes, p),
-        partner_dc_legs(demand, partner_lanes, p),
-    ]
-    branches = [conform(df.withColumn("loaded_ind", F.lit(0)), INPUT_LEGS) for df in empty]
-    branches += [outbound_legs(demand, p), loaded_partner_legs(partner_lanes, p)]
-    return reduce(DataFrame.unionByName, branches)
+    return known_legs(demand, partner_lanes, p).unionByName(product_legs(demand, partner_lanes, p))
 
 
 def label_legs(legs: DataFrame) -> DataFrame:

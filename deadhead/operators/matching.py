@@ -367,13 +367,13 @@ def _reprice(pairs: DataFrame, prices: DataFrame | None, given: str, wanted: str
     return pairs.groupBy(F.col(wanted).alias("lane")).agg(F.greatest(F.max(rest), F.lit(0.0)).alias("price"))
 
 
-def optimality_gap(routes: DataFrame, lanes: DataFrame, runs: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def optimality_gap(routes: DataFrame, lanes: DataFrame, runs: DataFrame, p: Params = DEFAULT, prices: DataFrame | None = None) -> DataFrame:
     """One row: the objective, a lower bound on it for any plan, and the relative gap.
 
     By duality, prices per load of each lane that pay for the gain of every tour bound the total gain by the
     prices times the loads. A tour is charged to one store lane and one other lane. Three sets of prices are
     tried, the other lanes first, the store lanes first, and the least gain taken on each used-up store lane,
-    and the best bound is kept. Store lanes that no tour covers are not part of the comparison. A plan that leaves
+    and a fourth from ``prices`` (lane, price) of the other lanes, as price rounds leave them; the best bound is kept. Store lanes that no tour covers are not part of the comparison. A plan that leaves
     a coverable store lane short breaks a rule of the model; its objective is no better for that, so it is never within target.
     """
     cands = materialize(candidates(routes, lanes), "candidates")
@@ -404,6 +404,11 @@ def optimality_gap(routes: DataFrame, lanes: DataFrame, runs: DataFrame, p: Para
         priced(_reprice(pairs, None, "other", "store"), "store", "other"),
         priced(_reprice(pairs, used_up, "store", "other"), "other", "store"),
     ]
+    if prices is not None:
+        # other lanes alone pay for tours without a store lane
+        alone = pairs.filter(F.col("store").isNull() & F.col("other").isNotNull()).select(F.col("other").alias("lane"), F.col("gain").alias("price"))
+        lifted = prices.select("lane", "price").unionByName(alone).groupBy("lane").agg(F.greatest(F.max("price"), F.lit(0.0)).alias("price"))
+        tries.append(priced(materialize(lifted, "lane-prices"), "other", "store"))
     room = lanes.select("lane", "demand")
     best = F.lit(None).cast("double")
     row = run_audit(routes, lanes, runs).select("objective", "coverable_short")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from deadhead import labels
@@ -28,6 +28,18 @@ def require_distances(legs: DataFrame) -> None:
         raise MissingDistances(f"{labels.MISSING_DISTANCES}: {found} legs")
 
 
+def observed(legs: DataFrame) -> tuple[DataFrame, Observation]:
+    """``legs`` that count those without a distance while they are written or read, so the gate needs no scan of its own."""
+    seen = Observation("legs")
+    return legs.observe(seen, F.count(F.when(F.col("dist").isNull(), 1)).alias("missing"), F.count(F.lit(1)).alias("legs")), seen
+
+
+def require_observed(seen: Observation) -> None:
+    """Stop the job when the legs written had one without a distance."""
+    if seen.get["missing"]:
+        raise MissingDistances(f"{labels.MISSING_DISTANCES}: {seen.get['missing']} legs")
+
+
 def overwrite_rates(legs: DataFrame, partner_rates: DataFrame) -> DataFrame:
     """Replace the one-way cost where a rate exists for the zip pair, by NULL if that rate is NULL.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deadhead import labels
-from deadhead.functions.tables import spread_null
+from deadhead.functions.tables import look_up_slots
 
 SLOTS = "abcd"
 LANE_METRICS = [
@@ -30,20 +30,12 @@ def route_lanes(plan: DataFrame, tours: DataFrame, demand: DataFrame) -> DataFra
     """Chosen tours with their legs, loaded share, and the places and one-way cost of each lane."""
     loaded = [F.coalesce(F.col(f"{s}_loaded_ind") * F.col(f"{s}_dist"), F.lit(0.0)) for s in SLOTS]
     details = tours.withColumn("loaded_pct", F.try_divide(_sum(loaded), F.col("total_dist"))).drop("mode", "home_dc")
-    out = plan.join(details, "route_nbr", "left")
-    for i, s in enumerate(SLOTS, start=1):
-        lane = demand.filter(F.col("pair_number").isNotNull()).select(
-            F.col("pair_number").alias("_lane"),
-            F.col("o_city").alias(f"{s}_ocity"),
-            F.col("d_city").alias(f"{s}_dcity"),
-            F.col("o_state").alias(f"{s}_ostate"),
-            F.col("d_state").alias(f"{s}_dstate"),
-            F.col("ow_cost_per_load").alias(f"leg{i}_ow_cost"),
-        )
-        # tours of two legs have no lane in the later slots
-        key = spread_null(F.col(f"pair_nbr{i}"), F.col("route_nbr"))
-        out = out.withColumn("_key", key).join(lane, F.col("_key") == F.col("_lane"), "left").drop("_key", "_lane")
-    return out
+    slots = [[f"pair_nbr{i}"] for i in range(1, len(SLOTS) + 1)]
+    names = [
+        {"o_city": f"{s}_ocity", "d_city": f"{s}_dcity", "o_state": f"{s}_ostate", "d_state": f"{s}_dstate", "ow_cost_per_load": f"leg{i}_ow_cost"}
+        for i, s in enumerate(SLOTS, start=1)
+    ]
+    return look_up_slots(plan.join(details, "route_nbr", "left"), slots, demand, ["pair_number"], names)
 
 
 def baseline_and_credit(lanes_of_routes: DataFrame) -> DataFrame:

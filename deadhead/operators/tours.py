@@ -6,7 +6,7 @@ them: it keeps only legs that can still come home and joins chains from both end
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,129 +152,155 @@ def _pad(tours: DataFrame, slots: str, extra: tuple[str, ...]) -> DataFrame:
     return tours.withColumns({f"{s}_{c}": F.lit(None).cast(t) for s in slots for c, t in types.items()})
 
 
-def build_tours(
-    edges: DataFrame,
-    campus_set: DataFrame,
-    p: Params = DEFAULT,
-    tuning: Tuning = TUNING,
-    *,
-    only_dc_homed: bool = False,
-    lanes: DataFrame | None = None,
-    rates: DataFrame | None = None,
-) -> DataFrame:
-    """All closed tours that start at a campus, as one table of wide rows.
+class TourBuilder:
+    """Closed tours that start at a campus, as wide rows, by shape; each table is built when it is first needed.
 
     With ``lanes`` each leg carries the numbers of its lane (joined on facilities, so several numbers multiply
     the leg), and with ``rates`` the first leg carries the rates of its home: both are joined to the legs, not
     to the far longer table of tours.
-
-    Four-leg tours are a join of two two-leg chains on both places where they meet, the middle facility and
-    the home. That key is finer than either facility, and no three-leg chain is ever stored.
     """
-    extra = ("pair_number",) if lanes is not None else ()
-    # no leg is negative, so a longer one is on no tour
-    legs = tour_legs(edges).filter(F.col("dist") <= p.max_miles)
-    if lanes is not None:
-        numbers = lanes.select(F.col("o_id").alias("origin"), F.col("d_id").alias("dest"), "pair_number")
-        legs = legs.join(numbers, ["origin", "dest"], "left")
-    homes = campus_set.filter(F.col("dc").isNotNull())
-    legs = legs.join(homes.select(F.col("dc").alias("dest"), F.lit(1).alias("to_campus")), "dest", "left")
-    legs = materialize(legs.withColumn("to_campus", F.coalesce("to_campus", F.lit(0)).cast("long")), "tour-legs")
-
-    ways = _way_home(legs, homes)
-    onward = legs.join(ways, legs.dest == ways.node, "left").drop("node")
-
-    first = _slot(legs, "a", "to_campus", *extra).join(homes, F.col("a_origin") == F.col("dc"), "left_semi")
-    if only_dc_homed:
-        first = first.filter(_home_type(F.col("a_leg_dtl")))
-    rate_columns: list[str] = []
-    if rates is not None:
-        rate_columns = [c for c in rates.columns if c != "dc_nbr"]
-        first = first.join(rates, F.col("a_origin") == F.col("dc_nbr"), "left").drop("dc_nbr")
-    first = materialize(first, "first-legs")
-
-    tail = [*(f"{s}_{c}" for c in extra for s in SLOTS), *rate_columns]
-    capped = F.col("total_dist") <= p.max_miles
-
-    # two legs: out and straight back
-    back = _slot(legs, "b", *extra)
-    two = (
-        first.join(back, (F.col("a_dest") == F.col("b_origin")) & (F.col("a_origin") == F.col("b_dest")))
-        .filter(_one_loaded("a", "b"))
-        .withColumn("total_dist", _dist("ab"))
-        .filter(capped)
-        .withColumn("dc_count", F.lit(1).cast("long"))
-    )
-    two = _pad(two, "cd", extra).select(*TOUR_COLUMNS, *tail)
 
-    # open chains of two legs that can still come home in time; the second leg's class tells whether the first
-    # must be a partner leg for that
-    partner = F.col("leg").contains(labels.PARTNER_MARK)
-    on_own = F.col("one").isNotNull() | F.col("two_p").isNotNull() | (partner & F.col("two").isNotNull())
-    second = (
-        onward.filter(F.col("one").isNotNull() | F.col("two").isNotNull())
-        .withColumn("needs_partner", F.when(on_own, 0).otherwise(1))
-        .transform(lambda df: _slot(df, "b", "to_campus", "one", "two", "two_p", "needs_partner", *extra))
-    )
-    offers = F.when(_partner_on("a"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    start = first.withColumn("a_offers", F.explode(offers))
-    home_by = F.least(F.col("b_one"), F.when(_partner_on("ab"), F.col("b_two")).otherwise(F.col("b_two_p")))
-    empty_bound = p.max_empty * p.max_miles * SLACK
-    open_rules = (
-        _one_loaded("a", "b")
-        & (F.col("a_origin") != F.col("b_dest"))
-        & (_dist("ab") <= p.max_miles)
-        & (_dist("ab") + home_by <= p.max_miles * SLACK)
-        & (_empty("ab") <= empty_bound)
-    )
-    chains = expanding_join(
-        start, second, [("a_dest", "b_origin"), ("a_offers", "b_needs_partner")], open_rules, tuning
-    )
-    chains = chains.drop("a_offers", "b_needs_partner", "b_one", "b_two", "b_two_p")
-    chains = materialize(chains, "chains")
-
-    # three legs
-    closing = _slot(legs, "c", *extra)
-    three = (
-        chains.join(closing, (F.col("b_dest") == F.col("c_origin")) & (F.col("a_origin") == F.col("c_dest")))
-        .filter(_one_loaded("b", "c") & _no_revisit(_THIRD))
-        .withColumn("total_dist", _dist("abc"))
-        .filter(capped & (F.try_divide(_empty("abc"), F.col("total_dist")) < p.max_empty))
-        .withColumn("dc_count", F.col("a_to_campus") + F.col("b_to_campus") + 1)
-    )
-    three = _pad(three, "d", extra).select(*TOUR_COLUMNS, *tail)
-
-    # four legs: chains that leave home, met by chains that return there
-    ends = chains.groupBy(F.col("b_dest").alias("node")).agg(F.max(_partner_on("ab")).alias("after_partner"))
-    third = _slot(legs, "c", "to_campus", *extra).join(ends, F.col("c_origin") == F.col("node")).drop("node")
-    fourth = (
-        _slot(legs, "d", "copies", *extra)
-        .join(homes, F.col("d_dest") == F.col("dc"), "left_semi")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("d_copies"))))
-        .drop("_copy", "d_copies")
-    )
-    return_rules = (
-        _one_loaded("c", "d")
-        & (_dist("cd") <= p.max_miles)
-        & (_empty("cd") <= empty_bound)
-        & (F.col("after_partner") | _partner_on("cd"))
-    )
-    returns = expanding_join(third, fourth, [("c_dest", "d_origin")], return_rules, tuning).drop("after_partner")
-    returns = materialize(returns, "returns")
-    mid_campuses = F.col("a_to_campus") + F.col("b_to_campus") + F.col("c_to_campus")
-    total = _dist("abcd")
-    four_rules = (
-        _one_loaded("b", "c")
-        & _no_revisit(_THIRD + _FOURTH)
-        & (F.col("a_origin") != F.col("c_dest"))
-        & (_dist("abc") <= p.max_miles)
-        & (total <= p.max_miles)
-        & _partner_on("abcd")
-        & (F.try_divide(_empty("abcd"), total) < p.max_empty)
-        & (mid_campuses < p.max_mid_campuses)
-    )
-    four = expanding_join(
-        chains, returns, [("b_dest", "c_origin"), ("a_origin", "d_dest")], four_rules, tuning
-    )
-    four = four.withColumns({"total_dist": total, "dc_count": mid_campuses + 1}).select(*TOUR_COLUMNS, *tail)
-    return two.unionByName(three).unionByName(four).withColumn("mode", F.lit(labels.TOUR_MODE))
+    def __init__(
+        self,
+        edges: DataFrame,
+        campus_set: DataFrame,
+        p: Params = DEFAULT,
+        tuning: Tuning = TUNING,
+        *,
+        only_dc_homed: bool = False,
+        lanes: DataFrame | None = None,
+        rates: DataFrame | None = None,
+    ) -> None:
+        self.edges, self.p, self.tuning, self.only_dc_homed, self.lanes, self.rates = edges, p, tuning, only_dc_homed, lanes, rates
+        self.homes = campus_set.filter(F.col("dc").isNotNull())
+        self.extra = ("pair_number",) if lanes is not None else ()
+        self.rate_columns = [c for c in rates.columns if c != "dc_nbr"] if rates is not None else []
+        self.tail = [*(f"{s}_{c}" for c in self.extra for s in SLOTS), *self.rate_columns]
+        self.empty_bound = p.max_empty * p.max_miles * SLACK
+
+    @cached_property
+    def legs(self) -> DataFrame:
+        # no leg is negative, so a longer one is on no tour
+        legs = tour_legs(self.edges).filter(F.col("dist") <= self.p.max_miles)
+        if self.lanes is not None:
+            numbers = self.lanes.select(F.col("o_id").alias("origin"), F.col("d_id").alias("dest"), "pair_number")
+            legs = legs.join(numbers, ["origin", "dest"], "left")
+        legs = legs.join(self.homes.select(F.col("dc").alias("dest"), F.lit(1).alias("to_campus")), "dest", "left")
+        return materialize(legs.withColumn("to_campus", F.coalesce("to_campus", F.lit(0)).cast("long")), "tour-legs")
+
+    @cached_property
+    def first(self) -> DataFrame:
+        """Legs that leave a home."""
+        first = _slot(self.legs, "a", "to_campus", *self.extra).join(self.homes, F.col("a_origin") == F.col("dc"), "left_semi")
+        if self.only_dc_homed:
+            first = first.filter(_home_type(F.col("a_leg_dtl")))
+        if self.rates is not None:
+            first = first.join(self.rates, F.col("a_origin") == F.col("dc_nbr"), "left").drop("dc_nbr")
+        return materialize(first, "first-legs")
+
+    @cached_property
+    def chains(self) -> DataFrame:
+        """Open chains of two legs that can still come home in time."""
+        ways = _way_home(self.legs, self.homes)
+        onward = self.legs.join(ways, self.legs.dest == ways.node, "left").drop("node")
+        # the second leg's class tells whether the first must be a partner leg for that
+        partner = F.col("leg").contains(labels.PARTNER_MARK)
+        on_own = F.col("one").isNotNull() | F.col("two_p").isNotNull() | (partner & F.col("two").isNotNull())
+        second = (
+            onward.filter(F.col("one").isNotNull() | F.col("two").isNotNull())
+            .withColumn("needs_partner", F.when(on_own, 0).otherwise(1))
+            .transform(lambda df: _slot(df, "b", "to_campus", "one", "two", "two_p", "needs_partner", *self.extra))
+        )
+        # counted and joined, so written once
+        second = materialize(second, "second-legs")
+        offers = F.when(_partner_on("a"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        start = self.first.withColumn("a_offers", F.explode(offers))
+        home_by = F.least(F.col("b_one"), F.when(_partner_on("ab"), F.col("b_two")).otherwise(F.col("b_two_p")))
+        open_rules = (
+            _one_loaded("a", "b")
+            & (F.col("a_origin") != F.col("b_dest"))
+            & (_dist("ab") <= self.p.max_miles)
+            & (_dist("ab") + home_by <= self.p.max_miles * SLACK)
+            & (_empty("ab") <= self.empty_bound)
+        )
+        chains = expanding_join(
+            start, second, [("a_dest", "b_origin"), ("a_offers", "b_needs_partner")], open_rules, self.tuning
+        )
+        return materialize(chains.drop("a_offers", "b_needs_partner", "b_one", "b_two", "b_two_p"), "chains")
+
+    def two(self) -> DataFrame:
+        """Out and straight back: no chain is built."""
+        back = _slot(self.legs, "b", *self.extra)
+        two = (
+            self.first.join(back, (F.col("a_dest") == F.col("b_origin")) & (F.col("a_origin") == F.col("b_dest")))
+            .filter(_one_loaded("a", "b"))
+            .withColumn("total_dist", _dist("ab"))
+            .filter(F.col("total_dist") <= self.p.max_miles)
+            .withColumn("dc_count", F.lit(1).cast("long"))
+        )
+        return _pad(two, "cd", self.extra).select(*TOUR_COLUMNS, *self.tail)
+
+    def three(self) -> DataFrame:
+        """Open chains of two legs, closed by a third."""
+        closing = _slot(self.legs, "c", *self.extra)
+        three = (
+            self.chains.join(closing, (F.col("b_dest") == F.col("c_origin")) & (F.col("a_origin") == F.col("c_dest")))
+            .filter(_one_loaded("b", "c") & _no_revisit(_THIRD))
+            .withColumn("total_dist", _dist("abc"))
+            .filter((F.col("total_dist") <= self.p.max_miles) & (F.try_divide(_empty("abc"), F.col("total_dist")) < self.p.max_empty))
+            .withColumn("dc_count", F.col("a_to_campus") + F.col("b_to_campus") + 1)
+        )
+        return _pad(three, "d", self.extra).select(*TOUR_COLUMNS, *self.tail)
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        """Chains of two legs that end at a home, from where some chain out of that home ends."""
+        p, extra = self.p, self.extra
+        ends = self.chains.groupBy(F.col("b_dest").alias("node"), F.col("a_origin").alias("home")).agg(
+            F.max(_partner_on("ab")).alias("after_partner"), F.min(_dist("ab")).alias("out_miles"), F.min(_empty("ab")).alias("out_empty")
+        )
+        ends = materialize(ends, "chain-ends")
+        third = _slot(self.legs, "c", "to_campus", *extra).join(ends.select("node").distinct(), F.col("c_origin") == F.col("node"), "left_semi")
+        fourth = (
+            _slot(self.legs, "d", "copies", *extra)
+            .join(ends.select("home").distinct(), F.col("d_dest") == F.col("home"), "left_semi")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("d_copies"))))
+            .drop("_copy", "d_copies")
+        )
+        third, fourth = materialize(third, "third-legs"), materialize(fourth, "fourth-legs")
+        rules = _one_loaded("c", "d") & (_dist("cd") <= p.max_miles) & (_empty("cd") <= self.empty_bound)
+        returns = expanding_join(third, fourth, [("c_dest", "d_origin")], rules, self.tuning)
+        # what no chain out of this home can meet goes before it is written
+        fits = (F.col("out_miles") + _dist("cd") <= p.max_miles * SLACK) & (F.col("after_partner") | _partner_on("cd"))
+        fits &= F.col("out_empty") + _empty("cd") <= self.empty_bound
+        met = returns.join(ends, (F.col("c_origin") == F.col("node")) & (F.col("d_dest") == F.col("home")) & fits)
+        return materialize(met.drop(*ends.columns), "returns")
+
+    def four(self) -> DataFrame:
+        """Chains that leave home, met by chains that return there.
+
+        They join on both places where they meet, the middle facility and the home. That key is finer than either
+        facility, and no three-leg chain is ever stored.
+        """
+        mid_campuses, total = F.col("a_to_campus") + F.col("b_to_campus") + F.col("c_to_campus"), _dist("abcd")
+        rules = (
+            _one_loaded("b", "c")
+            & _no_revisit(_THIRD + _FOURTH)
+            & (F.col("a_origin") != F.col("c_dest"))
+            & (_dist("abc") <= self.p.max_miles)
+            & (total <= self.p.max_miles)
+            & _partner_on("abcd")
+            & (F.try_divide(_empty("abcd"), total) < self.p.max_empty)
+            & (mid_campuses < self.p.max_mid_campuses)
+        )
+        four = expanding_join(self.chains, self.returns, [("b_dest", "c_origin"), ("a_origin", "d_dest")], rules, self.tuning)
+        return four.withColumns({"total_dist": total, "dc_count": mid_campuses + 1}).select(*TOUR_COLUMNS, *self.tail)
+
+    def all(self) -> DataFrame:
+        tours = self.two().unionByName(self.three()).unionByName(self.four())
+        return tours.withColumn("mode", F.lit(labels.TOUR_MODE))
+
+
+def build_tours(edges: DataFrame, campus_set: DataFrame, p: Params = DEFAULT, tuning: Tuning = TUNING, **options) -> DataFrame:
+    """All closed tours of a ``TourBuilder`` as one table."""
+    return TourBuilder(edges, campus_set, p, tuning, **options).all()

@@ -7,10 +7,11 @@ from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from deadhead.config import DEFAULT, TUNING, Params, Tuning
-from deadhead.operators import costing, demand, distance, lanes, legs, matching, quality, report, tours
-from deadhead.sources.tables import Sources, write_table
+from deadhead.operators import auction, costing, demand, distance, lanes, legs, matching, quality, report, tours
+from deadhead.sources.tables import Snapshot, Sources
 from deadhead.storage import materialize
 
 
@@ -40,15 +41,32 @@ class Pipeline:
     def labelled_legs(self) -> DataFrame:
         return legs.label_legs(self.input_legs)
 
+    @cached_property
+    def zip_distances(self) -> DataFrame:
+        """Distances of all zip pairs of own and partner facilities: each computed once, however many owners share it."""
+        pairs = legs.product_zips(self.empty_demand, self.partner_lanes, self.p)
+        return materialize(distance.zip_distances(pairs, self.src.distance_table, self.src.postal_codes, self.p), "zip-distances")
+
     @cached_property
     def located_legs(self) -> DataFrame:
-        """Legs after the distance table and the coordinates; written, as the report and the corrections both read them."""
-        tabled = distance.fill_from_table(self.labelled_legs, self.src.distance_table)
-        return materialize(distance.fill_geodesic(tabled, self.src.postal_codes, self.p), "located-legs")
+        """Legs after the distance table and the coordinates."""
+        known = legs.label_legs(legs.known_legs(self.empty_demand, self.partner_lanes, self.p))
+        known = distance.fill_geodesic(distance.fill_from_table(known, self.src.distance_table), self.src.postal_codes, self.p)
+        made = legs.label_legs(legs.product_legs(self.empty_demand, self.partner_lanes, self.p))
+        return known.unionByName(distance.fill_by_zips(made, self.zip_distances))
+
+    @cached_property
+    def corrected_legs(self) -> DataFrame:
+        """Legs with all corrections and, beside them, what was known before; the one copy of the legs that is written."""
+        before = self.located_legs.withColumns({"dist_located": F.col("dist"), "cost_listed": F.col("ow_cost_per_load")})
+        rated = quality.overwrite_rates(distance.fill_manual(before, self.src.manual_distances), self.src.partner_rates)
+        rated, self.gate = quality.observed(rated)
+        return materialize(rated, "rated-legs")
 
     @cached_property
     def missing_distances(self) -> DataFrame:
-        return distance.missing_distances(self.located_legs)
+        before = {"dist": F.col("dist_located"), "ow_cost_per_load": F.col("cost_listed")}
+        return distance.missing_distances(self.corrected_legs.withColumns(before).drop("dist_located", "cost_listed"))
 
     @cached_property
     def measured_legs(self) -> DataFrame:
@@ -56,14 +74,14 @@ class Pipeline:
 
     @cached_property
     def rated_legs(self) -> DataFrame:
-        """Legs with all corrections, the one copy of them that is written."""
-        return materialize(quality.overwrite_rates(self.measured_legs, self.src.partner_rates), "rated-legs")
+        return self.corrected_legs.drop("dist_located", "cost_listed")
 
     @cached_property
     def legs(self) -> DataFrame:
         """Legs that passed the gate, without the bad ones."""
-        quality.require_distances(self.rated_legs)
-        return quality.purge_legs(self.rated_legs)
+        rated = self.rated_legs
+        quality.require_observed(self.gate)
+        return quality.purge_legs(rated)
 
     @cached_property
     def edges(self) -> DataFrame:
@@ -107,6 +125,12 @@ class Pipeline:
     def runs(self) -> DataFrame:
         return materialize(matching.assign_loads(self.routes, self.lane_model), "runs")
 
+    @cached_property
+    def priced(self) -> auction.Outcome:
+        """Loads by price rounds, with the prices that bound their distance to the best plan."""
+        found = auction.assign_by_prices(self.routes, self.lane_model, self.p)
+        return auction.Outcome(materialize(found.runs, "runs"), found.prices, found.step)
+
     def plan(self, stamp: datetime) -> DataFrame:
         return matching.dedicated_plan(self.routes, self.runs, stamp, self.p)
 
@@ -119,13 +143,10 @@ class Pipeline:
 
 
 def run(src: Sources, out: str, stamp: datetime, p: Params = DEFAULT, tuning: Tuning = TUNING) -> dict[str, DataFrame]:
-    """Run everything and replace the result tables under ``out``."""
+    """Run everything and publish the result tables under ``out``; readers see all tables of a run or those before it."""
     job = Pipeline(src, p, tuning)
-    done: dict[str, DataFrame] = {}
-
-    def save(name: str, df: DataFrame) -> DataFrame:
-        done[name] = write_table(df, out, name)
-        return done[name]
+    snapshot = Snapshot(src.invoices.sparkSession, out)
+    save = snapshot.write
 
     save("str_dc_empty_demand", job.empty_demand)
     save("missing_distances", job.missing_distances)
@@ -136,16 +157,18 @@ def run(src: Sources, out: str, stamp: datetime, p: Params = DEFAULT, tuning: Tu
     save("rf_routes_final", job.final_tours)
     save("uncovered_lanes", matching.uncovered(job.routes, job.lane_model))
     save("lane_issues", matching.lane_issues(job.routes, job.lane_demand))
-    save("run_audit", matching.run_audit(job.routes, job.lane_model, job.runs))
-    save("matching_gap", matching.optimality_gap(job.routes, job.lane_model, job.runs, p))
-    plan = save("matching_ded", job.plan(stamp))
-    save("matching_ow", matching.one_way_loads(job.routes, job.lane_model, job.runs, p))
-    save("cost_summary", matching.cost_summary(job.routes, job.lane_model, job.runs, p))
-    save("run_counts", matching.run_counts(job.routes, job.lane_model, job.runs))
+    runs = job.priced.runs
+    save("run_audit", matching.run_audit(job.routes, job.lane_model, runs))
+    save("matching_gap", matching.optimality_gap(job.routes, job.lane_model, runs, p, job.priced.prices))
+    plan = save("matching_ded", matching.dedicated_plan(job.routes, runs, stamp, p))
+    save("matching_ow", matching.one_way_loads(job.routes, job.lane_model, runs, p))
+    save("cost_summary", matching.cost_summary(job.routes, job.lane_model, runs, p))
+    save("run_counts", matching.run_counts(job.routes, job.lane_model, runs))
     wide = save("routes_lanes", report.route_lanes(plan, job.final_tours, job.lane_demand))
     credited = report.baseline_and_credit(wide)
     savings = save("routes_savings", report.route_text(report.route_savings(credited, src.campus_map)))
     lookup = save("pair_to_route_lookup", report.lane_to_route(savings))
     rollup = save("route_to_pair_lookup_base", report.lane_rollup(lookup))
     save("lanes_on_routes", report.lanes_on_routes(job.lane_demand, rollup))
-    return done
+    snapshot.publish()
+    return snapshot.tables

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from deadhead.config import Tuning
 from deadhead.functions.cost import leg_cost, leg_hours
 from deadhead.functions.geo import road_miles
-from deadhead.functions.tables import all_pairs, dense_id, expanding_join, fill_from, grid
+from deadhead.functions.tables import all_pairs, dense_id, expanding_join, fill_from, grid, look_up_slots
 
 
 @pytest.mark.parametrize(
@@ -85,3 +85,17 @@ def test_grid_repeats_few_rows(n_left, n_right, tasks):
     own, other = grid(n_left, n_right, tasks)
     assert n_left * other + n_right * own <= 0.05 * n_left * n_right
     assert own * other >= tasks
+
+
+def test_look_up_slots_equals_separate_joins(spark):
+    rows = spark.createDataFrame([(1, 10, 20), (1, 10, 20), (2, None, 20), (3, 11, None), (4, 99, 10), (5, None, None)], "id int, a int, b int")
+    lookup = spark.createDataFrame([(10, "x"), (10, "y"), (20, "z"), (20, None), (11, "w"), (None, "never")], "k int, v string")
+    got = look_up_slots(rows, [["a"], ["b"]], lookup, ["k"], [{"v": "va"}, {"v": "vb"}])
+    assert got.columns == ["id", "a", "b", "va", "vb"]
+    want = rows
+    for c in "ab":
+        want = want.join(lookup.select(F.col("k").alias(c), F.col("v").alias(f"v{c}")), c, "left")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*got.columns).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2  # the look-up, and back to the rows
+    assert "atleastnnonnulls" in plan  # slots without a key are not joined

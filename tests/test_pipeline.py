@@ -1,12 +1,15 @@
+import dataclasses
 from datetime import date, datetime
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from deadhead import storage
 from deadhead.config import Params
-from deadhead.plans.pipeline import run
-from deadhead.sources.tables import Sources, read_sources, write_sources
+from deadhead.operators import distance, quality
+from deadhead.plans.pipeline import Pipeline, run
+from deadhead.sources.tables import Snapshot, Sources, published, read_published, read_sources, write_sources
 from deadhead.sources.testdata import sources_from_testdata
 
 TABLES = {
@@ -22,15 +25,64 @@ def test_from_written_tables_to_written_reports(spark, tmp_path):
     assert isinstance(src, Sources)
     p = Params(min_loads=1, since=date(1998, 1, 1))
     out = run(src, str(tmp_path / "out"), datetime(2024, 5, 1, 10, 0), p)
-    assert set(out) == TABLES == {f.name for f in (tmp_path / "out").iterdir()}
+    root = str(tmp_path / "out")
+    assert set(out) == TABLES == set(published(spark, root)[0].tables)
+    assert read_published(spark, root, "rf_routes_final").count() == 164
     assert out["rf_routes_final"].count() == 164
     audit = out["run_audit"].first()
     assert (audit.lanes_over, audit.bad_loads) == (0, 0)
     ded = {r.pair_number: r.model_loads for r in out["lanes_on_routes"].collect()}
     assert len(ded) == out["demand_data"].count()
-    # a second run replaces the tables
-    again = run(src, str(tmp_path / "out"), datetime(2024, 5, 2, 10, 0), p)
-    assert {r.run_date for r in again["matching_ded"].collect()} == {"2024-05-02"}
+    gap = out["matching_gap"].first()
+    assert gap.within_target and gap.bound <= gap.objective
+
+
+def table_of(spark, day):
+    return spark.createDataFrame([(day,)], "day int")
+
+
+def test_a_failed_run_leaves_the_published_tables(spark, tmp_path):
+    root = str(tmp_path / "out")
+    with pytest.raises(LookupError):
+        read_published(spark, root, "plan")
+    first = Snapshot(spark, root)
+    first.write("plan", table_of(spark, 1))
+    with pytest.raises(LookupError):
+        read_published(spark, root, "plan")
+    first.publish()
+    failed = Snapshot(spark, root)
+    failed.write("plan", table_of(spark, 2))  # and never published
+    assert read_published(spark, root, "plan").first().day == 1
+    for day in (3, 4):
+        later = Snapshot(spark, root)
+        later.write("plan", table_of(spark, day))
+        later.publish()
+        assert read_published(spark, root, "plan").first().day == day
+    assert [r.number for r in published(spark, root)] == [3, 2, 1]
+    kept = {f.name for f in (tmp_path / "out" / "_runs").iterdir()}
+    assert kept == {failed.run, *[r.run for r in published(spark, root)[:2]]}
+    with pytest.raises(LookupError):
+        read_published(spark, root, "other")
+
+
+def test_the_gate_stops_on_what_was_written(spark, tmp_path):
+    src = sources_from_testdata(spark, "/root/testdata/sf0.001")
+    p = Params(min_loads=1, since=date(1998, 1, 1))
+    none = {f: getattr(src, f).limit(0) for f in ("postal_codes", "distance_table", "manual_distances")}
+    job = Pipeline(dataclasses.replace(src, **none), p)
+    with pytest.raises(quality.MissingDistances):
+        job.legs
+    assert job.missing_distances.count() > 0
+
+
+def test_products_are_located_once_per_zip_pair(spark):
+    src = sources_from_testdata(spark, "/root/testdata/sf0.001")
+    job = Pipeline(src, Params(min_loads=1, since=date(1998, 1, 1)))
+    plain = distance.fill_geodesic(distance.fill_from_table(job.labelled_legs, src.distance_table), src.postal_codes, job.p)
+    rows = lambda df: sorted(map(repr, df.withColumn("dist", F.round("dist", 6)).select(*sorted(df.columns)).collect()))
+    assert rows(job.located_legs) == rows(plain)
+    zips = job.zip_distances
+    assert zips.count() == zips.select("o_zip", "d_zip").distinct().count()
 
 
 def session_with(configured=None, checkpoint_dir=None, master="yarn"):
