@@ -3,8 +3,8 @@
 * Equal sets are one class, counted before anything else moves; classes stand for all their copies from there on.
 * Classes are dealt out without losing a link: two linked sets differ in at most d shingles, d given by their size band. If
   shingles are hashed to d + 1 + s groups, at least 1 + s groups have the same content in both; a set with more than s empty
-  groups gets a key for these, too. So linked classes share a key of their band. Only keys that two classes share go on,
-  and classes connected by shared keys form a family.
+  groups gets a key for these, too. So linked classes share a key of their band, and all but d of their keys. Only keys that
+  two classes share go on, and only classes that share enough of theirs; classes connected by shared keys form a family.
 * In a family, shingles are hashed to groups and the group counts are points of an R-tree. The overlap of two sets is at
   most the sum of their coordinate minima; against the largest counts below a tree node the same sum prunes whole nodes.
   This is done first on the counts alone, in size bands of each family: what survives connects far smaller families, and
@@ -46,6 +46,8 @@ CHUNK = 4_000_000
 #: Keys that a task holds before it sends them, keys of one bucket, and about how many a shingle makes per 10 % of difference.
 HELD, BUCKET, KEYS_PER_SHINGLE = 1_000_000, 2_000_000, 0.17
 LEAF = 16
+#: Another round over shared keys is worth it if the last one left at most so much.
+SHRINKING = 0.8
 #: Sets of one chunk when only their counts are looked at.
 POINTS = 8192
 _FIRST, _SECOND, _GROUP, _CONTENT = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -99,8 +101,11 @@ def key_groups(band: int, percent: int) -> int:
     return groups
 
 
-def keys(own: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of which two linked, unequal sets share one."""
+def keys(own: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
+    """Per band of the larger of two sets: the band, how many keys a linked set at least shares, and the keys.
+
+    Keys are hashes of which two linked, unequal sets share one, and all but so many as they may differ in.
+    """
     n, out = len(own), []
     first = band_of(n, percent) if n else 0
     for band in (first, first + 1) if n else ():
@@ -115,10 +120,12 @@ def keys(own: np.ndarray, percent: int) -> np.ndarray:
         np.add.at(content, at.astype(np.int64), mixed(own * _CONTENT))
         filled = np.bincount(at.astype(np.int64), minlength=groups) > 0
         place = np.flatnonzero(filled).astype(np.uint64) + np.uint64(band << 32)
-        out.append(mixed(content[filled] ^ mixed(place * _SECOND)))
-        if filled.sum() <= d:  # all of its groups may differ
-            out.append(mixed(np.array([band], np.uint64) * _SECOND + _FIRST))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        found = mixed(content[filled] ^ mixed(place * _SECOND))
+        if len(found) <= d:  # all of its groups may differ
+            out.append((band, 1, np.append(found, mixed(np.array([band], np.uint64) * _SECOND + _FIRST))))
+        else:
+            out.append((band, len(found) - d, found))
+    return out
 
 
 def _sum(own: np.ndarray, salt: np.uint64) -> int:
@@ -159,78 +166,121 @@ def _profile(source: DataFrame, size: int, percent: int) -> DataFrame:
     return materialize(source.mapInArrow(tidied(run), kind), "jaccard-profile")
 
 
-def _star(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each key once with its smallest node, and pairs of that node and the key's others."""
+def _once(key: np.ndarray, node: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different (key, node) in order; of ``more`` the largest of equal ones."""
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
-    fresh = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.empty(0, bool)
-    least = node[fresh][np.cumsum(fresh) - 1] if len(key) else node
-    apart = node != least
-    return key[fresh], node[fresh], least[apart], node[apart]
+    fresh = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))) if len(key) else order
+    return key[fresh], node[fresh], *(np.maximum.reduceat(m[order], fresh) if len(fresh) else m for m in more)
 
 
-def _stars(source: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
-    """(u, v) between the ``a`` of sets that share a key, each with the smallest of its key.
+def _shared_keys(source: DataFrame, size: int, percent: int, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Keys that sets share, as (key, a, band), and how many of them a linked set needs, as (a, band, need).
 
-    Keys meet in buckets as packed arrays. Sets of one task with the same key are paired before that and send the key once,
-    so a key that a third of all sets has costs its bucket a row per ``HELD`` keys.
+    Keys meet in buckets as packed arrays. Sets of one task with the same key are known to share it and send the key once,
+    so a key that a third of all sets has costs its bucket a row per ``HELD`` keys. Keys of a single set, by far the most,
+    end here.
     """
     kind = "bucket int, part binary"
 
-    def pack(bucket: int, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
-        part = zstandard.compress(np.array([len(one)], "<i8").tobytes() + one.tobytes() + two.tobytes(), 1)
-        return pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "part": pa.array([part], pa.binary())})
-
-    def flush(key: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key, node, u, v = _star(key, node)
-        if len(u):
-            yield pack(-1 - int(u[0]) % buckets, u, v)
+    def pack(bucket: int, key: np.ndarray, node: np.ndarray, band: np.ndarray, flag: np.ndarray) -> pa.RecordBatch:
+        raw = np.array([len(key)], "<i8").tobytes() + key.astype("<u8").tobytes() + node.astype("<i8").tobytes() + band.astype("i1").tobytes() + flag.astype("u1").tobytes()
+        return pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "part": pa.array([zstandard.compress(raw, 1)], pa.binary())})
+
+    def unpack(part: bytes) -> tuple[np.ndarray, ...]:
+        raw = zstandard.decompress(part)
+        n = int(np.frombuffer(raw, "<i8", 1)[0])
+        return np.frombuffer(raw, "<u8", n, 8), np.frombuffer(raw, "<i8", n, 8 + 8 * n), np.frombuffer(raw, "i1", n, 8 + 16 * n), np.frombuffer(raw, "u1", n, 8 + 17 * n)
+
+    def flush(key: np.ndarray, node: np.ndarray, band: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key, node, band = _once(key, node, band)
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        several = np.append(np.diff(np.flatnonzero(fresh)), len(key) - np.flatnonzero(fresh)[-1]) > 1
+        if not fresh.all():
+            yield pack(-1 - int(node[0] % buckets), key[~fresh], node[~fresh], band[~fresh], np.ones(np.count_nonzero(~fresh)))
+        key, node, band = key[fresh], node[fresh], band[fresh]
         bucket = ((key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = lengths_to_starts(np.bincount(bucket, minlength=buckets))
         for k in np.flatnonzero(np.diff(edges)).tolist():
             own = order[edges[k] : edges[k + 1]]
-            yield pack(k, key[own], node[own])
+            yield pack(k, key[own], node[own], band[own], several[own])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, owners, total = [], [], 0
+        held, total, needs = [], 0, []
         for batch in batches:
             for own in shingles(texts(batch.column("text")), size) if batch.num_rows else ():
-                found = keys(own, percent)
-                held.append(found)
-                owners.append(np.full(len(found), _sum(own, _FIRST)))
-                total += len(found)
+                a = _sum(own, _FIRST)
+                for band, need, found in keys(own, percent):
+                    held.append((found, np.full(len(found), a), np.full(len(found), band)))
+                    needs.append((need, a, band))
+                    total += len(found)
             if total >= HELD:
-                yield from flush(np.concatenate(held), np.concatenate(owners))
-                held, owners, total = [], [], 0
+                yield from flush(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held, total = [], 0
         if total:
-            yield from flush(np.concatenate(held), np.concatenate(owners))
+            yield from flush(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        if needs:
+            need, a, band = (np.array(x, np.int64) for x in zip(*needs, strict=True))
+            yield pack(-1 - buckets - int(a[0] % buckets), need, a, band, np.zeros(len(a)))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for batch in batches:
             for r in batch.to_pylist():
                 if r["bucket"] != bucket:
-                    yield from pairs(bucket, held)
+                    yield from shared(bucket, held)
                     bucket, held = r["bucket"], []
-                raw = zstandard.decompress(r["part"])
-                half = 8 + 8 * int(np.frombuffer(raw, "<i8", 1)[0])
-                part = raw[8:half], raw[half:]
                 if bucket < 0:
-                    yield from pairs(bucket, [part])
+                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "part": pa.array([r["part"]], pa.binary())})
                 else:
-                    held.append(part)
-        yield from pairs(bucket, held)
+                    held.append(unpack(r["part"]))
+        yield from shared(bucket, held)
 
-    def pairs(bucket: int | None, held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+    def shared(bucket: int | None, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         if held:
-            one, two = b"".join(h[0] for h in held), np.frombuffer(b"".join(h[1] for h in held), "<i8")
-            u, v = (np.frombuffer(one, "<i8"), two) if bucket < 0 else _star(np.frombuffer(one, "<u8"), two)[2:]
-            found = np.unique(np.stack((u, v)), axis=1) if len(u) else np.empty((2, 0), np.int64)
-            yield pa.RecordBatch.from_pydict({"u": pa.array(found[0], pa.int64()), "v": pa.array(found[1], pa.int64())})
+            key, node, band, flag = _once(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            group = np.repeat(np.arange(len(first)), np.diff(first, append=len(key)))
+            some = ((np.bincount(group) > 1) | (np.bincount(group, weights=flag) > 0))[group]
+            if some.any():
+                yield pack(-1, key[some], node[some], band[some], flag[some])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.column("part").to_pylist():
+                key, node, band, _ = unpack(part)
+                yield pa.RecordBatch.from_pydict({"key": pa.array(key.view("<i8")), "a": pa.array(node), "band": pa.array(band.astype(np.int32))})
 
     sent = source.select("text").mapInArrow(tidied(send), kind)
-    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidied(meet), "u long, v long").distinct()
+    met = materialize(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidied(meet), kind), "jaccard-keys")
+    found = met.filter(F.col("bucket") >= -buckets).mapInArrow(tidied(rows), "key long, a long, band int").distinct()
+    needs = met.filter(F.col("bucket") < -buckets).mapInArrow(tidied(rows), "key long, a long, band int")
+    return found, needs.groupBy("a", "band").agg(F.min("key").alias("need"))
+
+
+def _stars(source: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
+    """(u, v) between the ``a`` of sets that share a key, each with the smallest of its key.
+
+    A set that shares fewer keys with all others together than a link needs is linked with none. Such sets, and then the
+    keys that only they shared, go before families are formed, again and again while that makes the rest much smaller. So
+    texts that have a passage in common are not chained.
+    """
+    found, needs = _shared_keys(source, size, percent, buckets)
+    needs = materialize(needs, "jaccard-needs")
+    found = materialize(found, "jaccard-shared-keys")
+    n = found.count()
+    while n:
+        enough = found.groupBy("a", "band").agg(F.count("*").alias("k")).join(needs, ["a", "band"]).filter("k >= need").select("a", "band")
+        kept = found.join(enough, ["a", "band"])
+        shared = kept.groupBy("key").agg(F.count("*").alias("k"), F.min("a").alias("least")).filter("k > 1").select("key", "least")
+        found = materialize(kept.drop("least").join(shared, "key").select("key", "a", "band", "least"), "jaccard-shared-keys")
+        before, n = n, found.count()
+        if n > before * SHRINKING:
+            break
+    if "least" not in found.columns:
+        found = found.withColumn("least", F.col("a"))
+    return found.filter("a <> least").select(F.col("least").alias("u"), F.col("a").alias("v")).distinct()
 
 
 class Tree:

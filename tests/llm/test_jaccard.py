@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from deadhead.llm import jaccard
 from deadhead.llm.components import components
@@ -12,8 +13,8 @@ def shingle_set(text, size=3):
     return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or ({tuple(w)} if w else set())
 
 
-def brute(docs, percent=90):
-    sets = [shingle_set(t) for _, t in docs]
+def brute(docs, size=3, percent=90):
+    sets = [shingle_set(t, size) for _, t in docs]
     parent = list(range(len(docs)))
 
     def root(i):
@@ -121,7 +122,11 @@ def test_linked_sets_share_a_key(percent):
         both = len(np.intersect1d(a, b))
         if both * 100 >= percent * (len(a) + len(b) - both) and not np.array_equal(a, b):
             linked += 1
-            assert np.intersect1d(jaccard.keys(a, percent), jaccard.keys(b, percent)).size
+            one, two = ({band: (need, set(k.tolist())) for band, need, k in jaccard.keys(x, percent)} for x in (a, b))
+            # in the larger one's band, they share a key, and all but so many of each one's keys as it needs
+            band = jaccard.band_of(max(len(a), len(b)), percent)
+            same = len(one[band][1] & two[band][1])
+            assert same >= max(1, one[band][0]) and same >= two[band][0]
     assert linked > 200
 
 
@@ -129,11 +134,24 @@ def test_linked_sets_share_a_key(percent):
 def test_unrelated_sets_share_no_key(percent):
     r = np.random.default_rng(6)
     for n in (50, 70, 100, 150, 200, 300, 400, 600, 1000, 2000, 5000):
-        found = [set(jaccard.keys(np.unique(r.integers(0, 2**63, n + int(r.integers(0, n // 10 + 1))).astype(np.uint64)), percent).tolist()) for _ in range(30)]
+        sets = [np.unique(r.integers(0, 2**63, n + int(r.integers(0, n // 10 + 1))).astype(np.uint64)) for _ in range(30)]
+        found = [{int(k) for _, _, own in jaccard.keys(s, percent) for k in own} for s in sets]
         pairs = [bool(found[i] & found[j]) for i in range(30) for j in range(i)]
         assert sum(pairs) < 0.01 * len(pairs)
 
 
+def test_a_common_passage_chains_no_texts(spark):
+    r = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = [(i, " ".join(f"d{i}x{r.randrange(10**6)}" for _ in range(300)) + " " + passage) for i in range(40)]
+    docs += [(100 + i, " ".join([*[f"c{k}" for k in range(300)], f"e{i}"]) + " " + passage) for i in range(5)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    source = d.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    edges = jaccard._stars(source, 5, 80, 8).collect()
+    assert 4 <= len({x for e in edges for x in e}) <= 5
+    assert sorted(map(tuple, jaccard.digest(jaccard.components(d, size=5, percent=80)).collect()), key=repr) == brute(docs, 5, 80)
+
+
 def test_chunk_pairs_are_dealt_out(spark):
     members = spark.range(100).selectExpr("id % 2 AS family", "id AS cid", "id + 100 AS n", "cast('' AS binary) AS point", "2 AS chunks", "cast('' AS binary) AS set")
     for df in (jaccard._possible(members.drop("chunks"), 80), jaccard._family_links(members, 80, False)):
