@@ -104,7 +104,8 @@ _query("assignment")(lambda j: j.runs)
 _query("assignment_audit")(lambda j: matching.lane_audit(j.routes, j.lane_model, j.runs))
 _query("audit_totals")(lambda j: matching.run_audit(j.routes, j.lane_model, j.runs))
 _query("matching_gap")(lambda j: matching.optimality_gap(j.routes, j.lane_model, j.runs, j.p))
-# by price rounds: tested against brute force, as SQL cannot follow the rounds
+# by price rounds, which SQL cannot follow: tested against brute force
+WITHOUT_SQL = {"priced_assignment", "priced_audit", "priced_gap"}
 _query("priced_assignment")(lambda j: j.priced.runs)
 _query("priced_audit")(lambda j: matching.run_audit(j.routes, j.lane_model, j.priced.runs))
 _query("priced_gap")(lambda j: matching.optimality_gap(j.routes, j.lane_model, j.priced.runs, j.p, j.priced.prices))
