@@ -1,4 +1,3 @@
-import dataclasses
 from datetime import date, datetime
 from types import SimpleNamespace
 
@@ -9,6 +8,7 @@ from deadhead import storage
 from deadhead.config import Params
 from deadhead.operators import distance, quality
 from deadhead.plans.pipeline import Pipeline, run
+from deadhead.schemas import SOURCES
 from deadhead.sources.tables import Snapshot, Sources, published, read_published, read_sources, write_sources
 from deadhead.sources.testdata import sources_from_testdata
 
@@ -68,8 +68,9 @@ def test_a_failed_run_leaves_the_published_tables(spark, tmp_path):
 def test_the_gate_stops_on_what_was_written(spark, tmp_path):
     src = sources_from_testdata(spark, "/root/testdata/sf0.001")
     p = Params(min_loads=1, since=date(1998, 1, 1))
-    none = {f: getattr(src, f).limit(0) for f in ("postal_codes", "distance_table", "manual_distances")}
-    job = Pipeline(dataclasses.replace(src, **none), p)
+    gone = ("postal_codes", "distance_table", "manual_distances")
+    without = Sources(**{name: getattr(src, name).limit(0) if name in gone else getattr(src, name) for name in SOURCES})
+    job = Pipeline(without, p)
     with pytest.raises(quality.MissingDistances):
         job.legs
     assert job.missing_distances.count() > 0
