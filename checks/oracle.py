@@ -45,7 +45,8 @@ PRIORITY = "CAST(left(o_orderpriority, 1) AS INTEGER) + 120"
 
 BLOCKS["fx_lines"] = f"""
   SELECT l_orderkey || '-' || l_suppkey AS invoice_id,
-         'STR' || c_nationkey AS o_id, 'STR' AS o_type, {zip_code('c_nationkey')} AS o_zip,
+         'STR' || c_nationkey AS o_id, 'STR' AS o_type,
+         CASE WHEN c_nationkey = 7 AND l_linenumber = 1 THEN '99907' ELSE {zip_code('c_nationkey')} END AS o_zip,
          'DC' || (50 + s_nationkey) AS d_id,
          CASE s_nationkey % 3 WHEN 0 THEN 'FDC' WHEN 1 THEN 'BDC' ELSE 'FDC/BDC' END AS d_type,
          {zip_code('50 + s_nationkey')} AS d_zip,
@@ -75,7 +76,8 @@ BLOCKS["fx_nodes"] = """
 BLOCKS["fx_campus"] = """
   SELECT CAST(k AS BIGINT) AS campus, 'DC' || k || ' - City' || k AS campus_nbr_nm, 'DC' || k AS campus_name,
          unnest(CASE WHEN k % 5 = 0 THEN ['C' || k, 'X' || k] ELSE ['C' || k] END) AS scac
-  FROM fx_dcs WHERE k % 6 <> 0"""
+  FROM fx_dcs WHERE k % 6 <> 0
+  UNION ALL SELECT 4, 'STR4 - City4', 'STR4', 'C4' FROM nation WHERE n_nationkey = 4"""
 BLOCKS["fx_places"] = f"""
   SELECT id AS loc_nbr, 'City' || k AS city, 'S' || (k % 10) AS state, {zip_code('k')} AS zip FROM fx_nodes
   UNION ALL SELECT id, 'City3', 'S3', '99903' FROM fx_nodes WHERE k = 3"""
@@ -88,17 +90,19 @@ BLOCKS["fx_partner"] = f"""
          {zip_code('ko')} AS o_zip,
          CASE WHEN ko = 105 AND kd = 125 THEN 'V5K1A' ELSE {zip_code('kd')} END AS d_zip,
          'City' || ko AS o_city, 'S' || (ko % 10) AS o_state, 'City' || kd AS d_city, 'S' || (kd % 10) AS d_state,
-         volume, {miles('ko', 'kd')} * CASE WHEN (ko + kd) % 2 = 0 THEN 1.6::DOUBLE ELSE 1.1::DOUBLE END AS distance
+         CASE WHEN ko <= 103 THEN least(volume, 40) ELSE volume END AS volume, {miles('ko', 'kd')} * CASE WHEN (ko + kd) % 2 = 0 THEN 1.6::DOUBLE ELSE 1.1::DOUBLE END AS distance
   FROM fx_partner_counts"""
 BLOCKS["fx_distances"] = f"""
-  SELECT {zip_code('a')} AS o_zip, {zip_code('b')} AS d_zip, 1.05::DOUBLE * {miles('a', 'b')} AS dist
+  SELECT {zip_code('a')} AS o_zip, {zip_code('b')} AS d_zip,
+         CASE WHEN a = 2 AND b = 103 THEN -1.0::DOUBLE ELSE 1.05::DOUBLE * {miles('a', 'b')} END AS dist
   FROM (SELECT n_nationkey AS a, unnest(range(101, 106)) AS b FROM nation WHERE n_nationkey % 2 = 0)
   UNION ALL
   SELECT {zip_code('b')}, {zip_code('a')}, 1.05::DOUBLE * {miles('a', 'b')}
   FROM (SELECT k AS a, unnest(range(101, 106)) AS b FROM fx_dcs WHERE k % 2 = 0)"""
 BLOCKS["fx_postal"] = f"""
   SELECT {zip_code('k')} AS postal_code, CAST({lon('k')} AS DOUBLE) AS longitude, CAST({lat('k')} AS DOUBLE) AS latitude
-  FROM fx_nodes WHERE k <> 74"""
+  FROM fx_nodes WHERE k <> 74
+  UNION ALL SELECT '99907', CAST({lon('7')} AS DOUBLE), CAST({lat('7')} AS DOUBLE)"""
 BLOCKS["fx_manual"] = f"""
   SELECT 'SRS_' || k AS o_id, 'DC74' AS d_id, {zip_code('k')} AS o_zip, {zip_code('74')} AS d_zip, 777.0::DOUBLE AS dist
   FROM fx_priorities"""

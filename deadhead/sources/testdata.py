@@ -3,6 +3,9 @@
 Facilities are numbered: stores 0-24 and DCs 50-74 by nation (76 replaces DC 51), partner origins 101-105 by
 market segment, partner destinations 121-125 by order priority. Places follow from the number.
 
+Rows that reach rules which the plain tables would not: partner lanes of three origins have loads for one truck a week, a
+store is a campus of its own, another store has a second zip on some invoices, one listed distance is negative.
+
 The fine grain has a DC per supplier, a partner origin per nation and segment, and a partner destination per
 priority and order status, so that the graph grows with the tables.
 """
@@ -17,6 +20,7 @@ from deadhead.schemas import SOURCES, conform
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 RETIRED_DC, NEW_DC, UNMAPPED_DC = 51, 76, 74
+STORE_CAMPUS, TWO_ZIP_STORE, SCARCE_ORIGIN, SCARCE_VOLUME = 4, 7, 103, 40
 
 
 def _lat(k: Column) -> Column:
@@ -98,7 +102,7 @@ def _invoice_lines(t: _Tables) -> DataFrame:
             F.concat_ws("-", "l_orderkey", "l_suppkey").alias("invoice_id"),
             _name("STR", store).alias("orig_fac_als_id"),
             F.lit("STR").alias("orig_fac_typ_ind"),
-            _zip(store).alias("orig_pstl_cd"),
+            (_zip(store) if t.fine else F.when((store == TWO_ZIP_STORE) & (F.col("l_linenumber") == 1), "99907").otherwise(_zip(store))).alias("orig_pstl_cd"),
             _name("DC", dc).alias("dest_fac_als_id"),
             F.element_at(F.array(F.lit("FDC"), F.lit("BDC"), F.lit("FDC/BDC")), (nation % 3 + 1).cast("int")).alias(
                 "dest_fac_typ_ind"
@@ -158,12 +162,21 @@ def _facilities(t: _Tables) -> DataFrame:
 def _campus_map(t: _Tables) -> DataFrame:
     k = F.col("k")
     carriers = F.when(k % 5 == 0, F.array(_name("C", k), _name("X", k))).otherwise(F.array(_name("C", k)))
-    return _dc_numbers(t).filter(k % 6 != 0).select(
+    dcs = _dc_numbers(t).filter(k % 6 != 0).select(
         k.cast("long").alias("campus"),
         F.concat(_name("DC", k), F.lit(" - "), _city(k)).alias("campus_nbr_nm"),
         _name("DC", k).alias("campus_name"),
         F.explode(carriers).alias("scac"),
     )
+    if t.fine:
+        return dcs
+    store = t.nation.select(F.col("n_nationkey").cast("int").alias("k")).filter(k == STORE_CAMPUS).select(
+        k.cast("long").alias("campus"),
+        F.concat(_name("STR", k), F.lit(" - "), _city(k)).alias("campus_nbr_nm"),
+        _name("STR", k).alias("campus_name"),
+        _name("C", k).alias("scac"),
+    )
+    return dcs.unionByName(store)
 
 
 def _locations(t: _Tables) -> DataFrame:
@@ -193,7 +206,7 @@ def _partner_lanes(t: _Tables) -> DataFrame:
         _state(ko).alias("origin_state"),
         _city(kd).alias("destination_city"),
         _state(kd).alias("destination_state"),
-        F.col("volume").alias("truckload_volume"),
+        F.when(ko <= SCARCE_ORIGIN, F.least("volume", F.lit(SCARCE_VOLUME))).otherwise(F.col("volume")).alias("truckload_volume"),
         distance.alias("distance"),
         (2.5 * distance).alias("low_allin_cost"),
     )
@@ -204,7 +217,8 @@ def _distance_table(t: _Tables) -> DataFrame:
     origins = _segments(t).select(F.col("k").alias("b"))
     pairs = near.filter(F.col("a") % 2 == 0).crossJoin(origins)
     a, b = F.col("a"), F.col("b")
-    return pairs.select(_zip(a), _zip(b), (1.05 * _miles(a, b)), (a < 25).alias("ahead")).toDF("x", "y", "dist", "ahead").select(
+    dist = F.when((a == 2) & (b == 103), -1.0).otherwise(1.05 * _miles(a, b))
+    return pairs.select(_zip(a), _zip(b), dist, (a < 25).alias("ahead")).toDF("x", "y", "dist", "ahead").select(
         F.when(F.col("ahead"), F.col("x")).otherwise(F.col("y")).alias("o_zip"),
         F.when(F.col("ahead"), F.col("y")).otherwise(F.col("x")).alias("d_zip"),
         "dist",
@@ -213,8 +227,9 @@ def _distance_table(t: _Tables) -> DataFrame:
 
 def _postal_codes(t: _Tables) -> DataFrame:
     k = F.col("k")
+    zips = F.when(F.col("id") == f"STR{TWO_ZIP_STORE}", F.array(_zip(k), F.lit("99907"))).otherwise(F.array(_zip(k)))
     return _facilities(t).filter(k != UNMAPPED_DC).select(
-        _zip(k).alias("postal_code"), _lon(k).alias("longitude"), _lat(k).alias("latitude")
+        F.explode(zips).alias("postal_code"), _lon(k).alias("longitude"), _lat(k).alias("latitude")
     )
 
 
