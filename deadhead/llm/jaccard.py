@@ -2,9 +2,11 @@
 
 * Equal sets are one class, counted before anything else moves; classes stand for all their copies from there on.
 * Classes are dealt out without losing a link: two linked sets differ in at most d shingles, d given by their size band. If
-  shingles are hashed to d + 1 + s groups, at least 1 + s groups have the same content in both; a set with more than s empty
-  groups gets a key for these, too. So linked classes share a key of their band, and all but d of their keys. Only keys that
-  two classes share go on, and only classes that share enough of theirs; classes connected by shared keys form a family.
+  shingles are hashed to groups, at most d groups differ in content; the contents of its filled groups are a set's keys. There
+  are as many groups as the smallest sets of a band need to fill more than d of them nearly always; a set that fills no
+  more than d gets one more key, common to its band. So linked classes share a key of their band, and all but d of their keys.
+  Only keys that two classes share go on, and only classes that share as many as a link needs; classes connected by what
+  is left form a family.
 * In a family, shingles are hashed to groups and the group counts are points of an R-tree. The overlap of two sets is at
   most the sum of their coordinate minima; against the largest counts below a tree node the same sum prunes whole nodes.
   This is done first on the counts alone, in size bands of each family: what survives connects far smaller families, and
