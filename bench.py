@@ -28,7 +28,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 
 def stages(job: Pipeline) -> dict[str, Callable[[], object]]:
     def reports() -> int:
-        savings = job.savings(job.plan(STAMP))
+        savings = job.savings(matching.dedicated_plan(job.routes, job.priced.runs, STAMP, job.p))
         rollup = report.lane_rollup(report.lane_to_route(savings))
         return report.lanes_on_routes(job.lane_demand, rollup).count()
 
@@ -37,8 +37,8 @@ def stages(job: Pipeline) -> dict[str, Callable[[], object]]:
         "legs": lambda: job.legs,
         "lanes": lambda: job.lane_demand,
         "tours": lambda: job.final_tours,
-        "matching": lambda: job.runs,
-        "audit": lambda: matching.run_audit(job.routes, job.lane_model, job.runs).collect(),
+        "matching": lambda: job.priced,
+        "audit": lambda: matching.run_audit(job.routes, job.lane_model, job.priced.runs).collect(),
         "reports": reports,
     }
 
