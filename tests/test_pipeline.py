@@ -9,7 +9,7 @@ from deadhead.config import Params
 from deadhead.operators import distance, quality
 from deadhead.plans.pipeline import Pipeline, run
 from deadhead.schemas import SOURCES
-from deadhead.sources.tables import Snapshot, Sources, published, read_published, read_sources, write_sources
+from deadhead.sources.tables import Snapshot, Sources, published, read_catalog, read_published, read_sources, write_sources
 from deadhead.sources.testdata import sources_from_testdata
 
 TABLES = {
@@ -100,3 +100,14 @@ def test_no_private_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_folder(session_with())
     assert storage.shared_folder(session_with(master="local[2]"))
+
+
+def test_catalog_tables_are_read_and_conformed(spark):
+    for name, schema in SOURCES.items():
+        rows = [tuple(None for _ in schema)]
+        spark.createDataFrame(rows, schema).withColumn("more", F.lit(1)).createOrReplaceTempView(f"listed_{name}")
+    src = read_catalog(spark, {name: f"listed_{name}" for name in SOURCES})
+    assert all(getattr(src, name).schema == schema and getattr(src, name).count() == 1 for name, schema in SOURCES.items())
+    spark.range(1).createOrReplaceTempView("listed_calendar")
+    with pytest.raises(ValueError, match="cal_dt"):
+        read_catalog(spark, {name: f"listed_{name}" for name in SOURCES})
