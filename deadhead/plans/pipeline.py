@@ -142,8 +142,11 @@ class Pipeline:
         return report.route_text(report.route_savings(credited, self.src.campus_map))
 
 
-def run(src: Sources, out: str, stamp: datetime, p: Params = DEFAULT, tuning: Tuning = TUNING) -> dict[str, DataFrame]:
-    """Run everything and publish the result tables under ``out``; readers see all tables of a run or those before it."""
+def run(src: Sources, out: str, stamp: datetime, p: Params = DEFAULT, tuning: Tuning = TUNING, by_prices: bool = False) -> dict[str, DataFrame]:
+    """Run everything and publish the result tables under ``out``; readers see all tables of a run or those before it.
+
+    Loads are assigned by greedy rounds or, with ``by_prices``, by price rounds, which take longer where lanes are scarce.
+    """
     job = Pipeline(src, p, tuning)
     snapshot = Snapshot(src.invoices.sparkSession, out)
     save = snapshot.write
@@ -157,9 +160,9 @@ def run(src: Sources, out: str, stamp: datetime, p: Params = DEFAULT, tuning: Tu
     save("rf_routes_final", job.final_tours)
     save("uncovered_lanes", matching.uncovered(job.routes, job.lane_model))
     save("lane_issues", matching.lane_issues(job.routes, job.lane_demand))
-    runs = job.priced.runs
+    runs, prices = (job.priced.runs, job.priced.prices) if by_prices else (job.runs, None)
     save("run_audit", matching.run_audit(job.routes, job.lane_model, runs))
-    save("matching_gap", matching.optimality_gap(job.routes, job.lane_model, runs, p, job.priced.prices))
+    save("matching_gap", matching.optimality_gap(job.routes, job.lane_model, runs, p, prices))
     plan = save("matching_ded", matching.dedicated_plan(job.routes, runs, stamp, p))
     save("matching_ow", matching.one_way_loads(job.routes, job.lane_model, runs, p))
     save("cost_summary", matching.cost_summary(job.routes, job.lane_model, runs, p))
