@@ -1,14 +1,17 @@
 """Loads for tours by price rounds, with a certified distance to the best plan.
 
-Store lanes bid for other lanes (mostly partner lanes). A load of a store lane gains by a tour over its fallback tour; it
-bids on the lane that is worth most to it at current prices, as high as makes its second choice as good, plus ``step``. A lane
-keeps its highest bids up to its loads; outbid loads are free again, and the least bid that a full lane keeps is its price.
+Store lanes bid for other lanes (mostly partner lanes). A load of a store lane gains by a tour over its fallback tour; a
+store lane bids for all its free loads at once, on the lanes that are worth most to it at current prices, as high as makes
+its next choice as good, plus ``step``, and lifts the loads it holds to the same level. It sees other store lanes' loads only,
+so however many loads it has, they never outbid each other. A lane keeps its highest bids up to its loads; outbid loads are
+free again, and the least bid that a full lane keeps is its price.
 Prices begin at what the lane's own tours without a store lane gain, so a lane that is not full never costs more than that.
 Rounds end when no free load finds a lane worth its price. Then every load has a choice within ``step`` of its best one, so
 the plan's gain is within ``step`` for each store load of the best plan's, and the prices prove it.
 
-Prices, bids and loads are tables; the driver sees one count per round. Where no lane is scarce, few rounds are needed,
-however many lanes there are.
+Prices, bids and loads are tables; the driver sees one count per round. Where no lane is scarce, or the loads of a store lane
+exceed the lanes it can use, few rounds are needed, however many lanes and loads there are; where store lanes of few loads
+compete for scarce lanes of about the same worth, prices climb by the step.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 import itertools
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deadhead.config import DEFAULT, Params
@@ -25,7 +28,7 @@ from deadhead.storage import materialize
 
 #: The step as a share of the greatest gain of a tour, at least: keeps rounds few where costs cancel out.
 LEAST_STEP = 1e-4
-HELD = "store long, other long, bid double, loads long, route_nbr long"
+HELD = "store long, other long, gain double, bid double, loads long, route_nbr long"
 
 
 @dataclass(frozen=True)
@@ -70,22 +73,58 @@ def market(cands: DataFrame, values: DataFrame, lanes: DataFrame, p: Params = DE
     return Market(pairs, materialize(reserve, "market-reserve"), stores, tours.filter(~simple).select("on", "gain", "route_nbr", "urgent"), step)
 
 
-def _bids(m: Market, held: DataFrame, prices: DataFrame) -> DataFrame:
-    """One bid of each store lane with free loads, on the lane that is worth most to it."""
+def _offered(m: Market, held: DataFrame) -> DataFrame:
+    """Per other lane its price, and what it is to the store lane that holds the cheapest loads: the least bid of all others."""
+    own = held.groupBy("other", "store").agg(F.min("bid").alias("least"), F.sum("loads").alias("loads"))
+    lanes = own.groupBy("other").agg(F.sum("loads").alias("sold"), F.min(F.struct("least", "store")).alias("first"))
+    lanes = lanes.select("other", "sold", F.col("first.least").alias("least"), F.col("first.store").alias("holder"))
+    rest = own.join(lanes.select("other", "holder"), "other").filter("store <> holder").groupBy("other").agg(F.min("least").alias("second"))
+    lanes = m.reserve.select("other", F.col("price").alias("floor"), "room").join(lanes, "other", "left").join(rest, "other", "left")
+    full = F.coalesce(F.col("sold") == F.col("room"), F.lit(False))
+
+    def price(bid: str) -> Column:
+        return F.when(full, F.greatest(bid, "floor")).otherwise(F.col("floor"))
+
+    return lanes.select("other", "room", "floor", full.alias("full"), "holder", price("least").alias("price"), price("second").alias("to_holder"))
+
+
+def _bids(m: Market, held: DataFrame, offered: DataFrame) -> DataFrame:
+    """Bids of each store lane with free loads, on the lanes that are worth most to it, as many as its loads need.
+
+    A store lane never bids against itself: it sees the loads and bids of others. Lanes that it takes whole it bids for
+    up to what its next load could still get, the last one up to the next lane. ``level`` is what that next load gains.
+    """
     used = held.groupBy("store").agg(F.sum("loads").alias("used"))
     free = m.stores.join(used, "store", "left").select("store", (F.col("demand") - F.coalesce("used", F.lit(0))).alias("free")).filter("free > 0")
-    worth = m.pairs.join(free, "store").join(prices, "other").withColumn("worth", F.col("gain") - F.col("price")).filter("worth > 0")
-    choice = F.struct("worth", (-F.col("route_nbr")).alias("order"), "other", "price", "free")
-    best = worth.groupBy("store").agg(F.max(choice).alias("best"))
-    second = (
-        worth.join(best.select("store", F.col("best.other").alias("first")), "store")
-        .groupBy("store")
-        .agg(F.max(F.when(F.col("other") != F.col("first"), F.col("worth"))).alias("second"))
+    own = held.groupBy("store", "other").agg(F.sum("loads").alias("own"))
+    worth = m.pairs.join(free, "store").join(offered, "other").join(own, ["store", "other"], "left").select(
+        "store", "other", "gain", "route_nbr", "free",
+        (F.col("room") - F.coalesce("own", F.lit(0))).alias("room"),
+        (F.col("gain") - F.when(F.col("store") == F.col("holder"), F.col("to_holder")).otherwise(F.col("price"))).alias("worth"),
+    ).filter("room > 0 and worth > 0")
+    store = Window.partitionBy("store")
+    by_worth = store.orderBy(F.desc("worth"), "route_nbr")
+    ranked = worth.select(
+        "*", F.sum("room").over(by_worth.rowsBetween(Window.unboundedPreceding, 0)).alias("through"), F.lead("worth", 1, 0.0).over(by_worth).alias("next")
+    )
+    ranked = ranked.withColumn("level", F.coalesce(F.max(F.when(F.col("through") > F.col("free"), F.col("worth"))).over(store), F.lit(0.0)))
+    before = F.col("through") - F.col("room")
+    mark = F.when(F.col("through") <= F.col("free"), F.col("level")).otherwise(F.col("next"))
+    return ranked.filter(before < F.col("free")).select(
+        "store", "other", "gain", _up_to(F.col("gain"), mark, m.step).alias("bid"), F.least("room", F.col("free") - before).alias("loads"), "route_nbr", "level"
     )
-    bid = F.col("best.price") + F.col("best.worth") - F.coalesce("second", F.lit(0.0))
-    # nobody pays more than the load gains
-    bid = F.least(bid + F.lit(m.step), F.col("best.price") + F.col("best.worth"))
-    return best.join(second, "store").select("store", F.col("best.other").alias("other"), bid.alias("bid"), F.col("best.free").alias("loads"), (-F.col("best.order")).alias("route_nbr"))
+
+
+def _up_to(gain: Column, mark: Column, step: float) -> Column:
+    """The bid that leaves a load a step less than ``mark``; nobody pays more than the load gains."""
+    return F.least(gain - mark + F.lit(step), gain)
+
+
+def _lifted(m: Market, held: DataFrame, bids: DataFrame) -> DataFrame:
+    """Loads held, those of bidding store lanes at the level of the bids: all of their loads are worth the same to them."""
+    level = bids.select("store", "level").distinct()
+    bid = F.greatest("bid", _up_to(F.col("gain"), F.col("level"), m.step))
+    return held.join(level, "store", "left").withColumn("bid", F.when(F.col("level").isNull(), F.col("bid")).otherwise(bid)).drop("level")
 
 
 def _kept(m: Market, offers: DataFrame) -> DataFrame:
@@ -93,27 +132,36 @@ def _kept(m: Market, offers: DataFrame) -> DataFrame:
     by_bid = Window.partitionBy("other").orderBy(F.desc("bid"), "store", "route_nbr")
     before = F.sum("loads").over(by_bid.rowsBetween(Window.unboundedPreceding, -1))
     rest = F.col("room") - F.coalesce(before, F.lit(0))
-    return offers.join(m.reserve.select("other", "room"), "other").withColumn("loads", F.least("loads", rest)).filter("loads > 0").select("store", "other", "bid", "loads", "route_nbr")
+    kept = offers.join(m.reserve.select("other", "room"), "other").withColumn("loads", F.least("loads", rest)).filter("loads > 0")
+    return kept.select("store", "other", "gain", "bid", "loads", "route_nbr")
+
+
+def _final_prices(m: Market, held: DataFrame, offered: DataFrame) -> DataFrame:
+    """Prices at the end: a store lane pays for all its loads what leaves it the gain of its worst one, none if some stay free.
+
+    A lane that one store lane filled early, when others were cheap too, may still be held at a low bid.
+    """
+    prices = offered.select("other", "price")
+    gained = held.join(prices, "other").groupBy("store").agg(F.sum("loads").alias("used"), F.min(F.col("gain") - F.col("price")).alias("least"))
+    gained = gained.join(m.stores, "store").select("store", F.when(F.col("used") == F.col("demand"), F.col("least")).otherwise(0.0).alias("level"))
+    paid = held.join(gained, "store").groupBy("other").agg(F.min(F.greatest("bid", F.col("gain") - F.col("level"))).alias("paid"))
+    price = F.when(F.col("full"), F.greatest("paid", "floor")).otherwise(F.col("floor"))
+    return offered.join(paid, "other", "left").select(F.col("other").alias("lane"), price.alias("price"))
 
 
 def price_rounds(m: Market) -> tuple[DataFrame, DataFrame]:
-    """Loads held (store, other, bid, loads, route_nbr) and the final price of each other lane (lane, price)."""
+    """Loads held (store, other, gain, bid, loads, route_nbr) and the final price of each other lane (lane, price)."""
     spark = m.pairs.sparkSession
     held = spark.createDataFrame([], HELD)
-    floor = m.reserve.select("other", F.col("price").alias("floor"), "room")
-    prices = m.reserve.select("other", "price")
-    for _ in itertools.count():  # ends: a bid on a full lane raises its price by the step, up to the gain of a tour
-        bids = materialize(_bids(m, held, prices), "market-bids")
+    for _ in itertools.count():  # ends: a bid on a full lane raises a load's price by the step, up to the gain of a tour
+        offered = materialize(_offered(m, held), "market-prices")
+        bids = materialize(_bids(m, held, offered), "market-bids")
         if bids.isEmpty():
-            return held, prices.select(F.col("other").alias("lane"), "price")
+            return held, _final_prices(m, held, offered)
         # one store lane's offers at one price are one
-        offers = held.unionByName(bids).groupBy("store", "other", "bid").agg(F.sum("loads").alias("loads"), F.min("route_nbr").alias("route_nbr"))
+        offers = _lifted(m, held, bids).unionByName(bids.drop("level")).groupBy("store", "other", "bid")
+        offers = offers.agg(F.max("gain").alias("gain"), F.sum("loads").alias("loads"), F.min("route_nbr").alias("route_nbr"))
         held = materialize(_kept(m, offers), "market-held")
-        full = held.groupBy("other").agg(F.sum("loads").alias("sold"), F.min("bid").alias("least"))
-        prices = floor.join(full, "other", "left").select(
-            "other", F.when(F.col("sold") == F.col("room"), F.greatest("least", "floor")).otherwise(F.col("floor")).alias("price")
-        )
-        prices = materialize(prices, "market-prices")
 
 
 @dataclass(frozen=True)

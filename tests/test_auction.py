@@ -86,3 +86,39 @@ def test_nothing_to_assign(spark):
     assert found.runs.count() == 0 and found.prices.count() == 0
     empty = auction.assign_by_prices(spark.createDataFrame([], ROUTES), spark.createDataFrame([], LANES), P)
     assert empty.runs.count() == 0
+
+
+def rounds_of(monkeypatch, routes, lane_df):
+    """The outcome of the price rounds and how many there were."""
+    names, write = [], auction.materialize
+    monkeypatch.setattr(auction, "materialize", lambda df, name: names.append(name) or write(df, name))
+    return auction.assign_by_prices(routes, lane_df, P), names.count("market-bids")
+
+
+def test_loads_of_one_lane_do_not_outbid_each_other(spark, monkeypatch):
+    # each store lane has far more loads than the scarce partner lanes it could share; prices used to climb by the step
+    tours = {1: (900, (1,)), 2: (900, (2,)), 20: (300, (1, 11)), 21: (320, (1, 12)), 22: (330, (2, 12)), 23: (340, (2, 13))}
+    lanes = {1: (40, 0, "store"), 2: (300, 0, "store"), 11: (1, 100, "partner"), 12: (2, 110, "partner"), 13: (50, 120, "partner")}
+    routes, lane_df = make(spark, tours, lanes)
+    found, rounds = rounds_of(monkeypatch, routes, lane_df)
+    assert {r.route_nbr: r.loads for r in found.runs.collect()} == {1: 37, 2: 250, 20: 1, 21: 2, 23: 50}
+    gap = matching.optimality_gap(routes, lane_df, found.runs, P, found.prices).first()
+    assert gap.bound == pytest.approx(gap.objective) and gap.within_target
+    assert rounds <= 4
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_prices_certify_plans_of_many_loads(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    lanes = {i: (rng.randrange(1, 60), 0, "store") for i in range(1, 7)}
+    lanes |= {10 + i: (rng.choice([1, 3, 20, 200]), rng.randrange(50, 400), "partner") for i in range(1, 5)}
+    tours = {i: (rng.randrange(500, 900), (i,)) for i in range(1, 7)}
+    pairs = rng.sample([(s, 10 + o) for s in range(1, 7) for o in range(1, 5)], 14)
+    tours |= {20 + i: (rng.randrange(300, 900), pair) for i, pair in enumerate(pairs)}
+    routes, lane_df = make(spark, tours, lanes)
+    found, rounds = rounds_of(monkeypatch, routes, lane_df)
+    audit = matching.run_audit(routes, lane_df, found.runs).first()
+    assert (audit.lanes_over, audit.lanes_short, audit.bad_loads) == (0, 0, 0)
+    gap = matching.optimality_gap(routes, lane_df, found.runs, P, found.prices).first()
+    assert gap.within_target and gap.objective - gap.bound <= found.step * sum(n for n, _, kind in lanes.values() if kind == "store")
+    assert rounds <= 60
