@@ -16,7 +16,8 @@ Order 3 adds two passes, and the pairs then count by the different words ahead o
   it once, twice and more often. A text's first word is scored by pairs.
 * from the distinct triples: the different words ahead of each pair, and from these the numbers per word above.
 
-Tasks combine equal words and pairs before they send them. Shards are files of the shared folder, named anew by each
+Texts are cut into words and hashed by array operations on the bytes of a batch, without an object for each word. Tasks
+combine equal words and pairs before they send them. Shards are files of the shared folder, named anew by each
 attempt and listed by a table that Spark commits. Scoring tasks map them into memory and look up sorted batches of
 keys; only the list of files and a few totals travel. Files of a store without local paths are fetched once per worker,
 mapped, and unlinked.
@@ -28,7 +29,6 @@ word; repeated rows count and are scored each by itself; an empty table gives no
 from __future__ import annotations
 
 import functools
-import itertools
 import os
 import shutil
 import tempfile
@@ -38,17 +38,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import WordHashes, lengths_to_starts, materialize, mixed, new_folder, partitions, texts, tidied
+from deadhead.llm.common import lengths_to_starts, materialize, mixed, new_folder, partitions, plain_bytes, span_hashes, tidied, word_spans
 
-#: No word holds a line end.
-END = b"\n"
+#: Hash of the end; no word holds a line end.
+END = span_hashes(b"\n", np.zeros(1, np.int64), np.ones(1, np.int64))[0]
 #: Tokens that a task counts before it sends them.
 HELD = 2_000_000
 #: Most frequent words that a shard reports, to find those that must be spread.
@@ -313,6 +312,11 @@ def _kept(counts: np.ndarray, discounts: tuple[float, float, float]) -> np.ndarr
     return counts - np.array([0.0, *discounts])[np.minimum(counts, 3)]
 
 
+def _left(kinds: np.ndarray, discounts: tuple[float, float, float], total: np.ndarray) -> np.ndarray:
+    """The share that discounts leave, by the numbers of keys that occur once, twice and more often."""
+    return (kinds[:, 0] * discounts[0] + kinds[:, 1] * discounts[1] + kinds[:, 2] * discounts[2]) / np.maximum(total, 1)
+
+
 def discounts(n: list[int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts from the numbers of keys that occur 1, 2, 3 and 4 times.
 
@@ -323,61 +327,56 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(d if d > 0 else UNDECIDED for d in found)
 
 
-def _sequences(raw: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens, end included, and the tokens of each text."""
-    words = [[*t.lower().split(), END] for t in raw]
-    counts = np.fromiter(map(len, words), np.int64, len(words))
-    return hashes.of([w for ws in words for w in ws]), counts
-
-
-class _Index(dict):
-    """A place for each word, from 1 on; ``fresh`` lists the words that were new."""
-
-    def __init__(self) -> None:
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = place = len(self) + 1
-        self.fresh.append(word)
-        return place
+def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, end included, and the tokens of each text; NULL is empty."""
+    buffer, edges = plain_bytes(column)
+    starts, sizes = word_spans(buffer, edges)
+    counts = np.diff(np.searchsorted(starts, edges)) + 1
+    last = np.cumsum(counts) - 1
+    inside = np.ones(int(counts.sum()), bool)
+    inside[last] = False
+    out = np.empty(len(inside), np.uint64)
+    out[inside], out[last] = span_hashes(buffer, starts, sizes), END
+    return out, counts
 
 
 class Vocabulary:
-    """Words that a task has met, with what the model knows of them; dropped when they are many. Place 0 is the begin."""
+    """What the model knows of words, the words met last at hand: a word's place is its hash's first bits, where it replaces another."""
 
-    LIMIT = 300_000
+    BITS = 18
 
     def __init__(self, model: Model, scores: bool = False) -> None:
         self.model, self.scores = model, scores
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index = _Index()
-        self.number, self.count = np.array([self.model.types]), np.zeros(1, np.int64)
-        if self.scores:
-            self.chance, self.behind = self._known(self.number)
-
-    def _known(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.model.word_probability(number), self.model.following(number)
-
-    def tokens(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Places of all tokens, end included, and the tokens of each text."""
-        if len(self.index) > self.LIMIT:
-            self._clear()
-        words = [[*t.lower().split(), END] for t in raw]
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        found = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(counts.sum()))
-        if self.index.fresh:
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.index.fresh), np.uint64, len(self.index.fresh))
-            order = np.argsort(hashes)
-            number, count = np.empty((2, len(order)), np.int64)
-            number[order], count[order] = self.model.numbers(hashes[order])
-            self.number, self.count = np.concatenate((self.number, number)), np.concatenate((self.count, count))
-            if self.scores:
-                chance, behind = self._known(number)
-                self.chance, self.behind = np.concatenate((self.chance, chance)), np.concatenate((self.behind, behind))
-            self.index.fresh = []
-        return found, counts
+        # no hash stands at the place of its complement
+        self.hashes = ~(np.arange(1 << self.BITS, dtype=np.uint64) << np.uint64(64 - self.BITS))
+        self.rows = [np.empty(len(self.hashes), x.dtype) for x in self._known(np.empty(0, np.uint64))]
+
+    def _known(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """Numbers of ascending hashes; to score also base scores, chances, and tokens and rest behind (``behind``)."""
+        model = self.model
+        number, count = model.numbers(hashes)
+        if not self.scores:
+            return [number]
+        base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
+        return [number, base, model.word_probability(number), *self.behind(number)]
+
+    def behind(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens behind each word, and the share of their probability left to the words' own one."""
+        found = self.model.following(number)
+        return found[:, 0], _left(found[:, 1:], self.model.pair_discounts, found[:, 0])
+
+    def look_up(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """``_known`` of each token."""
+        place = (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
+        missed = np.flatnonzero(self.hashes[place] != hashes)
+        out = [x[place] for x in self.rows]
+        fresh, at = np.unique(hashes[missed], return_inverse=True)
+        new = (fresh >> np.uint64(64 - self.BITS)).astype(np.int64)
+        self.hashes[new] = fresh
+        for own, found, rows in zip(out, self._known(fresh), self.rows, strict=True):
+            own[missed] = found[at]
+            rows[new] = found
+        return out
 
 
 def _counting(column: str, read: Callable, bucket_of: Callable) -> Callable:
@@ -387,7 +386,7 @@ def _counting(column: str, read: Callable, bucket_of: Callable) -> Callable:
         keys_of, held, size = read(), [], 0
         for batch in batches:
             if batch.num_rows:
-                held.append(keys_of(texts(batch.column(column))))
+                held.append(keys_of(batch.column(column)))
                 size += len(held[-1])
             if size >= HELD:
                 keys, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -459,11 +458,10 @@ def _add_rows(into: dict[int, list[int]], names: list[int], rows: list[int]) ->
 
 def _count_words(taught: DataFrame, model: Model, folder: str) -> None:
     shards = model.shards
-    end = WordHashes()[END]
 
     def store(bucket: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         top = np.argsort(-counts, kind="stable")[:FREQUENT]
-        ends = counts[np.searchsorted(keys, np.uint64(end)) : np.searchsorted(keys, np.uint64(end), "right")].sum()
+        ends = counts[np.searchsorted(keys, END) : np.searchsorted(keys, END, "right")].sum()
         yield pa.RecordBatch.from_pydict(
             {
                 "bucket": pa.array([bucket], pa.int32()), "keys": [_write(folder, keys.astype("<u8"))], "counts": [_write(folder, counts.astype("<i8"))],
@@ -472,8 +470,7 @@ def _count_words(taught: DataFrame, model: Model, folder: str) -> None:
         )
 
     def read() -> Callable:
-        hashes = WordHashes()
-        return lambda raw: _sequences(raw, hashes)[0]
+        return lambda column: token_hashes(column)[0]
 
     sent = taught.mapInArrow(tidied(_counting("text", read, lambda keys: _range(keys, shards))), "bucket int, part binary")
     kind = "bucket int, keys string, counts string, types long, tokens long, ends long, places array<long>, top array<long>"
@@ -499,9 +496,9 @@ def _count_pairs(taught: DataFrame, model: Model, folder: str) -> None:
     def read() -> Callable:
         own, words = shared.value, Vocabulary(shared.value)
 
-        def keys_of(raw: list[bytes]) -> np.ndarray:
-            places, counts = words.tokens(raw)
-            number = words.number[places]
+        def keys_of(column: pa.Array) -> np.ndarray:
+            hashes, counts = token_hashes(column)
+            (number,) = words.look_up(hashes)
             return _key(_moved(number, counts, own.types), number)
 
         return keys_of
@@ -618,9 +615,9 @@ def _count_triples(taught: DataFrame, model: Model, folder: str) -> None:
         words, read, held, some, size = Vocabulary(shared.value), [], [], 0, 0
         for batch in batches:
             if batch.num_rows:
-                places, counts = words.tokens(texts(batch.column("text")))
-                read.append((words.number[places], counts))
-                some += len(places)
+                hashes, counts = token_hashes(batch.column("text"))
+                read.append((*words.look_up(hashes), counts))
+                some += len(hashes)
             if some >= HELD // 4:  # looked up together
                 held.append(found(read))
                 size, some, read = size + some, 0, []
@@ -713,7 +710,7 @@ def _adjust_pairs(taught: DataFrame, model: Model, folder: str) -> None:
 def _by_triples(model: Model, number: np.ndarray, counts: np.ndarray, pairs: Pairs, lower: np.ndarray) -> np.ndarray:
     """Probabilities of tokens by the two words ahead, mixed with those by one."""
     total = np.maximum(model._at_places(model.pairs, pairs.groups, pairs.place)[:, 0], 1)  # a token follows each
-    rest = model.words_behind(pairs.keys, pairs.groups, pairs.place) @ np.array(model.triple_discounts) / total
+    rest = _left(model.words_behind(pairs.keys, pairs.groups, pairs.place), model.triple_discounts, total)
     ahead = _moved(pairs.of, counts, -1)
     some = np.flatnonzero(ahead >= 0)
     some = some[pairs.place[ahead[some]] >= 0]
@@ -726,28 +723,22 @@ def _by_triples(model: Model, number: np.ndarray, counts: np.ndarray, pairs: Pai
     return out
 
 
-def _scores(model: Model, raw: list[bytes], words: Vocabulary) -> dict[str, pa.Array]:
-    places, counts = words.tokens(raw)
-    number, seen = words.number[places], words.count[places]
-    first = _moved(places, counts, 0)
-    pairs = _pairs(model, number, words.number[first])
+def _scores(model: Model, hashes: np.ndarray, counts: np.ndarray, words: Vocabulary) -> dict[str, np.ndarray]:
+    number, base, chance, total, rest = words.look_up(hashes)
+    begin_total, begin_rest = (x[0] for x in words.behind(np.array([model.types])))
+    total, rest = _moved(total, counts, begin_total), _moved(rest, counts, begin_rest)
+    pairs = _pairs(model, number, _moved(number, counts, model.types))
     found = model._at_places(model.adjusted if model.order == 3 else model.pairs, pairs.groups, pairs.place)[:, 0]
-    found = np.where(pairs.of >= 0, found[pairs.of], 0) if len(found) else np.zeros(len(number), np.int64)
-    chance, behind = words.chance[places], words.behind[first]
-    total = np.maximum(behind[:, 0], 1)
-    rest = behind[:, 1:] @ np.array(model.pair_discounts) / total
-    pair = _kept(found, model.pair_discounts) / total + rest * chance
-    chance = np.where(behind[:, 0] > 0, pair, chance)
+    kept = np.append(_kept(found, model.pair_discounts), 0.0)[pairs.of]  # the last one where there is no pair
+    chance = np.where(total > 0, kept / np.maximum(total, 1) + rest * chance, chance)
     if model.order == 3:
         chance = _by_triples(model, number, counts, pairs, chance)
-    logs = np.log10(chance)
-    base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
     begins = lengths_to_starts(counts)[:-1]
     return {
-        "n_tokens": pa.array(counts),
-        "n_known": pa.array(np.add.reduceat((seen > 0).astype(np.int64), begins)),
-        "base_score": pa.array(np.add.reduceat(base, begins)),
-        "score": pa.array(np.add.reduceat(logs, begins)),
+        "n_tokens": counts,
+        "n_known": np.add.reduceat((number >= 0).astype(np.int64), begins),
+        "base_score": np.add.reduceat(base, begins),
+        "score": np.add.reduceat(np.log10(chance), begins),
     }
 
 
@@ -757,12 +748,25 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "lm") ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(shared.value, scores=True)
+        words, held, some = Vocabulary(shared.value, scores=True), [], 0
+
+        def scored() -> Iterator[pa.RecordBatch]:
+            made = _scores(shared.value, *(np.concatenate([h[k] for h in held]) for k in (1, 2)), words)
+            at = 0
+            for batch, _, counts in held:
+                own = [pa.array(x[at : at + len(counts)]) for x in made.values()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.StructArray.from_arrays(own, names=list(made))], names=[*batch.schema.names, out])
+                at += len(counts)
+
         for batch in batches:
             if batch.num_rows:
-                made = _scores(shared.value, texts(batch.column(text)), words)
-                struct = pa.StructArray.from_arrays(list(made.values()), names=list(made))
-                yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, out])
+                held.append((batch, *token_hashes(batch.column(text))))
+                some += len(held[-1][1])
+            if some >= HELD // 4:  # looked up together
+                yield from scored()
+                held, some = [], 0
+        if held:
+            yield from scored()
 
     return kept.mapInArrow(tidied(run), T.StructType([*kept.schema.fields, T.StructField(out, T.StructType.fromDDL(SCORE))]))
 

@@ -1,8 +1,10 @@
 import math
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,6 +140,55 @@ def test_probabilities_sum_to_one():
         assert math.isclose(sum(want.probability(a, b) for b in [*want.words, "unseen"]), 1.0)
 
 
+def test_tokens_of_texts():
+    r = random.Random(3)
+    parts = ["a", "B", "ab", "É", "eight888", "nine99999", "x" * 40, "\x1c", "\x00", "\u00a0", "\u0085", " ", " ", "\t", "\n\v", "\f\r "]
+    raw = ["".join(r.choice(parts) for _ in range(r.randint(0, 9))) for _ in range(300)] + [None, "", " ", "end", "start", "x" * 39, "x" * 41]
+    names = {}
+    for column in (pa.array(raw), pa.array(["cut", *raw, "off"], pa.large_string())[1:-1]):
+        hashes, counts = lm.token_hashes(column)
+        words = [w for t in raw for w in [*(t or "").encode().lower().split(), b"\n"]]
+        assert counts.tolist() == [len((t or "").encode().split()) + 1 for t in raw]
+        assert len(words) == len(hashes)
+        for word, found in zip(words, hashes.tolist(), strict=True):
+            assert names.setdefault(word, found) == found
+    assert len(set(names.values())) == len(names)
+    hashes, counts = lm.token_hashes(pa.array([], pa.string()))
+    assert len(hashes) == len(counts) == 0
+
+
+@pytest.mark.parametrize("scores", [False, True])
+def test_words_take_no_calls_of_their_own(spark, monkeypatch, scores):
+    few, many = ([" ".join(f"w{i}" for i in range(n)), None] for n in (20, 20_000))
+    model = lm.fit(spark.createDataFrame([(few[0],), (many[0],)], "text string"), order=3)
+
+    def calls(raw):
+        words, count = lm.Vocabulary(model, scores), 0
+
+        def seen(frame, event, _):
+            nonlocal count
+            count += event in ("call", "c_call")
+
+        sys.setprofile(seen)
+        try:
+            rows = words.look_up(lm.token_hashes(pa.array(raw))[0])
+        finally:
+            sys.setprofile(None)
+        return count, rows
+
+    lm.mapped.cache_clear()
+    calls(many)  # the files are open
+    assert calls(many)[0] < calls(few)[0] + 1_000
+    whole = calls(many)[1]
+    monkeypatch.setattr(lm.Vocabulary, "BITS", 3)  # nearly every word replaces another
+    words = lm.Vocabulary(model, scores)
+    hashes = lm.token_hashes(pa.array(many))[0]
+    for _ in range(2):
+        parts = [words.look_up(hashes[i : i + 500]) for i in range(0, len(hashes), 500)]
+        for a, b in zip(whole, zip(*parts, strict=True), strict=True):
+            assert (a == np.concatenate(b)).all()
+
+
 def test_packed_arrays_round_trip():
     r = np.random.default_rng(0)
     keys = np.unique(r.integers(0, 2**64, 999, dtype=np.uint64))
