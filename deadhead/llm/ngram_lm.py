@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deadhead.llm.common import lengths_to_starts, materialize, mixed, new_folder, partitions, plain_bytes, span_hashes, tidied, word_spans
+from deadhead.llm.common import LOWERED, joined_texts, lengths_to_starts, materialize, mixed, new_folder, partitions, span_hashes, tidied, word_spans
 
 #: Hash of the end; no word holds a line end.
 END = span_hashes(b"\n", np.zeros(1, np.int64), np.ones(1, np.int64))[0]
@@ -329,7 +329,7 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 
 def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, end included, and the tokens of each text; NULL is empty."""
-    buffer, edges = plain_bytes(column)
+    buffer, edges = joined_texts(column, LOWERED)
     starts, sizes = word_spans(buffer, edges)
     counts = np.diff(np.searchsorted(starts, edges)) + 1
     last = np.cumsum(counts) - 1

@@ -16,7 +16,10 @@ columns are not written.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
+import string
 import struct
 import uuid
 from collections.abc import Iterator
@@ -29,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deadhead.llm.common import KEPT, lengths_to_starts, materialize, new_folder, partitions, texts, tidied
+from deadhead.llm.common import KEPT, SPACED, joined_texts, lengths_to_starts, materialize, new_folder, partitions, same_spans, span_hashes, tidied, word_spans
 
 MAGIC = b"PACKIDS1"
 #: n_docs, n_ids, bits, ids per block, byte offset of the index, magic
@@ -72,7 +75,7 @@ def unpack(data: bytes, bits: int) -> np.ndarray:
 
 
 class Writer:
-    """Streams documents into one file; keeps only a block of ids and the index in memory."""
+    """Streams documents into one file; keeps only a batch, less than a block of ids and the index in memory."""
 
     def __init__(self, sink: pa.NativeFile, bits: int, block: int = BLOCK) -> None:
         self.sink, self.bits, self.block = sink, bits, block
@@ -82,9 +85,10 @@ class Writer:
         self.waiting: list[np.ndarray] = []
         self.held = self.total = 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.ids.append(doc_id)
-        self.sizes.append(len(ids))
+    def add(self, doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Documents of these sizes, their ids one behind the other."""
+        self.ids += doc_ids
+        self.sizes += sizes.tolist()
         self.waiting.append(ids)
         self.held += len(ids)
         self.total += len(ids)
@@ -160,10 +164,66 @@ BETWEEN = "\x01"
 CALL = 500
 
 
+#: Of a file that keeps a full stop or comma apart from the ASCII letter ahead of it and lower-cases all words.
+DIVIDED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+LETTER, UPPER, MARK = 1, 2, 4
+KINDS = np.array([LETTER * (c in string.ascii_letters) | UPPER * (c in string.ascii_uppercase) | MARK * (c in ".,") for c in map(chr, range(256))], np.uint8)
+
+
+def divides(path: str) -> bool:
+    """Whether a tokenizer file is ``DIVIDED``, and none of its added tokens can be hit by that."""
+    with open(path) as file:
+        made = json.load(file)
+    odd = [t for t in made["added_tokens"] if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or not re.fullmatch(r"<\|[a-z]+\|>", t["content"])]
+    return not odd and all(made[k] == v for k, v in DIVIDED.items())
+
+
+def divided(buffer: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Runs with a last full stop or comma behind an ASCII letter as a run of its own, those of ASCII letters alone lower-cased."""
+    raw = np.frombuffer(buffer, np.uint8)
+    kinds = KINDS[raw]
+    last = starts + sizes - 1
+    cut = np.flatnonzero((sizes > 1) & (kinds[last] == MARK) & (kinds[last - 1] & LETTER > 0))
+    sizes = sizes.copy()
+    sizes[cut] -= 1
+    starts, sizes = np.insert(starts, cut + 1, last[cut]), np.insert(sizes, cut + 1, 1)
+    others = lengths_to_starts(kinds & LETTER == 0)
+    plain = others[starts + sizes] == others[starts]
+    inside = np.zeros(len(raw) + 1, np.int8)
+    inside[starts[plain]] = 1
+    inside[(starts + sizes)[plain]] -= 1
+    lower = (np.cumsum(inside[:-1], dtype=np.int8) > 0) & (kinds & UPPER > 0)
+    return (raw + np.uint8(32) * lower).tobytes(), starts, sizes
+
+
+def distinct_runs(buffer: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different run, and which of these each run is. Runs of equal hashes are compared; those that differ stand alone."""
+    hashes = span_hashes(buffer, starts, sizes)
+    order = np.argsort(hashes)
+    fresh = np.diff(hashes[order], prepend=hashes[order[:1]] + np.uint64(1)) != 0
+    first, of = order[fresh], np.empty(len(order), np.int64)
+    of[order] = np.cumsum(fresh) - 1
+    like = first[of]
+    odd = np.flatnonzero((sizes != sizes[like]) | ~same_spans(buffer, starts, starts[like], sizes))
+    of[odd] = len(first) + np.arange(len(odd))
+    return np.append(first, odd), of
+
+
 class WordIds(dict):
     """Ids of each run without ASCII white space, remembered for a bounded number of runs.
 
-    The vocabularies meant here drop white space and never join across it, so a text's ids are those of its runs. When the
+    The vocabularies meant here drop white space and never join across it, so a text's ids are those of its runs. Runs are
+    met as spans of a batch's bytes, each different one is looked up once; where the file allows it (``divides``) they are divided
+    further, so fewer are new. When the
     memory is full, the runs met since it was last full are kept in a second one, so frequent runs stay known.
     """
 
@@ -172,20 +232,34 @@ class WordIds(dict):
         self.before: dict[bytes, bytes] = {}
         between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         self.between = between[0] if len(between) == 1 else None
-
-    def batch(self, raw: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        words = [t.split() for t in raw]
-        here = set().union(*words)
-        new = here.difference(self)
+        self.divides = divides(path)
+
+    def batch(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and the number of each text's ids."""
+        buffer, edges = joined_texts(column, SPACED)
+        starts, sizes = word_spans(buffer, edges)
+        if self.divides:
+            buffer, starts, sizes = divided(buffer, starts, sizes)
+        first, of = distinct_runs(buffer, starts, sizes)
+        found = self._ids([buffer[a : a + n] for a, n in zip(starts[first].tolist(), sizes[first].tolist(), strict=True)])
+        begins = lengths_to_starts(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+        counts = np.diff(begins)[of]
+        at = lengths_to_starts(counts)
+        places = np.repeat(begins[of] - at[:-1], counts) + np.arange(at[-1])
+        return np.frombuffer(b"".join(found), "<u4")[places], np.diff(at[np.searchsorted(starts, edges)])
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of different runs."""
+        found = list(map(self.get, words))
+        new = [w for w, ids in zip(words, found, strict=True) if ids is None]
         if len(self) + len(new) > REMEMBERED:
             self.before = dict(self)
             self.clear()
-            new = here
+            self.update((w, ids) for w, ids in zip(words, found, strict=True) if ids is not None)
         known = {w: self.before[w] for w in new if w in self.before}
         self.update(known)
         self._learn([w for w in new if w not in known])
-        return [b"".join(map(self.__getitem__, ws)) for ws in words]
+        return [self[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
 
     def _learn(self, new: list[bytes]) -> None:
         mark = BETWEEN.encode()
@@ -233,7 +307,7 @@ def write(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text:
     """Write the ids of all texts in ascending ``doc_id`` order; the manifest lists the files in that order."""
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-files")
-    bits, end, path = vocabulary.bits(), np.array([vocabulary.end], "<u4").tobytes(), vocabulary.path
+    bits, end, path = vocabulary.bits(), vocabulary.end, vocabulary.path
     order = [F.col("doc_id").asc_nulls_first(), "_hash", "_row"]
     dealt = (
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -254,8 +328,8 @@ def write(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text:
                 store.create_dir(root, recursive=True)
                 name = f"shard-{shard:06d}-{uuid.uuid4().hex}.ids"
                 writer = Writer(store.open_output_stream(f"{root}/{name}"), bits)
-            for one, ids in zip(batch.column(0).to_pylist(), own.batch(texts(batch.column(1))), strict=True):
-                writer.add(one, np.frombuffer(ids + end, "<u4"))
+            ids, counts = own.batch(batch.column(1))
+            writer.add(batch.column(0).to_pylist(), counts + 1, np.insert(ids, np.cumsum(counts), end))
         if writer is not None:
             writer.close()
             writer.sink.close()
