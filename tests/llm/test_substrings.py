@@ -1,7 +1,11 @@
 import random
-from collections import Counter
+import tracemalloc
+from collections import Counter, deque
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from deadhead.llm import substrings
 
@@ -50,3 +54,74 @@ def test_remove_keeps_untouched_texts(spark):
 def test_empty_table(spark):
     d = spark.createDataFrame([], "doc_id long, text string")
     assert substrings.digest(substrings.deduplicate(d)).collect() == []
+
+
+def traced(run):
+    """Bytes that ``run`` takes at most beside what was there."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def long_texts(number, words):
+    r = random.Random(5)
+    return [" ".join(f"w{r.randrange(10**5)}" for _ in range(words)).encode() for _ in range(number)]
+
+
+def test_memory_of_a_block():
+    raw = long_texts(300, 1000)
+    size = sum(map(len, raw))
+    assert traced(lambda: substrings.Block(raw, 35, 6)) < 7 * size
+
+
+def test_memory_of_a_bucket():
+    strings = long_texts(6000, 50)
+    size = sum(map(len, strings))
+    rows = [{"bucket": 1, "block": k, "strings": zstandard.compress(b"\n".join(strings[k::4])), "counts": np.ones(len(strings[k::4]), "<u4").tobytes()} for k in range(4)]
+    batch = pa.RecordBatch.from_pylist(rows)
+    assert traced(lambda: deque(substrings._count(35)(iter([batch])), maxlen=0)) < 7 * size
+
+
+def test_a_block_is_dropped_before_the_next():
+    texts = [t.decode() for t in long_texts(100, 1000)]
+    block = substrings._block([pa.RecordBatch.from_pydict({"text": texts})], 0)
+
+    def run(number):
+        batch = pa.RecordBatch.from_pydict({"payload": block.column("payload").take([0] * number), "found": pa.array([None] * number, pa.list_(pa.int8()))})
+        return traced(lambda: deque(substrings._cut("text", 35, 6, 4, np.zeros(4, bool), "cut")(iter([batch])), maxlen=0))
+
+    assert run(4) < 1.15 * run(1)
+
+
+def test_slices_of_a_block(monkeypatch):
+    raw = [(t or "").encode() for _, t in cases()]
+    whole = substrings.Block(raw, 8, 3)
+    for windows in (1, 7, 1000):
+        monkeypatch.setattr(substrings, "WINDOWS", windows)
+        sliced = substrings.Block(raw, 8, 3)
+        for name in ("starts", "sizes", "minimisers"):
+            assert np.array_equal(getattr(whole, name), getattr(sliced, name))
+
+
+@pytest.mark.parametrize("hashes", [2**64 - 1, 3, 0])
+def test_repeated_windows_in_slices(monkeypatch, hashes):
+    """Also with texts that share a hash."""
+    r = random.Random(3)
+    strings = [[r.choice([b"a", b"b", b"cc"]) for _ in range(r.randint(4, 9))] for _ in range(60)]
+    counts = np.array([r.choice([1, 1, 1, 2]) for _ in strings])
+    seen = Counter()
+    for words, n in zip(strings, counts.tolist(), strict=True):
+        for i in range(len(words) - 3):
+            seen[tuple(words[i : i + 4])] += n
+    expected = [seen[tuple(words[i : i + 4])] > 1 for words in strings for i in range(len(words) - 3)]
+    real = substrings.window_hashes
+    monkeypatch.setattr(substrings, "window_hashes", lambda values, width: real(values, width) & np.uint64(hashes))
+    for size, compared in ((1 << 19, 20_000), (30, 7), (1, 1)):
+        monkeypatch.setattr(substrings, "LINES_BYTES", size)
+        monkeypatch.setattr(substrings, "COMPARED", compared)
+        windows, repeat = substrings.repeated_windows(b"\n".join(b" ".join(x) for x in strings), counts, 4)
+        assert windows.tolist() == [len(x) - 3 for x in strings]
+        assert repeat.tolist() == expected
